@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cratedig.llm import suffix_dedup
+from cratedig.llm import minhash, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,5 +15,9 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_spans(_table(spark, sf_dir, "documents")).drop("spans")
 
 
-QUERIES = {"op1_suffix_dedup": op1_suffix_dedup}
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents")).drop("_id", "th")
+
+
+QUERIES = {"op1_suffix_dedup": op1_suffix_dedup, "op2_minhash_dedup": op2_minhash_dedup}
 ORACLE_SQL: dict[str, str] = {}
