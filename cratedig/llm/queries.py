@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cratedig.llm import minhash, suffix_dedup
+from cratedig.llm import decontaminate, minhash, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,5 +19,9 @@ def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents")).drop("_id", "th")
 
 
-QUERIES = {"op1_suffix_dedup": op1_suffix_dedup, "op2_minhash_dedup": op2_minhash_dedup}
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_minhash_dedup, op4_decontaminate)}
 ORACLE_SQL: dict[str, str] = {}
