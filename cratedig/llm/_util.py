@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Stands for a null doc_id in joins.
+NO_ID = -(2**63)
 _own_dir: dict[str, str] = {}
 
 

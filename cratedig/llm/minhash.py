@@ -25,14 +25,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cratedig.llm._util import LOWER, NOT_BLANK, column_bytes, connected_components, mix, prefix_hash, row_chunks, save, span_hash, word_spans
+from cratedig.llm._util import LOWER, NO_ID, NOT_BLANK, column_bytes, connected_components, mix, prefix_hash, row_chunks, save, span_hash, word_spans
 
 SIMILARITY = 0.8
 WORDS = 2
 GROUPS = 10
 _TUPLE = 2
 _CHUNK = 1 << 20
-_NO_ID = -(2**63)
 _rng = np.random.default_rng(7)
 _ODD = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _SALT = _rng.integers(1, 2**63, 256, dtype=np.uint64)
@@ -197,12 +196,12 @@ def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY, words:
 
 def with_row_key(documents: DataFrame) -> DataFrame:
     """Adds (_id, th): equal for repeated rows alone."""
-    return documents.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)), "th": F.xxhash64("text")})
+    return documents.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "th": F.xxhash64("text")})
 
 
 def drop_near_duplicates(documents: DataFrame, **parameters) -> DataFrame:
     """One row of each class: that of the smallest doc_id, of repeated rows one. Columns stay as they are."""
     classes = near_duplicates(documents, **parameters).where(~F.col("kept")).select(F.col("_id").alias("__id"), F.col("th").alias("__th")).distinct()
     names = {"_id": "__id", "th": "__th"}
-    keyed = documents.withColumns({names[k]: v for k, v in (("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))), ("th", F.xxhash64("text")))})
+    keyed = documents.withColumns({names[k]: v for k, v in (("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))), ("th", F.xxhash64("text")))})
     return keyed.join(classes, ["__id", "__th"], "left_anti").dropDuplicates(["__id", "__th"]).select(*documents.columns)

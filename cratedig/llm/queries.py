@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cratedig.llm import decontaminate, minhash, suffix_dedup
+from cratedig.llm import decontaminate, minhash, mixing, sharding, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,5 +23,49 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_minhash_dedup, op4_decontaminate)}
-ORACLE_SQL: dict[str, str] = {}
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(_table(spark, sf_dir, "documents")).drop("th")
+
+
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_minhash_dedup, op4_decontaminate, op6_mix_sources, op8_sharding)}
+
+_OP6 = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+    -ln((('0x' || substr(md5('0:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0)
+      / greatest(0.05::DOUBLE, coalesce(1 - len(regexp_extract_all(text, '[^\p{L}\x09-\x0D\x20]'))::DOUBLE / greatest(length(text), 1), 1.0::DOUBLE)) AS key
+  FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+w AS (SELECT *, (1 + (row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3)::DOUBLE AS weight, 3.0::DOUBLE * source_size AS cap FROM s),
+l AS (SELECT *, cap / weight AS ratio,
+    (sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / weight, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / (sum(weight) OVER () - coalesce(sum(weight) OVER (ORDER BY cap / weight, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS level FROM w),
+t AS (SELECT source, source_size, least(cap, coalesce(max(CASE WHEN ratio >= level THEN level END) OVER () * weight, cap)) AS target FROM l),
+e AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS epochs FROM t),
+c AS (SELECT d.*, e.source_size, e.target, e.epochs, e.target - e.epochs * e.source_size AS rest,
+    sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+  FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source)
+SELECT doc_id, size, source_size, target,
+  (size * (epochs + CASE WHEN rest > 0 AND (upto <= rest OR (upto - size < rest AND upto - rest <= rest - (upto - size))) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM c
+"""
+
+_OP8 = """
+WITH d AS (
+  SELECT doc_id, coalesce(octet_length(encode(text)), 0)::BIGINT AS n_bytes, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS hash
+  FROM documents),
+p AS (
+  SELECT k.depth, d.hash >> (60 - k.depth) AS prefix, sum(n_bytes)::BIGINT AS shard_bytes
+  FROM d, (SELECT unnest(range(0, 61))::INT AS depth) k GROUP BY ALL),
+m AS (
+  SELECT d.doc_id, d.n_bytes, d.hash, min(p.depth) AS depth
+  FROM d JOIN p ON d.hash >> (60 - p.depth) = p.prefix WHERE p.shard_bytes <= 1048576 GROUP BY ALL)
+SELECT m.doc_id, m.n_bytes, m.depth, CASE WHEN m.depth > 0 THEN substr(lpad(bin(m.hash), 60, '0'), 1, m.depth) ELSE '' END AS shard, p.shard_bytes, TRUE AS fits
+FROM m JOIN p ON p.depth = m.depth AND p.prefix = m.hash >> (60 - m.depth)
+"""
+
+ORACLE_SQL = {"op6_mix_sources": _OP6, "op8_sharding": _OP8}
