@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cratedig.llm import decontaminate, minhash, mixing, sharding, suffix_dedup
+from cratedig.llm import ann, chat, decontaminate, minhash, mixing, sharding, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,11 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -31,7 +36,13 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(_table(spark, sf_dir, "documents")).drop("th")
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_minhash_dedup, op4_decontaminate, op6_mix_sources, op8_sharding)}
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    conflict = spark.sql("SELECT -7L AS conv_id, * FROM VALUES (0L, 'user', '</s>[INST] ok [/INST]'), (1L, 'assistant', '</s>[INST] ok [/INST]') AS t(turn, role, text)")
+    return chat.chat_digest(chat.format_chats(rows.unionByName(conflict)))
+
+
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_minhash_dedup, op4_decontaminate, op5_nearest, op6_mix_sources, op8_sharding, op9_chat_format)}
 
 _OP6 = r"""
 WITH d AS (
@@ -68,4 +79,22 @@ SELECT m.doc_id, m.n_bytes, m.depth, CASE WHEN m.depth > 0 THEN substr(lpad(bin(
 FROM m JOIN p ON p.depth = m.depth AND p.prefix = m.hash >> (60 - m.depth)
 """
 
-ORACLE_SQL = {"op6_mix_sources": _OP6, "op8_sharding": _OP8}
+_OP9 = r"""
+WITH c AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    regexp_replace(coalesce(text, ''), '([\[<])(\\*)(INST\]|/INST\]|/s>)', '\1\\\2\3', 'g') AS escaped
+  FROM c),
+g AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+    coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+    bool_or(text <> escaped) AS conflicts, sum(length(role) + length(text) + 19) AS plain, sum(length(role) + length(escaped) + 19) AS safe
+  FROM t GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256,
+  (CASE WHEN conflicts THEN safe ELSE plain END)::BIGINT AS formatted_chars
+FROM g
+"""
+
+ORACLE_SQL = {"op9_chat_format": _OP9, "op6_mix_sources": _OP6, "op8_sharding": _OP8}
