@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cratedig.llm import ann, chat, decontaminate, minhash, mixing, sharding, suffix_dedup
+from cratedig.llm import ann, chat, decontaminate, langid, minhash, mixing, sharding, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents")).drop("_id", "th")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.train_and_identify(_table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -42,7 +46,7 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digest(chat.format_chats(rows.unionByName(conflict)))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_minhash_dedup, op4_decontaminate, op5_nearest, op6_mix_sources, op8_sharding, op9_chat_format)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_minhash_dedup, op3_language_id, op4_decontaminate, op5_nearest, op6_mix_sources, op8_sharding, op9_chat_format)}
 
 _OP6 = r"""
 WITH d AS (
