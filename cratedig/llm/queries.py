@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cratedig.llm import ann, chat, decontaminate, langid, minhash, mixing, sharding, suffix_dedup
+from cratedig.llm import ann, chat, decontaminate, langid, minhash, mixing, secret_scan, sharding, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,7 +46,11 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digest(chat.format_chats(rows.unionByName(conflict)))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_minhash_dedup, op3_language_id, op4_decontaminate, op5_nearest, op6_mix_sources, op8_sharding, op9_chat_format)}
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_report(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_minhash_dedup, op3_language_id, op4_decontaminate, op5_nearest, op6_mix_sources, op8_sharding, op9_chat_format, op10_secret_scan)}
 
 _OP6 = r"""
 WITH d AS (
