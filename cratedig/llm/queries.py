@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cratedig.llm import ann, chat, decontaminate, langid, minhash, mixing, secret_scan, sharding, suffix_dedup
+from cratedig.llm import ann, chat, decontaminate, langid, minhash, mixing, secret_scan, sharding, suffix_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,11 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.train_and_score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(_table(spark, sf_dir, "documents")).drop("th")
 
@@ -50,7 +55,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_report(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_minhash_dedup, op3_language_id, op4_decontaminate, op5_nearest, op6_mix_sources, op8_sharding, op9_chat_format, op10_secret_scan)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_minhash_dedup, op3_language_id, op4_decontaminate, op5_nearest, op6_mix_sources, op7_toxicity, op8_sharding, op9_chat_format, op10_secret_scan)}
 
 _OP6 = r"""
 WITH d AS (
