@@ -1,15 +1,57 @@
-"""The corpus pipeline: language ID, near-duplicates, decontamination, mixing, sharding."""
+"""The corpus pipeline: language ID, near-duplicates, decontamination, mixing, sharding.
+
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the
+last return the columns of documents. A stage sees only what the one before it
+kept: ``run`` writes each result to the shared folder and reads it again.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from cratedig.llm import decontaminate, langid, minhash, mixing, sharding
+from cratedig.llm._util import save
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents of no known language: null texts and texts without a letter."""
+    return langid.drop_unknown(docs).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each class of near-duplicates, that of the smallest doc_id."""
+    return minhash.drop_near_duplicates(docs).select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents in which a window of a benchmark item occurs."""
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(*docs.columns)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeats or leaves out documents so that the sources meet their targets."""
+    return mixing.mixed_documents(docs).select(*docs.columns)
+
+
+def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Names the shard of every document, a prefix of its hash."""
+    return sharding.sharded_documents(docs).select(*(c for c in docs.columns if c != "shard"), "shard")
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("mixing", mixture),
+    ("sharding", sharding_stage),
+]
+
+#: SQL can't express the language model or the sampled sketches; tests compare every stage with a plain version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = save(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
