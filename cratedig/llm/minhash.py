@@ -8,12 +8,12 @@ those used. With 10 groups of 2 a pair at similarity 0.8 misses all 100 tables
 with probability 2 * 0.36 ** 10, under 0.0001.
 
 Documents with equal shingle sets collapse into one node first. Of a bucket,
-only the pairs with its smallest node are verified at first; once links have
-made classes, each bucket that still holds several classes takes more leaders,
-from outside its largest class, until no pair of different classes is left
-untested. Copies that are linked already are never compared with each other,
-so a bucket costs its size times the nodes that stay apart, not its square,
-and no cap drops a candidate.
+only the pairs with its lead are verified at first. Once these links have made
+classes, the buckets of one lead that still hold several classes compare the
+nodes outside the largest with all those of other classes, blocks with blocks.
+Copies that are linked already are never compared with each other, so a group
+costs its size times the nodes that stay apart, not its square, and no cap
+drops a candidate.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cratedig.llm._util import LOWER, NO_ID, NOT_BLANK, column_bytes, connected_components, mix, prefix_hash, row_chunks, save, span_hash, word_spans
@@ -109,6 +109,42 @@ def _confirm(words: int, percent: int):
     return run
 
 
+def _side(items: list[dict], words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    raw = [(x["text"] or "").encode() for x in items]
+    offs = np.concatenate([[0], np.cumsum([len(x) for x in raw])]).astype(np.int64)
+    row, hashed = shingle_sets(np.frombuffer(b"".join(raw), np.uint8), offs, words)
+    node, comp = (np.array([x[k] for x in items], np.int64) for k in ("node", "comp"))
+    return row, hashed, np.bincount(row, minlength=len(items)), node, comp
+
+
+def _cross(words: int, percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: list[np.ndarray] = []
+            for left, right in zip(batch.column("left"), batch.column("right"), strict=True):
+                row_a, hash_a, size_a, node_a, comp_a = _side(left.as_py(), words)
+                row_b, hash_b, size_b, node_b, comp_b = _side(right.as_py(), words)
+                shared = np.intersect1d(hash_a, hash_b)
+                both = np.zeros((len(node_a), len(node_b)), np.int64)
+                for lo in range(0, len(shared), 8192):
+                    part = shared[lo : lo + 8192]
+                    grids = []
+                    for row, hashed, n in ((row_a, hash_a, len(node_a)), (row_b, hash_b, len(node_b))):
+                        at = np.minimum(np.searchsorted(part, hashed), len(part) - 1)
+                        hit = part[at] == hashed
+                        grid = np.zeros((n, len(part)), np.float32)
+                        grid[row[hit], at[hit]] = 1
+                        grids.append(grid)
+                    both += np.rint(grids[0] @ grids[1].T).astype(np.int64)
+                union = size_a[:, None] + size_b[None, :] - both
+                i, j = np.nonzero((100 * both >= percent * union) & (both > 0) & (comp_a[:, None] != comp_b[None, :]))
+                found.append(np.stack([node_a[i], node_b[j]]))
+            out = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(*out)), pa.array(np.maximum(*out))], names=["a", "b"])
+
+    return run
+
+
 def _agreeing(a: Column, b: Column) -> Column:
     """How many of the minhashes packed in two lists of tuples agree."""
     low = F.lit(0xFFFFFFFF)
@@ -118,50 +154,69 @@ def _agreeing(a: Column, b: Column) -> Column:
 
 
 class _Verifier:
+    """Verifies pairs of nodes on the full shingle sets of their texts."""
+
     def __init__(self, docs: DataFrame, nodes: DataFrame, words: int, similarity: float, groups: int):
         self.docs, self.nodes, self.words, self.percent = docs, nodes, words, round(100 * similarity)
         # six standard deviations below what a pair at the threshold shares
         n = 2 * groups * _TUPLE
         self.least = max(0, int(n * similarity - 6 * (n * similarity * (1 - similarity)) ** 0.5))
 
-    def __call__(self, pairs: DataFrame) -> DataFrame:
+    def texts(self, nodes: DataFrame) -> DataFrame:
+        where = nodes.distinct().join(self.nodes, "node").select("node", "one_doc.*")
+        return save(self.docs.join(where, ["_id", "th"]).groupBy("node").agg(F.first("text").alias("text")), "texts")
+
+    def stars(self, groups: DataFrame) -> DataFrame:
+        """The links (a, b) among pairs of lead and node."""
         side = lambda s: self.nodes.select(F.col("node").alias(s), F.col("n_shingles").alias(f"n_{s}"), F.col("one").alias(f"one_{s}"), F.col("two").alias(f"two_{s}"))
-        near = pairs.join(side("a"), "a").join(side("b"), "b")
+        near = groups.select(F.col("lead").alias("a"), F.col("node").alias("b")).join(side("a"), "a").join(side("b"), "b")
         near = near.where(100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b"))
         near = save(near.where(_agreeing(F.col("one_a"), F.col("one_b")) + _agreeing(F.col("two_a"), F.col("two_b")) >= self.least).select("a", "b"), "pairs")
-        ends = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        where = ends.join(self.nodes, "node").select("node", "one_doc.*")
-        texts = save(self.docs.join(where, ["_id", "th"]).groupBy("node").agg(F.first("text").alias("text")), "texts")
+        texts = self.texts(near.select(F.col("a").alias("node")).union(near.select("b")))
         full = near.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
         return save(full.select("a", "b", "text_a", "text_b").mapInArrow(_confirm(self.words, self.percent), "a long, b long"), "links")
 
+    def blocks(self, live: DataFrame) -> DataFrame:
+        """The links between classes within each lead's group; ``live``: lead, node, comp, n_shingles, top.
+
+        Nodes outside the largest class ``top`` are compared with all of other
+        classes, blocks with blocks, so no pair is a row and no group is one task.
+        """
+        count = lambda size, words: F.ceil(F.greatest(F.count("*") / size, F.sum("n_shingles") / words)).cast("int")
+        outside = live.where("comp <> top")
+        counts = live.groupBy("lead").agg(count(256, 1 << 16).alias("blocks")).join(outside.groupBy("lead").agg(count(64, 1 << 14).alias("parts")), "lead")
+        texts = self.texts(live.select("node"))
+        item = F.collect_list(F.struct("node", "comp", "text"))
+        deal = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
+        right = live.join(counts, "lead").join(texts, "node").groupBy("lead", deal("blocks").alias("block")).agg(item.alias("right"))
+        left = outside.join(counts, "lead").join(texts, "node").groupBy("lead", "blocks", deal("parts").alias("part")).agg(item.alias("left"))
+        left = left.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        pairs = left.join(right, ["lead", "block"]).select("left", "right")
+        return save(pairs.mapInArrow(_cross(self.words, self.percent), "a long, b long"), "links")
 
-def _classes(buckets: DataFrame, verify: _Verifier) -> DataFrame:
-    """(node, comp) of all nodes that some bucket links; ``buckets``: key, node, lead."""
-    links = verify(buckets.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct())
-    comps = save(connected_components(links), "classes")
-    rest, batch = buckets.where("node <> lead").select("key", "node"), 16
-    while True:
-        live = rest.join(comps, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
-        sizes = live.groupBy("key", "comp").agg(F.count("*").alias("c"))
-        mixed = sizes.groupBy("key").agg(F.max(F.struct("c", "comp"))["comp"].alias("top"), F.count("*").alias("k")).where("k > 1").select("key", "top")
-        live = save(live.join(mixed, "key"), "mixed")
-        outside = live.where("comp <> top").withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy("node")))
-        leaders = save(outside.where(F.col("rank") <= batch).select("key", F.col("node").alias("a"), F.col("comp").alias("comp_a")), "leaders")
-        if leaders.isEmpty():
-            return comps
-        pairs = leaders.join(live, "key").where("comp_a <> comp").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-        links = verify(pairs)
-        if not links.isEmpty():
-            # classes are nodes of their own graph now
-            of = lambda s: comps.select(F.col("node").alias(s), F.col("comp").alias(f"c{s}"))
-            edges = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
-            merged = save(connected_components(edges).select(F.col("node").alias("comp"), F.col("comp").alias("into")), "merged")
-            known = comps.join(merged, "comp", "left").select("node", F.coalesce("into", "comp").alias("comp"))
-            new = merged.join(comps, merged["comp"] == comps["node"], "left_anti").select(F.col("comp").alias("node"), F.col("into").alias("comp"))
-            comps = save(known.union(new).distinct(), "classes")
-        rest = live.select("key", "node").join(leaders.select("key", F.col("a").alias("node")), ["key", "node"], "left_anti")
-        batch *= 4
+
+def _classes(buckets: DataFrame, nodes: DataFrame, verify: _Verifier) -> DataFrame:
+    """(node, comp) of all nodes that some bucket links; ``buckets``: key, node, n of all buckets of several nodes.
+
+    A bucket's lead is the node that meets most others in all its buckets: of
+    edited copies, likely the one that is nearest to all.
+    """
+    weight = buckets.groupBy("node").agg(F.sum("n").alias("weight"))
+    leads = buckets.join(weight, "node").groupBy("key").agg(F.max(F.struct("weight", "node"))["node"].alias("lead"))
+    groups = save(buckets.join(leads, "key").where("node <> lead").select("lead", "node").distinct(), "groups")
+    comps = save(connected_components(verify.stars(groups)), "classes")
+    live = groups.join(comps, "node", "left").select("lead", "node", F.coalesce("comp", "node").alias("comp"))
+    sizes = live.groupBy("lead", "comp").agg(F.count("*").alias("c"))
+    mixed = sizes.groupBy("lead").agg(F.max(F.struct("c", "comp"))["comp"].alias("top"), F.count("*").alias("k")).where("k > 1").select("lead", "top")
+    live = save(live.join(mixed, "lead").join(nodes.select("node", "n_shingles"), "node"), "live")
+    links = verify.blocks(live)
+    # classes are nodes of their own graph now
+    of = lambda s: comps.select(F.col("node").alias(s), F.col("comp").alias(f"c{s}"))
+    edges = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    merged = save(connected_components(edges).select(F.col("node").alias("comp"), F.col("comp").alias("into")), "merged")
+    known = comps.join(merged, "comp", "left").select("node", F.coalesce("into", "comp").alias("comp"))
+    new = merged.join(comps, merged["comp"] == comps["node"], "left_anti").select(F.col("comp").alias("node"), F.col("into").alias("comp"))
+    return known.union(new).distinct()
 
 
 def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY, words: int = WORDS, groups: int = GROUPS) -> DataFrame:
@@ -182,9 +237,9 @@ def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY, words:
         sets.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.min(F.struct("_id", "th")).alias("one_doc"), F.first("n_shingles").alias("n_shingles"), F.first("one").alias("one"), F.first("two").alias("two")), "nodes"
     )
     keys = nodes.select("node", "two", F.posexplode("one").alias("i", "x")).select("node", "i", "x", F.posexplode("two").alias("j", "y")).select("node", F.xxhash64("i", "j", "x", "y").alias("key"))
-    full = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("lead")).where("n > 1").select("key", "lead")
+    full = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     buckets = save(keys.join(full, "key"), "buckets")
-    classes = _classes(buckets, _Verifier(docs, nodes, words, similarity, groups))
+    classes = save(_classes(buckets, nodes, _Verifier(docs, nodes, words, similarity, groups)), "classes")
     least = nodes.select("node", "least").join(classes, "node", "left").select("node", "least", F.coalesce("comp", "node").alias("comp"))
     least = save(least, "least")
     per = least.groupBy("comp").agg(F.min("least").alias("component_id"))
