@@ -15,9 +15,10 @@ their anchors at the same offset and are compared through those.
    (``repartitionByRange``); a bucket sorts them by multikey quicksort, sorts
    the reversed left contexts likewise, and classes of both orders at each
    depth tell exactly which windows are equal.
-3. Windows whose class touches a bucket's first or last suffix may continue in
-   the next bucket; their digests are compared across the boundaries. So a
-   bucket may end anywhere, even within copies of one passage.
+3. An anchor string with more blocks than a bucket holds is split by the rest
+   of its suffixes. Windows of it whose class touches a bucket's first or last
+   suffix may continue in the next bucket; their digests are compared across
+   the boundaries. So even a third of all rows at one anchor fits.
 """
 
 from __future__ import annotations
@@ -143,11 +144,11 @@ def _common(flat: np.ndarray, size: np.ndarray, order: np.ndarray) -> np.ndarray
     return out
 
 
-def equal_windows(before: list[bytes], after: list[bytes], low: np.ndarray, copies: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def equal_windows(before: list[bytes], after: list[bytes], low: np.ndarray, copies: np.ndarray, split: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(row, back) of windows that occur twice in this bucket, and of those open at its boundaries.
 
-    A class of equal windows that touches a boundary is open: each window that
-    has no equal here, or else one of the class.
+    In rows of ``split`` anchors, a class of equal windows that touches a
+    boundary is open: each window that has no equal here, or else one of the class.
 
     Row i has windows that start low[i] to len(before[i]) bytes before its
     anchor. Two windows at d are equal if the suffixes share length - d bytes
@@ -172,7 +173,7 @@ def equal_windows(before: list[bytes], after: list[bytes], low: np.ndarray, copi
         both = klass[valid] * (len(after) + 1) + klass_left[valid]
         _, one, inverse = np.unique(both, return_index=True, return_inverse=True)
         twice = np.bincount(inverse, weights=copies[valid])[inverse] >= 2
-        at_edge = (klass[valid] == edge[0]) | (klass[valid] == edge[1])
+        at_edge = split[valid] & ((klass[valid] == edge[0]) | (klass[valid] == edge[1]))
         is_one = np.zeros(len(valid), bool)
         is_one[one] = True
         is_open = at_edge & (~twice | is_one)  # one of a class tells the other buckets
@@ -185,14 +186,14 @@ def equal_windows(before: list[bytes], after: list[bytes], low: np.ndarray, copi
 def _cut(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: dict[str, list] = {k: [] for k in ("doc_id", "th", "at", "lo", "copies", "suffix", "left")}
+            out: dict[str, list] = {k: [] for k in ("doc_id", "th", "at", "lo", "copies", "split", "suffix", "left")}
             for doc_id, th, text, needs in zip(batch.column("doc_id"), batch.column("th"), batch.column("text"), batch.column("needs"), strict=True):
                 raw = text.as_py().encode()
                 for x in needs.as_py():
                     at, lo, hi = x["at"], x["lo"], x["hi"]
-                    for k, v in (("doc_id", doc_id.as_py()), ("th", th.as_py()), ("at", at), ("lo", at - hi), ("copies", x["copies"]), ("suffix", raw[at : hi + length]), ("left", raw[lo:at])):
+                    for k, v in (("doc_id", doc_id.as_py()), ("th", th.as_py()), ("at", at), ("lo", at - hi), ("copies", x["copies"]), ("split", x["split"]), ("suffix", raw[at : hi + length]), ("left", raw[lo:at])):
                         out[k].append(v)
-            types = {"doc_id": pa.int64(), "th": pa.int64(), "at": pa.int32(), "lo": pa.int32(), "copies": pa.int64(), "suffix": pa.binary(), "left": pa.binary()}
+            types = {"doc_id": pa.int64(), "th": pa.int64(), "at": pa.int32(), "lo": pa.int32(), "copies": pa.int64(), "split": pa.bool_(), "suffix": pa.binary(), "left": pa.binary()}
             yield pa.RecordBatch.from_arrays([pa.array(v, types[k]) for k, v in out.items()], names=list(out))
 
     return run
@@ -205,7 +206,7 @@ def _compare(length: int):
             return
         before, after, doc_id = table["left"].to_pylist(), table["suffix"].to_pylist(), table["doc_id"].combine_chunks()
         copies, at, th = (table[k].to_numpy() for k in ("copies", "at", "th"))
-        row, back, open_row, open_back = equal_windows(before, after, table["lo"].to_numpy(), copies, length)
+        row, back, open_row, open_back = equal_windows(before, after, table["lo"].to_numpy(), copies, table["split"].to_numpy(), length)
         lone = np.flatnonzero(copies[row] == 1)  # blocks that occur twice are removed whole already
         row, start = row[lone], at[row[lone]] - back[lone]
         order = np.lexsort((start, row))
@@ -260,12 +261,13 @@ def _repeats(documents: DataFrame, length: int, gram: int, bucket: int) -> tuple
     # hashes alone tell blocks that repeat whole from anchors that need their bytes compared
     distinct = save(blocks.groupBy("key", "block").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "th", "lo", "hi", "at")).alias("one")), "distinct")
     whole = blocks.join(distinct.where("copies > 1").select("key", "block"), ["key", "block"]).select("doc_id", "th", F.col("lo").alias("first"), F.col("hi").alias("last"))
-    shared = distinct.groupBy("key").agg(F.count("*").alias("n"), F.min("copies").alias("fewest")).where("n > 1 and fewest = 1").select("key")
-    needs = distinct.join(shared, "key", "left_semi").select("copies", "one.*").groupBy("doc_id", "th").agg(F.collect_list(F.struct("at", "lo", "hi", "copies")).alias("needs"))
-    cut = _with(slim, needs).select("doc_id", "th", "text", "needs").mapInArrow(_cut(length), "doc_id long, th long, at int, lo int, copies long, suffix binary, left binary")
+    shared = distinct.groupBy("key").agg(F.count("*").alias("n"), F.min("copies").alias("fewest")).where("n > 1 and fewest = 1").select("key", (F.col("n") > bucket).alias("split"))
+    needs = distinct.join(shared, "key").select("copies", "split", "one.*").groupBy("doc_id", "th").agg(F.collect_list(F.struct("at", "lo", "hi", "copies", "split")).alias("needs"))
+    cut = _with(slim, needs).select("doc_id", "th", "text", "needs").mapInArrow(_cut(length), "doc_id long, th long, at int, lo int, copies long, split boolean, suffix binary, left binary")
     cut = save(cut, "suffixes")
     buckets = max(1, -(-cut.count() // bucket))
-    found = cut.repartitionByRange(buckets, "suffix", "left").mapInArrow(_compare(length), "doc_id long, th long, first int, last int, copies long, digest binary")
+    deep = [F.when(F.col("split"), F.col(c)) for c in ("suffix", "left")]
+    found = cut.repartitionByRange(buckets, F.substring("suffix", 1, gram), *deep).mapInArrow(_compare(length), "doc_id long, th long, first int, last int, copies long, digest binary")
     found = save(found, "windows")
     across = found.where("digest is not null").groupBy("digest").agg(F.sum("copies").alias("n")).where("n > 1").select("digest")
     edges = found.where("copies = 1").join(across, "digest", "left_semi")
