@@ -1,4 +1,464 @@
-"""The registered catalogue queries and their SQL."""
+"""The registered catalogue queries; each reads the tables under ``sf_dir``."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from __future__ import annotations
+
+import uuid
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cratedig.functions.text import like_ascii_ci, null_if_empty, query_tokens, tokens, unicode_trim
+from cratedig.operators import fulltext, search_docs, tiered
+from cratedig.operators.decode import clean_lines, decode, parse
+from cratedig.operators.flatten import FLATTEN, embedded_recordings, recordings
+from cratedig.operators.merge import array_first_wins, first_wins, key_violations
+from cratedig.operators.meta import MEMBERS, merged, meta_rows, parse_timestamp, pivot_members
+from cratedig.operators.store import NEEDED, shared_dir, write_catalog
+from cratedig.plans import binding, build
+from cratedig.plans import catalog_sql as sql
+from cratedig.schemas import ENTITIES, TABLES
+from cratedig.sources.dump import select_entities
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+_staged: dict[tuple[str, str, str], str] = {}
+
+#: What the searches look for.
+FTS_QUERY = "Widget ord"
+TEXT_QUERY = "The éan"
+TIER_QUERY = "customer#00000000"
+ARTIST_QUERY = "Customer#000000001"
+BARCODE = "000000000101"
+ISRC = "ISRC-11"
+
+
+def query(oracle: str, name: str | None = None):
+    def register(f: Callable[[SparkSession, str], DataFrame]):
+        QUERIES[name or f.__name__], ORACLE_SQL[name or f.__name__] = f, oracle
+        return f
+
+    return register
+
+
+def documents(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    """The decoded documents of an entity, staged once a session."""
+    key = (spark.sparkContext.applicationId, sf_dir, entity)
+    if key not in _staged:
+        good, _ = decode(getattr(binding, f"{entity.replace('-', '_')}_lines")(spark, sf_dir), entity, strict=False)
+        path = f"{shared_dir(spark)}/documents-{entity}-{uuid.uuid4().hex}"
+        good.write.parquet(path)
+        _staged[key] = path
+    return spark.read.parquet(_staged[key])
+
+
+class _Documents(dict):
+    """Documents by entity, decoded when they are asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def __missing__(self, entity: str) -> DataFrame:
+        return documents(self.spark, self.sf_dir, entity)
+
+
+class Tables:
+    """The catalogue's tables, each resolved when it is asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def rows(self, name: str) -> DataFrame:
+        return FLATTEN[name](_Documents(self.spark, self.sf_dir))
+
+    def __getitem__(self, name: str) -> DataFrame:
+        t = TABLES[name]
+        # the flat tables' keys make these ids unique; build_catalog checks strict tables
+        rows = self.rows(name)
+        return (rows if t.strict else first_wins(rows, t.key)).select(*t.names)
+
+
+def _table(name: str, of: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return Tables(spark, sf_dir)[of]
+
+    run.__name__ = name
+    query(sql.table(of))(run)
+
+
+for _name, _of in {
+    "artist_rows": "artists",
+    "release_group_rows": "release_groups",
+    "release_rows": "releases",
+    "artist_aliases": "artist_aliases",
+    "artist_genres": "artist_genres",
+    "secondary_types": "release_group_secondary_types",
+    "release_labels": "release_labels",
+    "release_media": "release_media",
+    "tracks_flatten": "tracks",
+    "recording_isrcs": "recording_isrcs",
+    "recordings_merge": "recordings",
+    "external_links": "external_links",
+}.items():
+    _table(_name, _of)
+
+
+# -- cleaning -------------------------------------------------------------------------------------------------------
+
+
+@query(r"""
+SELECT doc_id, pos::INT AS pos, line FROM (
+  SELECT doc_id, unnest(range(0, len(string_split(text, chr(10))))) AS pos, regexp_replace(unnest(string_split(text, chr(10))), '^[ \n\r\t]+|[ \n\r\t]+$', '', 'g') AS line
+  FROM documents)
+WHERE line <> ''
+""")
+def line_clean(spark, sf_dir):
+    lines = binding.table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    return clean_lines(lines)
+
+
+@query("SELECT c_custkey, c_name AS name FROM customer", name="unicode_trim")
+def unicode_trim_names(spark, sf_dir):
+    key = F.col("c_custkey")
+    dirty = F.concat(F.lit("　\t "), binding.padded(F.col("c_name"), key), F.lit("\u0085 "))
+    return binding.table(spark, sf_dir, "customer").select(key, unicode_trim(dirty).alias("name"))
+
+
+@query("SELECT p_partkey, CASE WHEN p_partkey % 7 <> 0 THEN p_name END AS name FROM part", name="null_if_empty")
+def null_if_empty_names(spark, sf_dir):
+    blank = F.when(F.col("p_partkey") % 7 == 0, "  ").otherwise(F.col("p_name"))
+    return binding.table(spark, sf_dir, "part").select("p_partkey", null_if_empty(unicode_trim(blank)).alias("name"))
+
+
+@query(f"""
+SELECT doc_id, coalesce({sql.tier("substr(text, 1, 60)", "the _n")}, 0)::INT AS tier, translate(substr(text, 1, 60), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') LIKE '%é%u%' AS accent
+FROM documents WHERE text IS NOT NULL
+""", name="like_ascii_ci")
+def like_ascii_ci_heads(spark, sf_dir):
+    head = F.substring("text", 1, 60)
+    docs = binding.table(spark, sf_dir, "documents").where("text is not null")
+    return docs.select("doc_id", F.coalesce(tiered.like_tier(head, "The _n"), F.lit(0)).alias("tier"), like_ascii_ci(head, "%é%U%").alias("accent"))
+
+
+@query("SELECT 'release' AS entity, count(*) AS n_lines FROM orders UNION ALL SELECT 'artist', count(*) FROM customer")
+def entity_selection(spark, sf_dir):
+    lines = None
+    for entity in ENTITIES:
+        rows = documents(spark, sf_dir, entity).select(F.lit(entity).alias("entity"))
+        lines = rows if lines is None else lines.unionByName(rows)
+    return lines.where(F.col("entity").isin(select_entities(" release,artist,, release"))).groupBy("entity").agg(F.count("*").alias("n_lines"))
+
+
+# -- decoding -------------------------------------------------------------------------------------------------------
+
+
+def _event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Artist documents of events: some cut off, some blank in a required field, some no object."""
+    key = F.col("event_id")
+    doc = F.struct(F.when(key % 19 == 0, " ").otherwise(key.cast("string")).alias("id"), F.col("event_type").alias("name"), F.when(key % 29 != 0, F.col("event_type")).alias("sort-name"))
+    whole = F.to_json(doc)
+    line = F.when(key % 17 == 0, F.expr("substr(j, 1, length(j) - 3)")).when(key % 23 == 0, F.concat(F.lit("["), F.col("j"))).otherwise(F.concat(F.lit(" "), F.col("j"), F.lit("\r")))
+    return binding.table(spark, sf_dir, "events").withColumn("j", whole).select(key, line.alias("line"))
+
+
+_PROBLEM = "CASE WHEN event_id % 17 = 0 OR event_id % 23 = 0 THEN 'malformed' WHEN event_id % 19 = 0 THEN 'missing id' WHEN event_id % 29 = 0 THEN 'missing sort-name' END"
+
+
+@query(f"SELECT event_id, {_PROBLEM} AS problem FROM events WHERE {_PROBLEM} IS NOT NULL")
+def malformed_quarantine(spark, sf_dir):
+    return decode(_event_lines(spark, sf_dir), "artist", strict=False)[1].select("event_id", "problem")
+
+
+@query(f"SELECT coalesce({_PROBLEM}, 'none') AS problem, count(*) AS n FROM events GROUP BY 1")
+def required_fields(spark, sf_dir):
+    rows = parse(clean_lines(_event_lines(spark, sf_dir)), "artist")
+    return rows.groupBy(F.coalesce("problem", F.lit("none")).alias("problem")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT 'rec-' || p_partkey AS mbid, p_name AS title, p_size::BIGINT * 1000 AS length, '' AS disambiguation, FALSE AS video, NULL::VARCHAR AS first_release_date FROM part")
+def recording_rows(spark, sf_dir):
+    return recordings(documents(spark, sf_dir, "recording")).select(*TABLES["recordings"].names)
+
+
+# -- flattening -----------------------------------------------------------------------------------------------------
+
+
+@query(sql.TABLES + "SELECT 'artist' AS entity, artist_mbid AS mbid, tag, count FROM artist_tags UNION ALL SELECT 'release_group', * FROM release_group_tags UNION ALL SELECT 'recording', * FROM recording_tags")
+def tag_rows(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    part = lambda name, entity, key: t[name].select(F.lit(entity).alias("entity"), F.col(key).alias("mbid"), "tag", "count")
+    return part("artist_tags", "artist", "artist_mbid").unionByName(part("release_group_tags", "release_group", "release_group_mbid")).unionByName(part("recording_tags", "recording", "recording_mbid"))
+
+
+@query(sql.TABLES + "SELECT 'release_group' AS entity, release_group_mbid AS mbid, artist_mbid, artist_name, join_phrase, position FROM release_group_artists UNION ALL SELECT 'release', * FROM release_artists UNION ALL SELECT 'recording', * FROM recording_artists")
+def artist_credits(spark, sf_dir):
+    t, out = Tables(spark, sf_dir), None
+    for entity in ("release_group", "release", "recording"):
+        rows = t[f"{entity}_artists"].select(F.lit(entity).alias("entity"), F.col(f"{entity}_mbid").alias("mbid"), "artist_mbid", "artist_name", "join_phrase", "position")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query(sql.table("embedded_recordings"))
+def recordings_embedded(spark, sf_dir):
+    t = TABLES["recordings"]
+    return first_wins(recordings(embedded_recordings(documents(spark, sf_dir, "release"))), t.key).select(*t.names)
+
+
+@query("""
+SELECT o_custkey, string_agg(o_orderpriority, '|' ORDER BY first) AS prios FROM (SELECT o_custkey, o_orderpriority, min(o_orderkey) AS first FROM orders GROUP BY ALL) GROUP BY o_custkey
+""", name="array_first_wins")
+def array_first_wins_orders(spark, sf_dir):
+    items = F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderpriority"))), lambda x: x["o_orderpriority"])
+    rows = binding.table(spark, sf_dir, "orders").groupBy("o_custkey").agg(items.alias("items"))
+    return rows.select("o_custkey", F.array_join(array_first_wins(F.col("items"), lambda x: x), "|").alias("prios"))
+
+
+# -- merging --------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1")
+def strict_pk_violations(spark, sf_dir):
+    return key_violations(binding.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query(f"SELECT * EXCLUDE (turn) FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {', '.join(binding.LINE)}) AS turn FROM lineitem) WHERE turn = 1")
+def first_wins_pk(spark, sf_dir):
+    return first_wins(binding.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], binding.LINE)
+
+
+@query(sql.TABLES + " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n FROM {t}" for t in NEEDED))
+def catalog_counts(spark, sf_dir):
+    return build.catalog_counts(Tables(spark, sf_dir))
+
+
+@query(sql.TABLES + " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) > 0 AS present FROM {t}" for t in NEEDED))
+def catalog_check(spark, sf_dir):
+    return build.catalog_counts(Tables(spark, sf_dir)).select("table_name", (F.col("n") > 0).alias("present"))
+
+
+@query(
+    sql.TABLES
+    + " UNION ALL ".join(f"SELECT {i}::INT AS position, '{t}' AS key, count(*)::VARCHAR AS value FROM {t}" for i, t in enumerate(NEEDED, 1))
+    + " UNION ALL SELECT 6, 'search_index', 'absent' UNION ALL SELECT 8, 'replication_sequence', count(*)::VARCHAR FROM events"
+)
+def catalog_info(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    sequence = binding.table(spark, sf_dir, "events").agg(F.count("*").cast("string").alias("replication_sequence"))
+    stored = write_catalog({name: t[name] for name in NEEDED}, f"{shared_dir(spark)}/catalog-{uuid.uuid4().hex}", meta_rows(sequence))
+    return build.catalog_info(stored)
+
+
+# -- metadata -------------------------------------------------------------------------------------------------------
+
+_STAMP = "strftime(ts, '%Y-%m-%d %H:%M:%S.') || lpad((date_part('microseconds', ts)::BIGINT % 1000000)::VARCHAR, 6, '0') || '+00'"
+
+
+def _stamp() -> F.Column:
+    return F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("+00"))
+
+
+def _members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata members of one dump per user: sequence, schema and time of the last event."""
+    users = binding.table(spark, sf_dir, "events").groupBy("user_id").agg(F.count("*").alias("n"), F.max("ts").alias("ts"))
+    values = {"REPLICATION_SEQUENCE": F.col("n").cast("string"), "JSON_DUMPS_SCHEMA_NUMBER": F.lit("1\n"), "TIMESTAMP": F.concat(F.lit(" "), _stamp(), F.lit("\n"))}
+    pairs = F.explode(F.array(*(F.struct(F.lit(m).alias("member"), v.alias("content")) for m, v in values.items())))
+    return users.select("user_id", pairs.alias("p")).select("user_id", "p.member", "p.content")
+
+
+@query(f"SELECT user_id, n::VARCHAR AS replication_sequence, '' AS schema_sequence, '1' AS json_schema_number, {_STAMP} AS dump_timestamp FROM (SELECT user_id, count(*) AS n, max(ts) AS ts FROM events GROUP BY user_id)")
+def dump_meta_pivot(spark, sf_dir):
+    return pivot_members(_members(spark, sf_dir), "user_id").select("user_id", *MEMBERS.values())
+
+
+def _dumps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row of metadata per event; its type is a field that must agree, its user the build."""
+    rows = binding.table(spark, sf_dir, "events")
+    kind = F.when(F.col("event_id") % 3 != 0, F.col("event_type")).otherwise("")
+    return rows.select("user_id", "event_id", F.lit("7").alias("replication_sequence"), kind.alias("schema_sequence"), F.lit("").alias("json_schema_number"), _stamp().alias("dump_timestamp"))
+
+
+@query("""
+SELECT user_id, '7' AS replication_sequence, coalesce(min(event_type) FILTER (event_id % 3 <> 0), '') AS schema_sequence, '' AS json_schema_number,
+  CASE WHEN count(DISTINCT event_type) FILTER (event_id % 3 <> 0) > 1 THEN 'schema_sequence' ELSE '' END AS conflict
+FROM events GROUP BY user_id
+""")
+def meta_merge(spark, sf_dir):
+    return merged(_dumps(spark, sf_dir), "user_id", order="event_id").drop("dump_timestamp")
+
+
+@query(f"SELECT event_id, {_STAMP} AS stamp, epoch_us(ts)::BIGINT AS micros FROM events")
+def meta_parse_ts(spark, sf_dir):
+    rows = binding.table(spark, sf_dir, "events").select("event_id", _stamp().alias("stamp"))
+    return rows.select("event_id", "stamp", F.unix_micros(parse_timestamp(F.col("stamp"))).alias("micros"))
+
+
+@query(f"SELECT user_id, {_STAMP} AS dump_timestamp FROM (SELECT user_id, max(ts) AS ts FROM events GROUP BY user_id)")
+def meta_latest_ts(spark, sf_dir):
+    return merged(_dumps(spark, sf_dir), "user_id", order="event_id").select("user_id", "dump_timestamp")
+
+
+_META = f"""
+SELECT user_id, 'replication_sequence' AS key, count(*)::VARCHAR AS value FROM events GROUP BY user_id
+UNION ALL SELECT DISTINCT user_id, 'json_schema_number', '1' FROM events
+UNION ALL SELECT user_id, 'dump_timestamp', {_STAMP} FROM (SELECT user_id, max(ts) AS ts FROM events GROUP BY user_id)
+"""
+
+
+@query(_META)
+def meta_write(spark, sf_dir):
+    return meta_rows(pivot_members(_members(spark, sf_dir), "user_id"), "user_id")
+
+
+@query(f"SELECT key, count(*) AS n, min(value) AS least, max(value) AS most FROM ({_META}) GROUP BY key")
+def meta_read(spark, sf_dir):
+    rows = meta_write(spark, sf_dir)
+    return rows.groupBy("key").agg(F.count("*").alias("n"), F.min("value").alias("least"), F.max("value").alias("most")).orderBy("key")
+
+
+# -- search documents -----------------------------------------------------------------------------------------------
+
+
+@query(sql.TABLES + "SELECT 'release_group' AS entity, release_group_mbid AS mbid, credit FROM rg_credit UNION ALL SELECT 'release', * FROM release_credit UNION ALL SELECT 'recording', * FROM recording_credit")
+def credit_string(spark, sf_dir):
+    t, out = Tables(spark, sf_dir), None
+    for entity in ("release_group", "release", "recording"):
+        rows = search_docs.credit_strings(t[f"{entity}_artists"], f"{entity}_mbid").select(F.lit(entity).alias("entity"), F.col(f"{entity}_mbid").alias("mbid"), "credit")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _search_docs(kind: str, make: Callable):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return make(Tables(spark, sf_dir))
+
+    run.__name__ = f"search_docs_{kind}"
+    query(sql.table(f"docs_{kind}"))(run)
+
+
+for _kind, _make in {
+    "artists": search_docs.artist_docs,
+    "release_groups": search_docs.release_group_docs,
+    "releases": search_docs.release_docs,
+    "recordings": search_docs.recording_docs,
+    "tracks": search_docs.track_docs,
+    "all": search_docs.all_docs,
+}.items():
+    _search_docs(_kind, _make)
+
+
+# -- full text ------------------------------------------------------------------------------------------------------
+
+
+@query(f"SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({sql.tokens('text')}) AS term FROM documents) GROUP BY ALL")
+def fts_tokens(spark, sf_dir):
+    rows = binding.table(spark, sf_dir, "documents").select("doc_id", F.explode(tokens(F.col("text"))).alias("term"))
+    return rows.groupBy("doc_id", "term").agg(F.count("*").alias("tf"))
+
+
+@query(f"SELECT doc_id, idx::INT AS idx, prefix FROM (SELECT doc_id, unnest(range(0, len({sql.tokens('h')}))) AS idx, unnest({sql.tokens('h')}) AS prefix FROM (SELECT doc_id, substr(text, 1, 60) AS h FROM documents))")
+def fts_query_tokens(spark, sf_dir):
+    rows = binding.table(spark, sf_dir, "documents")
+    return rows.select("doc_id", F.posexplode(query_tokens(F.substring("text", 1, 60))).alias("idx", "prefix"))
+
+
+_TEXT = sql.TABLES + sql.index("docs_text")
+_TEXT_PREFIXES = ["the", "ean"]
+
+
+def _text_index(spark: SparkSession, sf_dir: str) -> fulltext.Index:
+    return fulltext.build_index(binding.text_docs(spark, sf_dir))
+
+
+@query(_TEXT + " SELECT * FROM postings")
+def fts_postings(spark, sf_dir):
+    return _text_index(spark, sf_dir).postings
+
+
+@query(_TEXT + " SELECT entity_mbid, len, n_docs, n_tokens FROM doc_len, stats")
+def fts_doc_stats(spark, sf_dir):
+    index = _text_index(spark, sf_dir)
+    return index.doc_len.join(F.broadcast(index.stats)).select("entity_mbid", "len", "n_docs", "n_tokens")
+
+
+def _prefixes(spark: SparkSession) -> list[str]:
+    return fulltext.tokens_of(spark, TEXT_QUERY)
+
+
+@query(_TEXT + sql.bm25(_TEXT_PREFIXES) + " SELECT entity_mbid, idx::INT AS idx, count(*) AS terms, sum(tf)::BIGINT AS tf FROM postings JOIN q ON starts_with(term, prefix) GROUP BY ALL")
+def fts_prefix(spark, sf_dir):
+    hits = fulltext.prefix_hits(_text_index(spark, sf_dir), _prefixes(spark))
+    return hits.groupBy("entity_mbid", "idx").agg(F.count("*").alias("terms"), F.sum("tf").alias("tf"))
+
+
+@query(_TEXT + sql.bm25(_TEXT_PREFIXES) + " SELECT entity_type, entity_mbid FROM scored")
+def fts_and(spark, sf_dir):
+    prefixes = _prefixes(spark)
+    return fulltext.matching(fulltext.prefix_hits(_text_index(spark, sf_dir), prefixes), len(prefixes))
+
+
+@query(_TEXT + sql.bm25(_TEXT_PREFIXES) + " SELECT entity_mbid, round(score, 6) AS score FROM scored")
+def fts_bm25(spark, sf_dir):
+    return fulltext.bm25(_text_index(spark, sf_dir), _prefixes(spark)).select("entity_mbid", F.round("score", 6).alias("score"))
+
+
+@query(_TEXT + sql.bm25(_TEXT_PREFIXES) + sql.top("docs_text", 10) + " SELECT entity_mbid, heading, rank, round(score, 6) AS score FROM best")
+def fts_topk(spark, sf_dir):
+    scored = fulltext.bm25(_text_index(spark, sf_dir), _prefixes(spark))
+    hits = fulltext.top_hits(binding.text_docs(spark, sf_dir).join(scored, list(fulltext.DOC)), 10)
+    return hits.select("entity_mbid", "heading", "rank", F.round("score", 6).alias("score"))
+
+
+_CATALOG = sql.TABLES + sql.index("docs_all") + sql.bm25(["widget", "ord"]) + sql.top("docs_all", 10)
+
+
+def _catalog_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = search_docs.all_docs(Tables(spark, sf_dir))
+    return fulltext.search_fast(fulltext.build_index(docs), docs, FTS_QUERY)
+
+
+@query(_CATALOG + """ SELECT CASE entity_type WHEN 'artist' THEN 1 WHEN 'release_group' THEN 2 WHEN 'release' THEN 3 WHEN 'recording' THEN 4 ELSE 5 END::INT AS section,
+  entity_type, rank, entity_mbid, heading AS title, concat_ws(' | ', nullif(subtitle, ''), nullif(aux, '')) AS context, meta FROM best""")
+def fts_sections(spark, sf_dir):
+    return fulltext.sections(_catalog_hits(spark, sf_dir))
+
+
+@query(_CATALOG + " SELECT entity_type, entity_mbid, heading, subtitle, meta, aux, rank, round(score, 6) AS score FROM best")
+def fts_search(spark, sf_dir):
+    hits = _catalog_hits(spark, sf_dir)
+    return hits.select("entity_type", "entity_mbid", "heading", "subtitle", "meta", "aux", "rank", F.round("score", 6).alias("score"))
+
+
+# -- tiers ----------------------------------------------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class _Search:
+    kind: str
+    text: str
+    limit: int
+
+
+for _key, _s in {
+    "search_artists": _Search("artist", ARTIST_QUERY, 10),
+    "search_release_groups": _Search("release_group", TIER_QUERY, 10),
+    "search_releases": _Search("release", "Order 1% customer", 10),
+    "search_releases_barcode": _Search("release", BARCODE, 10),
+    "search_recordings": _Search("recording", "cold WIDGET", 10),
+    "search_recordings_isrc": _Search("recording", ISRC, 10),
+    "search_tracks": _Search("track", "part", 10),
+    "search_tiers_artists": _Search("artist", "supplier#00000000_", 25),
+    "search_tiers_releases": _Search("release", "nation_1", 40),
+}.items():
+
+    def _run(spark, sf_dir, s=_s):
+        return tiered.SEARCHES[s.kind](Tables(spark, sf_dir), s.text, s.limit)
+
+    _run.__name__ = _key
+    query(sql.TABLES + "SELECT * FROM " + sql.searches(_s.text, _s.limit)[_s.kind])(_run)
+
+
+@query(sql.federated(ARTIST_QUERY, 10))
+def search_federated(spark, sf_dir):
+    return tiered.search(Tables(spark, sf_dir), ARTIST_QUERY, 10)
