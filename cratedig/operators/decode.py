@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cratedig.functions.text import line_trim, text
 from cratedig.schemas import DOCUMENTS, REQUIRED
@@ -23,7 +22,7 @@ def clean_lines(lines: DataFrame) -> DataFrame:
 
 def parse(lines: DataFrame, entity: str) -> DataFrame:
     """``lines`` with the document ``doc`` and ``problem``: null, ``malformed`` or ``missing <field>``."""
-    schema = T.StructType([*DOCUMENTS[entity].fields, T.StructField(_CORRUPT, T.StringType())])
+    schema = f"{DOCUMENTS[entity]}, {_CORRUPT} string"
     out = lines.withColumn("doc", F.from_json("line", schema, {"columnNameOfCorruptRecord": _CORRUPT}))
     missing: Column = F.lit(None).cast("string")
     for field in reversed(REQUIRED[entity]):

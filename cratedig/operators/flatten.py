@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from cratedig.functions.text import filled, null_if_empty, text
 from cratedig.operators.merge import array_first_wins
 
-_NONE = F.array().cast("array<int>")
+
+def _at(docs: DataFrame) -> Column:
+    return docs["at"] if "at" in docs.columns else F.array().cast("array<int>")
 
 
 def _id(docs: DataFrame) -> Column:
@@ -31,14 +33,12 @@ def _number(x: Column) -> Column:
 
 
 def _rows(docs: DataFrame, **columns: Column) -> DataFrame:
-    at = docs["at"] if "at" in docs.columns else _NONE
-    return docs.select(*(c.alias(k) for k, c in columns.items()), "source_rank", "line_no", at.alias("at"))
+    return docs.select(*(c.alias(k) for k, c in columns.items()), "source_rank", "line_no", _at(docs).alias("at"))
 
 
 def _exploded(docs: DataFrame, items: Column) -> DataFrame:
     """One row per item as ``x``, with its position added to ``at``."""
-    at = docs["at"] if "at" in docs.columns else _NONE
-    out = docs.select("doc", "source_rank", "line_no", at.alias("_at"), F.posexplode(items).alias("_i", "x"))
+    out = docs.select("doc", "source_rank", "line_no", _at(docs).alias("_at"), F.posexplode(items).alias("_i", "x"))
     return out.withColumn("at", F.concat("_at", F.array("_i"))).drop("_at")
 
 

@@ -70,24 +70,27 @@ def search_artists(t: Mapping[str, DataFrame], query: str, limit: int = LIMIT, e
 def search_release_groups(t: Mapping[str, DataFrame], query: str, limit: int = LIMIT, escape: bool = False) -> DataFrame:
     like = lambda c: like_tier(F.col(c), query, escape)
     rows = tiered(t["release_groups"], [equal_tier(F.col("mbid"), query), like("title")], [(t["release_group_artists"], "release_group_mbid", like("artist_name"))])
-    top = tiered_topn(rows, [F.desc_nulls_last("first_release_date"), "title", "mbid"], limit)
-    return _credited(top, t["release_group_artists"], "release_group_mbid").select("tier", "mbid", "title", _empty("primary_type"), _empty("first_release_date"), "artists")
+    order = [F.desc_nulls_last("first_release_date"), "title", "mbid"]
+    top = _credited(tiered_topn(rows, order, limit), t["release_group_artists"], "release_group_mbid")
+    return top.orderBy("tier", *order).select("tier", "mbid", "title", _empty("primary_type"), _empty("first_release_date"), "artists")
 
 
 def search_releases(t: Mapping[str, DataFrame], query: str, limit: int = LIMIT, escape: bool = False) -> DataFrame:
     like = lambda c: like_tier(F.col(c), query, escape)
     own = [equal_tier(F.col("mbid"), query), like("title"), equal_tier(F.col("barcode"), query)]
     rows = tiered(t["releases"], own, [(t["release_artists"], "release_mbid", like("artist_name")), (t["release_labels"], "release_mbid", like("label_name"))])
-    top = tiered_topn(rows, [F.desc_nulls_last("date"), "title", "mbid"], limit)
-    return _credited(top, t["release_artists"], "release_mbid").select("tier", "mbid", "title", _empty("date"), _empty("country"), "artists")
+    order = [F.desc_nulls_last("date"), "title", "mbid"]
+    top = _credited(tiered_topn(rows, order, limit), t["release_artists"], "release_mbid")
+    return top.orderBy("tier", *order).select("tier", "mbid", "title", _empty("date"), _empty("country"), "artists")
 
 
 def search_recordings(t: Mapping[str, DataFrame], query: str, limit: int = LIMIT, escape: bool = False) -> DataFrame:
     like = lambda c: like_tier(F.col(c), query, escape)
     children = [(t["recording_artists"], "recording_mbid", like("artist_name")), (t["recording_isrcs"], "recording_mbid", equal_tier(F.col("isrc"), query)), (t["tracks"], "recording_mbid", like("title"))]
     rows = tiered(t["recordings"], [equal_tier(F.col("mbid"), query), like("title")], children)
-    top = tiered_topn(rows, [F.desc_nulls_last("first_release_date"), "title", "mbid"], limit)
-    return _credited(top, t["recording_artists"], "recording_mbid").select("tier", "mbid", "title", _empty("first_release_date"), "artists")
+    order = [F.desc_nulls_last("first_release_date"), "title", "mbid"]
+    top = _credited(tiered_topn(rows, order, limit), t["recording_artists"], "recording_mbid")
+    return top.orderBy("tier", *order).select("tier", "mbid", "title", _empty("first_release_date"), "artists")
 
 
 def search_tracks(t: Mapping[str, DataFrame], query: str, limit: int = LIMIT, escape: bool = False) -> DataFrame:
@@ -96,8 +99,9 @@ def search_tracks(t: Mapping[str, DataFrame], query: str, limit: int = LIMIT, es
     artist = child_tier(t["release_artists"], "release_mbid", like("artist_name"), "_artist")
     rows = t["tracks"].join(releases, "release_mbid").join(artist, "release_mbid", "left")
     rows = tiered(rows, [equal_tier(F.col("mbid"), query), like("title"), F.col("_artist")], [])
-    top = tiered_topn(rows, [F.desc_nulls_last("release_date"), "title", "mbid"], limit)
-    return _credited(top, t["release_artists"], "release_mbid", "release_mbid").select("tier", "mbid", "title", "number", _empty("release_title"), "artists")
+    order = [F.desc_nulls_last("release_date"), "title", "mbid"]
+    top = _credited(tiered_topn(rows, order, limit), t["release_artists"], "release_mbid", "release_mbid")
+    return top.orderBy("tier", *order).select("tier", "mbid", "title", "number", _empty("release_title"), "artists")
 
 
 SEARCHES = dict(zip(SECTIONS, (search_artists, search_release_groups, search_releases, search_recordings, search_tracks), strict=True))

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import types as T
-
 TAG = "struct<name:string,count:bigint>"
 RELATION = "struct<type:string,`target-type`:string,url:struct<resource:string>>"
 ALIAS = "struct<name:string,`sort-name`:string,type:string,locale:string,primary:boolean>"
@@ -27,24 +25,24 @@ _EMBEDDED = ",".join(f"{k}:{v}" for k, v in _RECORDING_FIELDS.items())
 TRACK = f"struct<id:string,number:string,title:string,length:bigint,position:bigint,recording:struct<{_EMBEDDED}>>"
 
 #: One document is one JSON object on a line.
-DOCUMENTS: dict[str, T.StructType] = {
-    "artist": T.StructType.fromDDL(
+DOCUMENTS: dict[str, str] = {
+    "artist": (
         "id string, name string, `sort-name` string, disambiguation string, type string, country string, gender string, "
         "area struct<id:string,name:string>, `life-span` struct<`begin`:string,`end`:string,ended:boolean>, "
         f"aliases array<{ALIAS}>, tags array<{TAG}>, genres array<struct<id:string,name:string,count:bigint>>, relations array<{RELATION}>"
     ),
-    "release-group": T.StructType.fromDDL(
+    "release-group": (
         "id string, title string, `primary-type` string, disambiguation string, `first-release-date` string, "
         f"`secondary-types` array<string>, `artist-credit` array<{CREDIT}>, tags array<{TAG}>, relations array<{RELATION}>"
     ),
-    "release": T.StructType.fromDDL(
+    "release": (
         "id string, title string, status string, date string, country string, barcode string, packaging string, "
         f"`release-group` struct<id:string,title:string>, `artist-credit` array<{CREDIT}>, "
         "`label-info` array<struct<`catalog-number`:string,label:struct<id:string,name:string>>>, "
         "`text-representation` struct<language:string,script:string>, "
         f"media array<struct<format:string,position:bigint,`track-count`:bigint,tracks:array<{TRACK}>>>, relations array<{RELATION}>"
     ),
-    "recording": T.StructType.fromDDL(RECORDING),
+    "recording": RECORDING,
 }
 ENTITIES = tuple(DOCUMENTS)
 
@@ -61,7 +59,7 @@ class Table:
 
     @property
     def names(self) -> list[str]:
-        return [f.name for f in T.StructType.fromDDL(self.columns).fields]
+        return [x.split()[0] for x in self.columns.split(",")]
 
 
 TABLES: dict[str, Table] = {

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import io
 import tarfile
 from collections.abc import Iterator
 
@@ -67,8 +66,8 @@ class _Reader(DataSourceReader):
                 name = "/".join(x for x in info.name.split("/") if x not in ("", "."))
                 if name == f"mbdump/{entity}":
                     found = True
-                    for n, line in enumerate(io.TextIOWrapper(tar.extractfile(info), "utf-8", newline="\n")):
-                        yield entity, name, n, line.removesuffix("\n")
+                    for n, line in enumerate(tar.extractfile(info)):
+                        yield entity, name, n, line.decode().removesuffix("\n")
                 elif name in MEMBERS:
                     yield entity, name, 0, tar.extractfile(info).read(META_BYTES).decode()
         if not found:
