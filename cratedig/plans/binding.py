@@ -185,9 +185,7 @@ def recording_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lines(table(spark, sf_dir, "part"), 3, pk, document)
 
 
-def all_lines(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    makers = {"artist": artist_lines, "release-group": release_group_lines, "release": release_lines, "recording": recording_lines}
-    return {k: f(spark, sf_dir) for k, f in makers.items()}
+LINES = {"artist": artist_lines, "release-group": release_group_lines, "release": release_lines, "recording": recording_lines}
 
 
 def text_docs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,15 +42,23 @@ def query(oracle: str, name: str | None = None):
     return register
 
 
-def documents(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    """The decoded documents of an entity, staged once a session."""
-    key = (spark.sparkContext.applicationId, sf_dir, entity)
+def _once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], object]) -> str:
+    """The path under which ``write`` has put ``name``, once a session."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _staged:
-        good, _ = decode(getattr(binding, f"{entity.replace('-', '_')}_lines")(spark, sf_dir), entity, strict=False)
-        path = f"{shared_dir(spark)}/documents-{entity}-{uuid.uuid4().hex}"
-        good.write.parquet(path)
+        path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        write(path)
         _staged[key] = path
-    return spark.read.parquet(_staged[key])
+    return _staged[key]
+
+
+def documents(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    """The decoded documents of an entity, as a build stages them."""
+
+    def write(path: str) -> None:
+        decode(binding.LINES[entity](spark, sf_dir), entity, strict=False)[0].write.parquet(path)
+
+    return spark.read.parquet(_once(spark, sf_dir, f"documents-{entity}", write))
 
 
 class _Documents(dict):
@@ -79,6 +87,19 @@ class Tables:
         return (rows if t.strict else first_wins(rows, t.key)).select(*t.names)
 
 
+class Stored(Tables):
+    """The tables as a published catalogue has them; searches read these."""
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self.spark.read.schema(TABLES[name].columns).parquet(_once(self.spark, self.sf_dir, f"table-{name}", super().__getitem__(name).write.parquet))
+
+
+def stored_index(spark: SparkSession, sf_dir: str, corpus: str) -> tuple[fulltext.Index, DataFrame]:
+    """The published search index of the catalogue or of the text corpus."""
+    docs = {"catalog": lambda: search_docs.all_docs(Stored(spark, sf_dir)), "text": lambda: binding.text_docs(spark, sf_dir)}[corpus]
+    return fulltext.read_index(spark, _once(spark, sf_dir, f"index-{corpus}", lambda path: fulltext.write_index(docs(), path)))
+
+
 def _table(name: str, of: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return Tables(spark, sf_dir)[of]
@@ -331,7 +352,7 @@ def credit_string(spark, sf_dir):
 
 def _search_docs(kind: str, make: Callable):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return make(Tables(spark, sf_dir))
+        return make(Stored(spark, sf_dir))
 
     run.__name__ = f"search_docs_{kind}"
     query(sql.table(f"docs_{kind}"))(run)
@@ -388,25 +409,26 @@ def _prefixes(spark: SparkSession) -> list[str]:
 
 @query(_TEXT + sql.bm25(_TEXT_PREFIXES) + " SELECT entity_mbid, idx::INT AS idx, count(*) AS terms, sum(tf)::BIGINT AS tf FROM postings JOIN q ON starts_with(term, prefix) GROUP BY ALL")
 def fts_prefix(spark, sf_dir):
-    hits = fulltext.prefix_hits(_text_index(spark, sf_dir), _prefixes(spark))
+    hits = fulltext.prefix_hits(stored_index(spark, sf_dir, "text")[0], _prefixes(spark))
     return hits.groupBy("entity_mbid", "idx").agg(F.count("*").alias("terms"), F.sum("tf").alias("tf"))
 
 
 @query(_TEXT + sql.bm25(_TEXT_PREFIXES) + " SELECT entity_type, entity_mbid FROM scored")
 def fts_and(spark, sf_dir):
     prefixes = _prefixes(spark)
-    return fulltext.matching(fulltext.prefix_hits(_text_index(spark, sf_dir), prefixes), len(prefixes))
+    return fulltext.matching(fulltext.prefix_hits(stored_index(spark, sf_dir, "text")[0], prefixes), len(prefixes))
 
 
 @query(_TEXT + sql.bm25(_TEXT_PREFIXES) + " SELECT entity_mbid, round(score, 6) AS score FROM scored")
 def fts_bm25(spark, sf_dir):
-    return fulltext.bm25(_text_index(spark, sf_dir), _prefixes(spark)).select("entity_mbid", F.round("score", 6).alias("score"))
+    return fulltext.bm25(stored_index(spark, sf_dir, "text")[0], _prefixes(spark)).select("entity_mbid", F.round("score", 6).alias("score"))
 
 
 @query(_TEXT + sql.bm25(_TEXT_PREFIXES) + sql.top("docs_text", 10) + " SELECT entity_mbid, heading, rank, round(score, 6) AS score FROM best")
 def fts_topk(spark, sf_dir):
-    scored = fulltext.bm25(_text_index(spark, sf_dir), _prefixes(spark))
-    hits = fulltext.top_hits(binding.text_docs(spark, sf_dir).join(scored, list(fulltext.DOC)), 10)
+    index, docs = stored_index(spark, sf_dir, "text")
+    scored = fulltext.bm25(index, _prefixes(spark))
+    hits = fulltext.top_hits(docs.join(scored, list(fulltext.DOC)), 10)
     return hits.select("entity_mbid", "heading", "rank", F.round("score", 6).alias("score"))
 
 
@@ -414,8 +436,8 @@ _CATALOG = sql.TABLES + sql.index("docs_all") + sql.bm25(["widget", "ord"]) + sq
 
 
 def _catalog_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = search_docs.all_docs(Tables(spark, sf_dir))
-    return fulltext.search_fast(fulltext.build_index(docs), docs, FTS_QUERY)
+    index, docs = stored_index(spark, sf_dir, "catalog")
+    return fulltext.search_fast(index, docs, FTS_QUERY)
 
 
 @query(_CATALOG + """ SELECT CASE entity_type WHEN 'artist' THEN 1 WHEN 'release_group' THEN 2 WHEN 'release' THEN 3 WHEN 'recording' THEN 4 ELSE 5 END::INT AS section,
@@ -453,7 +475,7 @@ for _key, _s in {
 }.items():
 
     def _run(spark, sf_dir, s=_s):
-        return tiered.SEARCHES[s.kind](Tables(spark, sf_dir), s.text, s.limit)
+        return tiered.SEARCHES[s.kind](Stored(spark, sf_dir), s.text, s.limit)
 
     _run.__name__ = _key
     query(sql.TABLES + "SELECT * FROM " + sql.searches(_s.text, _s.limit)[_s.kind])(_run)
@@ -461,4 +483,4 @@ for _key, _s in {
 
 @query(sql.federated(ARTIST_QUERY, 10))
 def search_federated(spark, sf_dir):
-    return tiered.search(Tables(spark, sf_dir), ARTIST_QUERY, 10)
+    return tiered.search(Stored(spark, sf_dir), ARTIST_QUERY, 10)
