@@ -255,8 +255,8 @@ def _repeats(documents: DataFrame, length: int, gram: int, bucket: int) -> tuple
     """The documents with a text hash ``th``, and runs (first, last) of repeated window starts by (doc_id, th)."""
     if not 8 <= gram < length:
         raise ValueError("gram must be at least 8 and below length")
-    docs = documents.withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.coalesce("text", F.lit(""))}).withColumn("th", F.xxhash64("text"))
-    slim = docs.select("doc_id", "th", "text").where(F.octet_length("text") >= length)
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).select("doc_id", F.xxhash64("text").alias("th"), "text")
+    slim = docs.where(F.octet_length("text") >= length)
     blocks = save(slim.mapInArrow(_blocks(length, gram), "key long, block long, doc_id long, th long, lo int, hi int, at int"), "blocks")
     # hashes alone tell blocks that repeat whole from anchors that need their bytes compared
     distinct = save(blocks.groupBy("key", "block").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "th", "lo", "hi", "at")).alias("one")), "distinct")
@@ -288,7 +288,7 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, gram: int = GRAM,
     A null doc_id is a document like any other. Other columns are ignored.
     An empty table gives an empty result.
     """
-    docs, runs = _repeats(documents.select("doc_id", "text"), length, gram, bucket)
+    docs, runs = _repeats(documents, length, gram, bucket)
     return _with(docs, runs, "left").select("doc_id", "text", "runs").mapInArrow(
         _remove(length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>"
     )
@@ -304,5 +304,6 @@ def remaining_text(documents: DataFrame, length: int = LENGTH, gram: int = GRAM,
     def cut(texts: pd.Series, runs: pd.Series) -> pd.Series:
         return pd.Series([b"".join(_kept((t or "").encode(), r, length)[0]).decode("utf-8", "ignore") for t, r in zip(texts, runs, strict=True)])
 
-    docs, runs = _repeats(documents, length, gram, bucket)
-    return _with(docs, runs.withColumnRenamed("runs", "_runs"), "left").withColumn("text", cut("text", "_runs")).select(*documents.columns)
+    runs = _repeats(documents, length, gram, bucket)[1].select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), F.col("runs").alias("__runs"))
+    same = documents["doc_id"].cast("long").eqNullSafe(runs["__id"]) & (F.xxhash64(F.coalesce(documents["text"], F.lit(""))) == runs["__th"])
+    return documents.join(runs, same, "left").withColumn("text", cut("text", "__runs")).select(*documents.columns)

@@ -64,10 +64,11 @@ def test_repeated_rows_null_ids_and_no_rows(spark):
 
 
 def test_remaining_text_keeps_columns(spark):
-    docs = spark.createDataFrame([(1, "x" * 30 + "q" * 500, "en", "a"), (2, "y" * 500, "de", "b"), (3, None, None, None)], SCHEMA)
+    docs = spark.createDataFrame([(1, "x" * 30 + "q" * 500, "en", "own"), (2, "y" * 500, "de", "b"), (3, None, None, None)], SCHEMA)
     got = remaining_text(docs).orderBy("doc_id")
     assert got.columns == docs.columns
     assert [r.text for r in got.collect()] == ["x" * 30, "", ""]
+    assert [r.th for r in got.collect()] == ["own", "b", None]
 
 
 def test_multikey_order():
