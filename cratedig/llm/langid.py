@@ -29,7 +29,7 @@ SWITCH = 8.0
 #: Weight of the n-grams' log-likelihoods, which overlap.
 TEMPER = 0.3
 UNKNOWN = "und"
-_CHARS = 1 << 20
+_CHARS = 3 << 20
 
 
 @dataclass(frozen=True)
@@ -112,19 +112,25 @@ def word_scores(words: Words, model: Model) -> np.ndarray:
 def _settled(scores: np.ndarray, first: np.ndarray, row: np.ndarray, best: np.ndarray, penalty: float) -> np.ndarray:
     """Rows whose best path never leaves the language best overall.
 
-    That is so if no run of words gains more than half a switch by any other
-    language: a path of j runs elsewhere makes j - 1 switches at least, and one
-    run over the whole text gains nothing.
+    That is so if no run of words gains more than one switch costs by any other
+    language, and no run from the start and one to the end gain more than that
+    together: j runs elsewhere make j switches at least, or j - 1 if they are
+    the whole text, in which case the first and the last are such runs.
     """
     out = np.ones(len(first), bool)
+    head, tail = np.zeros(len(first)), np.zeros(len(first))
+    last = np.append(first[1:], len(row)) - 1
     shift = row * (50.0 * scores.shape[0] + 1e6)
     for k in range(scores.shape[1]):
         gain = np.cumsum(scores[:, k].astype(np.float64) - scores[np.arange(len(row)), best[row]])
         before = np.concatenate([[0.0], gain[:-1]])
         # rows are shifted down one after another, so that the running minimum never reaches back
         low = np.minimum.accumulate(before - shift) + shift
-        out &= (np.maximum.reduceat(gain - low, first) <= penalty / 2) | (best == k)
-    return out
+        own = best == k
+        out &= (np.maximum.reduceat(gain - low, first) <= penalty) | own
+        head = np.maximum(head, np.where(own, 0, np.maximum.reduceat(gain, first) - before[first]))
+        tail = np.maximum(tail, np.where(own, 0, gain[last] - np.minimum.reduceat(before, first)))
+    return out & (head + tail <= penalty)
 
 
 def best_labels(scores: np.ndarray, counts: np.ndarray, penalty: float = SWITCH) -> np.ndarray:
