@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cratedig.llm._util import save
+from cratedig.llm._util import ragged, save
 
 K = 5
 #: Points of a shard at most on average, neighbours of a point, and candidates held in building and searching.
@@ -80,7 +80,7 @@ class Graph:
         vectors = self.unit[np.maximum(near, 0)]
         taken = np.zeros((rows, wide), bool)
         count = np.zeros(rows, int)
-        between = np.einsum("rid,rjd->rij", vectors, vectors)
+        between = np.matmul(vectors, vectors.transpose(0, 2, 1))
         for j in range(wide):
             good = (near[:, j] >= 0) & (count < most) & ~((between[:, j] > close[:, j, None]) & taken).any(axis=1)
             taken[:, j] = good
@@ -94,19 +94,23 @@ class Graph:
         of, to = np.repeat(points, chosen.shape[1]), chosen.ravel()
         of, to = of[to >= 0], to[to >= 0]
         order = np.argsort(to, kind="stable")
-        of, to = of[order], to[order]
-        ends, first = np.unique(to, return_index=True)
-        for p, new in zip(ends, np.split(of, first[1:]), strict=True):
-            row = layer[p]
-            have = row[row >= 0]
-            new = new[~np.isin(new, have)]
-            every = np.concatenate([have, new])
-            if len(every) > len(row):
-                score = self.unit[every] @ self.unit[p]
-                top = np.argsort(-score, kind="stable")
-                every = self._diverse(every[top][None], score[top][None], len(row))[0]
-            layer[p] = -1
-            layer[p, : len(every)] = every
+        ends, counts = np.unique(to, return_counts=True)
+        if not len(ends):
+            return
+        owner, step = ragged(counts)
+        new = np.full((len(ends), int(counts.max())), -1, np.int64)
+        new[owner, step] = of[order]
+        have, most = layer[ends], layer.shape[1]
+        new[(new[:, :, None] == have[:, None, :]).any(axis=2)] = -1
+        every = np.concatenate([have, new], axis=1)
+        score = np.where(every >= 0, np.matmul(self.unit[np.maximum(every, 0)], self.unit[ends][:, :, None])[:, :, 0], -np.inf)
+        top = np.argsort(-score, axis=1, kind="stable")
+        every, score = np.take_along_axis(every, top, 1), np.take_along_axis(score, top, 1)
+        out = every[:, :most]
+        full = np.flatnonzero((every >= 0).sum(axis=1) > most)
+        if len(full):
+            out[full] = self._diverse(every[full], score[full], most)
+        layer[ends] = out
 
     def _layer(self, q: np.ndarray, start: np.ndarray, k: int, width: int) -> tuple[np.ndarray, np.ndarray]:
         """The ``width`` best points found for each query from its starts: numbers and scores, best first, -1 fills."""
@@ -116,7 +120,7 @@ class Graph:
         seen[lines, start] = True
         seen[:, n] = True
         point = start.astype(np.int64)
-        score = np.where(point >= 0, np.einsum("rid,rd->ri", self.unit[np.maximum(point, 0)], q), -np.inf)
+        score = np.where(point >= 0, np.matmul(self.unit[np.maximum(point, 0)], q[:, :, None])[:, :, 0], -np.inf)
         fresh = point >= 0
         live = np.arange(rows)
         while len(live):
@@ -135,7 +139,7 @@ class Graph:
             more[:, 1:][more[:, 1:] == more[:, :-1]] = -1
             more = np.where(seen[live[:, None], more], -1, more)
             seen[live[:, None], more] = True
-            got = np.where(more >= 0, np.einsum("rid,rd->ri", self.unit[np.maximum(more, 0)], q[live]), -np.inf)
+            got = np.where(more >= 0, np.matmul(self.unit[np.maximum(more, 0)], q[live][:, :, None])[:, :, 0], -np.inf)
             wide = max(point.shape[1], width)
             if point.shape[1] < wide:
                 pad = wide - point.shape[1]
