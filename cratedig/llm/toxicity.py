@@ -28,9 +28,11 @@ UNLABELLED = 4_000
 #: Learned lexicon entries in all, and voters they are dealt to.
 ENTRIES = 4096
 VOTERS = 16
-#: Documents that must hold an entry, and the least share of toxic ones among them, smoothed.
-SUPPORT = 4
-PRECISION = 0.8
+#: Toxic documents that must hold an entry: at least so many, and this share of all in the sample.
+SUPPORT = 3
+SUPPORT_SHARE = 0.015
+#: The least share of toxic documents among those with an entry, smoothed.
+PRECISION = 0.85
 _CHARS = 1 << 20
 
 #: Insults of four languages, lower case.
@@ -197,15 +199,20 @@ def train(documents: DataFrame, labels: DataFrame, labelled: int = LABELLED, unl
     classes there are no learned entries, and the fixed voters alone decide.
     """
     gold = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("_label")).agg(F.max("toxic").alias("toxic"))
-    docs = documents.select(F.col("doc_id").cast("long").alias("_id"), "text").where("text is not null")
-    both = docs.join(gold, docs["_id"] == gold["_label"], "left").select(F.coalesce("_id", F.lit(NO_ID)).alias("id"), "text", F.coalesce(F.col("toxic").cast("int"), F.lit(-1)).alias("toxic"))
-    counts = {r["known"]: r["n"] for r in docs.join(gold, docs["_id"] == gold["_label"], "left").groupBy((F.col("toxic").isNotNull()).alias("known")).agg(F.count("*").alias("n")).collect()}
+    docs = documents.where("text is not null").select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), "text")
+    ids = docs.select("id").join(gold, F.col("id") == F.col("_label"), "left").select("id", F.coalesce(F.col("toxic").cast("int"), F.lit(-1)).alias("toxic"))
+    counts = {r["known"]: r["n"] for r in ids.groupBy((F.col("toxic") >= 0).alias("known")).agg(F.count("*").alias("n")).collect()}
     draw = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
     share = lambda k, most: most / max(1, counts.get(k, 0))
-    sample = save(both.where(((F.col("toxic") >= 0) & (draw < share(True, labelled))) | ((F.col("toxic") < 0) & (draw < share(False, unlabelled)))), "sample")
+    # ids are drawn first, so that no text moves to meet its label; they are as many as the parameters say
+    drawn = save(ids.where(draw < F.when(F.col("toxic") >= 0, share(True, labelled)).otherwise(share(False, unlabelled))).distinct(), "drawn")
+    # copies of a text would lend its rare words the support of many documents
+    once = docs.join(F.broadcast(drawn), "id").withColumn("th", F.xxhash64("text")).groupBy("th")
+    sample = save(once.agg(F.min("id").alias("id"), F.max("toxic").alias("toxic"), F.min("text").alias("text")), "sample")
+    support = max(SUPPORT, SUPPORT_SHARE * sample.where("toxic = 1").count())
     sums = sample.where("toxic >= 0").select("text", "toxic").mapInArrow(_count, "key long, bad long, n long").groupBy("key").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
     odds = (F.col("bad") + 0.5) / (F.col("n") + 1)
-    top = sums.where((F.col("bad") >= SUPPORT) & (odds >= PRECISION)).orderBy(F.desc("bad"), "key").limit(ENTRIES).select("key").toArrow()
+    top = sums.where((F.col("bad") >= support) & (odds >= PRECISION)).orderBy(F.desc("bad"), "key").limit(ENTRIES).select("key").toArrow()
     lexicon = Lexicon(top["key"].to_numpy().view(np.uint64), VOTERS)
     shared = documents.sparkSession.sparkContext.broadcast(lexicon)
 
