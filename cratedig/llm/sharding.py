@@ -3,8 +3,8 @@
 The directory is indexed by the leading bits of a document's hash. A bucket
 that holds more bytes than ``limit`` splits on one more bit, and only such a
 bucket: so each shard is the shortest prefix that fits while its parent does
-not. Sums per prefix are all that is shuffled: the finest level is counted
-once, and its ancestors are sums of those.
+not. Only sums per prefix are shuffled: documents are summed once, by the
+finest prefix, and the directory is found on those sums.
 """
 
 from __future__ import annotations
@@ -21,9 +21,35 @@ BITS = 60
 STEP = 8
 
 
-def _bits(depth) -> F.Column:
-    """The first ``depth`` bits of the hash, as a number."""
-    return F.call_function("shiftright", F.col("hash"), (F.lit(BITS) - depth).cast("int"))
+def _prefix(column: str, bits: int, depth: int | F.Column) -> F.Column:
+    """The first ``depth`` of the ``bits`` of a number."""
+    return F.call_function("shiftright", F.col(column), (F.lit(bits) - depth).cast("int"))
+
+
+def _directory(leaves: DataFrame, above: int, depth: int, limit: int) -> DataFrame:
+    """(leaf, depth, prefix, shard_bytes) of the leaves, prefixes of ``depth`` bits, that some prefix makes fit.
+
+    From the top down, STEP bits a round: early rounds have few prefixes, and
+    only leaves in buckets that are too large go on to the next. At ``above``
+    (-1: none) all buckets are known to be too large.
+    """
+    found, rest, top = None, leaves, above
+    while top < depth:
+        low = min(depth, max(top, 0) + STEP)
+        tips = rest.groupBy(_prefix("leaf", depth, low).alias("tip")).agg(F.sum("bytes").alias("bytes"))
+        levels = F.explode(F.sequence(F.lit(max(top, 0)), F.lit(low))).alias("depth")
+        spread = save(tips.select("tip", "bytes", levels).withColumn("prefix", _prefix("tip", low, F.col("depth"))), "tips")
+        sums = save(spread.groupBy("depth", "prefix").agg(F.sum("bytes").alias("shard_bytes")), "prefixes")
+        large = sums.where(F.col("shard_bytes") > limit).select((F.col("depth") + 1).alias("depth"), F.col("prefix").alias("parent"))
+        fit = sums.where(F.col("shard_bytes") <= limit)
+        whole = fit.where("depth = 0")
+        split = fit.withColumn("parent", F.call_function("shiftright", F.col("prefix"), F.lit(1))).join(large, ["depth", "parent"], "left_semi").where("depth > 0").drop("parent")
+        shards = spread.select("tip", "depth", "prefix").join(whole.unionByName(split), ["depth", "prefix"])
+        keyed = rest.withColumn("tip", _prefix("leaf", depth, low))
+        part = keyed.join(shards, "tip").select("leaf", "depth", "prefix", "shard_bytes")
+        found = part if found is None else found.unionByName(part)
+        rest, top = save(keyed.join(shards.select("tip"), "tip", "left_anti").drop("tip"), "rest"), low
+    return found
 
 
 def assign_shards(documents: DataFrame, limit: int = LIMIT) -> DataFrame:
@@ -45,22 +71,13 @@ def assign_shards(documents: DataFrame, limit: int = LIMIT) -> DataFrame:
     docs = save(docs, "hashes")
     total = docs.agg(F.sum("n_bytes")).first()[0] or 0
     depth = min(BITS, max(0, int(total // limit).bit_length()) + STEP)
-    # round by round, only what no prefix of the last depth could fit goes deeper
     found, rest, above = [], docs, -1
     while True:
-        leaves = rest.groupBy(_bits(F.lit(depth)).alias("leaf")).agg(F.sum("n_bytes").alias("leaf_bytes"))
-        levels = F.explode(F.sequence(F.lit(max(above, 0)), F.lit(depth))).alias("depth")
-        sums = leaves.select("leaf", "leaf_bytes", levels).groupBy("depth", F.call_function("shiftright", F.col("leaf"), (F.lit(depth) - F.col("depth")).cast("int")).alias("prefix")).agg(F.sum("leaf_bytes").alias("bytes"))
-        sums = save(sums.select("depth", "prefix", "bytes"), "prefixes")
-        parent = sums.where(F.col("bytes") > limit).select((F.col("depth") + 1).alias("depth"), F.col("prefix").alias("parent"))
-        fit = sums.where(F.col("bytes") <= limit).withColumn("parent", F.call_function("shiftright", F.col("prefix"), F.lit(1)))
-        shards = fit.join(parent, ["depth", "parent"], "left_semi") if above > 0 or total > limit else fit.where("depth = 0")
-        shards = shards.select("depth", "prefix", F.col("bytes").alias("shard_bytes"))
-        # a leaf lies below one shard, or in a bucket that is still too large
-        expanded = leaves.select("leaf", levels).withColumn("prefix", F.call_function("shiftright", F.col("leaf"), (F.lit(depth) - F.col("depth")).cast("int")))
-        directory = save(expanded.join(shards, ["depth", "prefix"]).select("leaf", "depth", "prefix", "shard_bytes"), "directory")
-        keyed = rest.withColumn("leaf", _bits(F.lit(depth)))
+        keyed = rest.withColumn("leaf", _prefix("hash", BITS, depth))
+        leaves = save(keyed.groupBy("leaf").agg(F.sum("n_bytes").alias("bytes")), "leaves")
+        directory = save(_directory(leaves, above, depth, limit), "directory")
         found.append(keyed.join(directory, "leaf").drop("leaf"))
+        # only buckets that no prefix so far could fit go deeper
         rest = save(keyed.join(directory, "leaf", "left_anti").drop("leaf"), "large")
         if depth == BITS or rest.isEmpty():
             break
