@@ -31,10 +31,14 @@ def parse(lines: DataFrame, entity: str) -> DataFrame:
     return out.withColumn("problem", F.when(bad, "malformed").otherwise(missing))
 
 
-def decode(lines: DataFrame, entity: str, strict: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(documents, quarantine) of the clean lines of one entity; strict: raises if anything is set aside."""
-    parsed = parse(clean_lines(lines), entity)
+def split(parsed: DataFrame, entity: str, strict: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(documents, quarantine) of parsed lines; strict: raises if anything is set aside."""
     bad = parsed.where("problem is not null").drop("doc")
     if strict and (first := bad.select("problem", "line").first()):
         raise MalformedDocuments(f"{entity}: {first['problem']}: {first['line'][:200]}")
     return parsed.where("problem is null").drop("line", "problem"), bad
+
+
+def decode(lines: DataFrame, entity: str, strict: bool = True) -> tuple[DataFrame, DataFrame]:
+    """``split`` of the clean lines of one entity."""
+    return split(parse(clean_lines(lines), entity), entity, strict)

@@ -56,9 +56,10 @@ def documents(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     """The decoded documents of an entity, as a build stages them."""
 
     def write(path: str) -> None:
-        decode(binding.LINES[entity](spark, sf_dir), entity, strict=False)[0].write.parquet(path)
+        # a filter here would parse every line once more for each field it asks for
+        parse(clean_lines(binding.LINES[entity](spark, sf_dir)), entity).drop("line").write.parquet(path)
 
-    return spark.read.parquet(_once(spark, sf_dir, f"documents-{entity}", write))
+    return spark.read.parquet(_once(spark, sf_dir, f"documents-{entity}", write)).where("problem is null")
 
 
 class _Documents(dict):
