@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from cratedig.llm import decontaminate, langid, minhash, mixing, sharding
 from cratedig.llm._util import save
 
+#: Words of a shingle in the near-duplicate stage; two, as in op2, would link texts that share little wording.
+NEAR_WORDS = 5
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents of no known language: null texts and texts without a letter."""
@@ -19,8 +22,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each class of near-duplicates, that of the smallest doc_id."""
-    return minhash.drop_near_duplicates(docs).select(*docs.columns)
+    """Keeps one document of each class of near-duplicates (0.8 of five-word shingles), that of the smallest doc_id."""
+    return minhash.drop_near_duplicates(docs, words=NEAR_WORDS).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(_table(spark, sf_dir, "documents")).drop("_id", "th")
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), words=2).drop("_id", "th")
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
