@@ -28,9 +28,9 @@ UNLABELLED = 4_000
 #: Learned lexicon entries in all, and voters they are dealt to.
 ENTRIES = 4096
 VOTERS = 16
-#: Toxic documents that must hold an entry: at least so many, and this share of all in the sample.
-SUPPORT = 3
-SUPPORT_SHARE = 0.015
+#: Toxic documents that must hold an entry, at any corpus size, and the least log-likelihood ratio against equal rates in toxic and clean ones.
+SUPPORT = 5
+SIGNIFICANCE = 30
 #: The least share of toxic documents among those with an entry, smoothed.
 PRECISION = 0.85
 _CHARS = 1 << 20
@@ -190,13 +190,32 @@ def _features(lexicon: Lexicon, texts: list[str | None]) -> tuple[np.ndarray, np
     return np.concatenate([row, i]), np.concatenate([entry, len(lexicon.keys) + 3 * j + votes[i, j] + 1]), votes
 
 
+def _significant(docs: DataFrame, gold: DataFrame) -> DataFrame:
+    """(key, ratio) of the entries that toxic documents hold significantly more often, counted over all labelled texts.
+
+    Of equal texts one counts, as toxic if any of them is.
+    """
+    keyed = docs.withColumn("th", F.xxhash64("text"))
+    once = keyed.select("id", "th").join(gold, F.col("id") == F.col("_label")).groupBy("th").agg(F.min("id").alias("id"), F.max("toxic").cast("int").alias("toxic"))
+    once = save(once, "labelled")
+    toxic, known = once.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count("*")).first()
+    texts = keyed.join(once, ["id", "th"]).dropDuplicates(["id", "th"]).select("text", "toxic")
+    sums = texts.mapInArrow(_count, "key long, bad long, n long").groupBy("key").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
+    rate = (toxic + 0.5) / (known + 1)
+    part = lambda seen, share: F.when(seen > 0, seen * F.log(seen / (F.col("n") * share))).otherwise(0.0)
+    ratio = 2 * (part(F.col("bad"), rate) + part(F.col("n") - F.col("bad"), 1 - rate))
+    odds = (F.col("bad") + 0.5) / (F.col("n") + 1)
+    return sums.where((F.col("bad") >= SUPPORT) & (odds >= PRECISION)).select("key", ratio.alias("ratio")).where(F.col("ratio") >= SIGNIFICANCE)
+
+
 def train(documents: DataFrame, labels: DataFrame, labelled: int = LABELLED, unlabelled: int = UNLABELLED) -> Model:
     """Learns from about ``labelled`` documents with a label and ``unlabelled`` without one.
 
     A doc_id that ``labels`` has several times, or with a null label, counts as
-    toxic if any label says so, and as unlabelled if none is given. What reaches
-    the driver is bounded by those numbers and ENTRIES. Without labels of both
-    classes there are no learned entries, and the fixed voters alone decide.
+    toxic if any label says so, and as unlabelled if none is given. Lexicon
+    entries are counted over all labelled documents. What reaches the driver is
+    bounded by those numbers and ENTRIES. Without labels of both classes there
+    are no learned entries, and the fixed voters alone decide.
     """
     gold = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("_label")).agg(F.max("toxic").alias("toxic"))
     docs = documents.where("text is not null").select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), "text")
@@ -209,10 +228,7 @@ def train(documents: DataFrame, labels: DataFrame, labelled: int = LABELLED, unl
     # copies of a text would lend its rare words the support of many documents
     once = docs.join(F.broadcast(drawn), "id").withColumn("th", F.xxhash64("text")).groupBy("th")
     sample = save(once.agg(F.min("id").alias("id"), F.max("toxic").alias("toxic"), F.min("text").alias("text")), "sample")
-    support = max(SUPPORT, SUPPORT_SHARE * sample.where("toxic = 1").count())
-    sums = sample.where("toxic >= 0").select("text", "toxic").mapInArrow(_count, "key long, bad long, n long").groupBy("key").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
-    odds = (F.col("bad") + 0.5) / (F.col("n") + 1)
-    top = sums.where((F.col("bad") >= support) & (odds >= PRECISION)).orderBy(F.desc("bad"), "key").limit(ENTRIES).select("key").toArrow()
+    top = _significant(docs, gold).orderBy(F.desc("ratio"), "key").limit(ENTRIES).select("key").toArrow()
     lexicon = Lexicon(top["key"].to_numpy().view(np.uint64), VOTERS)
     shared = documents.sparkSession.sparkContext.broadcast(lexicon)
 
