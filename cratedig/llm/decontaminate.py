@@ -9,7 +9,8 @@ and each pattern is compared directly. All documents of a batch are searched
 in lockstep, in pieces that overlap by a pattern's length.
 
 The tables of at most ``block_words`` benchmark words are sent to the tasks at
-once; a larger benchmark is searched for in several passes over the documents.
+once; a larger benchmark is cut into runs that overlap by a window less one
+word, and the runs are searched for in several passes over the documents.
 """
 
 from __future__ import annotations
@@ -20,10 +21,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cratedig.llm._util import ALNUM, LOWER, column_bytes, mix, prefix_hash, ragged, row_chunks, span_hash, word_spans
+from cratedig.llm._util import ALNUM, LOWER, column_bytes, mix, prefix_hash, ragged, row_chunks, save, span_hash, word_spans
 
 WINDOW = 10
 #: Benchmark words whose windows are held in memory at once (about 100 bytes each).
@@ -176,36 +178,81 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _cut(window: int, most: int):
+    """Cuts items into runs of at most ``most`` words that hold each window once, and packs them into blocks of at most ``most`` words."""
+    step = most - window + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, filled, task = 0, 0, TaskContext.get().partitionId()
+        for batch in batches:
+            for item, text in zip(batch.column("item").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                raw = text.encode()
+                if not raw:
+                    continue
+                _, first, (starts, ends) = hashed_words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+                total = int(first[1])
+                for lo in range(0, max(1, total - window + 1), step) if total else ():
+                    hi = min(lo + most, total)
+                    if filled + hi - lo > most:
+                        block, filled = block + 1, 0
+                    filled += hi - lo
+                    row = [[task], [block], [item], [raw[starts[lo] : ends[hi - 1]].decode()], [hi - lo]]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(row, (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()), strict=True)], names=["task", "block", "item", "text", "words"])
+
+    return run
+
+
+def _passes(items: DataFrame, window: int, block_words: int) -> Iterator[list]:
+    """The rows (item, text) of each pass, of at most ``block_words`` words (but room for two windows) in all."""
+    most = max(2 * window, block_words // 4)
+    runs = save(items.mapInArrow(_cut(window, most), "task long, block long, item string, text string, words long"), "runs")
+    chosen: list = []
+    filled = 0
+    for r in [*runs.groupBy("task", "block").agg(F.sum("words").alias("words")).orderBy("task", "block").collect(), None]:
+        if chosen and (r is None or filled + r["words"] > max(most, block_words)):
+            (first, last), chosen, filled = (chosen[0], chosen[-1]), [], 0
+            key = F.struct("task", "block")
+            ends = [F.struct(*(F.lit(x[c]).cast("long").alias(c) for c in ("task", "block"))) for x in (first, last)]
+            yield runs.where((key >= ends[0]) & (key <= ends[1])).select("item", "text").collect()
+        if r is not None:
+            chosen.append(r)
+            filled += r["words"]
+
+
 def benchmark_hits(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Per row of ``documents``: doc_id, th, n_words, the hit word ranges and the items found, sorted as strings.
 
     Words are runs of digits, letters a to z (A-Z lower-cased) and characters
     beyond ASCII. Null and empty texts have no words and no hits; an item
     without words, or with a null item_id, is never found. Items of one text
-    are all named. Repeated rows are searched each; if the benchmark needs
-    several passes, equal (doc_id, th) rows give one row. Other columns are
-    ignored; empty tables give no hits or no rows.
+    are all named. Every row gives a row, repeated ones too, whatever the number
+    of passes. Other columns are ignored; empty tables give no hits or no rows.
     """
     if window < 1 or window > 200:
         raise ValueError("window must be 1 to 200 words")
     spark = documents.sparkSession
     items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("string").alias("item"), "text")
     # every second character at most begins a word
-    size = items.agg(F.sum(F.length("text") / 2)).first()[0] or 0
-    passes = max(1, int(-(-size // block_words)))
+    size = items.agg(F.sum((F.length("text") + 1) / 2)).first()[0] or 0
+    several = size > block_words
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("th", F.xxhash64("text"))
-    found = []
-    for k in range(passes):
-        rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(passes)) == k).collect()
+
+    def searched(rows: list) -> DataFrame:
         tables = spark.sparkContext.broadcast(build_patterns([r["item"] for r in rows], [r["text"] for r in rows], window))
-        found.append(docs.mapInArrow(_search(tables), f"doc_id long, th long, n_words long, {_HITS}"))
-    if passes == 1:
-        return found[0]
-    every = found[0]
-    for x in found[1:]:
-        every = every.union(x)
-    parts = every.groupBy("doc_id", "th").agg(F.max("n_words").alias("n_words"), F.collect_set("hits").alias("hits"), F.collect_set("items").alias("items"))
-    return parts.mapInArrow(_join, f"doc_id long, th long, n_words long, {_HITS}")
+        return docs.mapInArrow(_search(tables), f"doc_id long, th long, n_words long, {_HITS}")
+
+    if not several:
+        return searched(items.collect())
+    every = searched([])
+    found = every.where("false").select("doc_id", "th", "hits", "items")
+    for rows in _passes(items, window, block_words):
+        # written pass by pass, so that a worker holds the tables of one
+        found = found.union(save(searched(rows).where(F.size("hits") > 0).select("doc_id", "th", "hits", "items"), "hits"))
+    parts = found.groupBy("doc_id", "th").agg(F.collect_set("hits").alias("hits"), F.collect_set("items").alias("items"))
+    parts = parts.mapInArrow(_join, f"doc_id long, th long, {_HITS}").select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), F.col("hits").alias("__hits"), F.col("items").alias("__items"))
+    # the merged hits go back to every row that has them
+    out = every.join(parts, every["doc_id"].eqNullSafe(parts["__id"]) & (every["th"] == parts["__th"]), "left")
+    return out.select("doc_id", "th", "n_words", F.coalesce("__hits", "hits").alias("hits"), F.coalesce("__items", "items").alias("items"))
 
 
 def contamination_report(documents: DataFrame, benchmark: DataFrame, **parameters) -> DataFrame:
