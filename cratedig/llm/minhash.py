@@ -219,34 +219,39 @@ def _classes(buckets: DataFrame, nodes: DataFrame, verify: _Verifier) -> DataFra
     return known.union(new).distinct()
 
 
-def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY, words: int = WORDS, groups: int = GROUPS) -> DataFrame:
-    """Per row of ``documents``: doc_id, n_shingles, component_id, kept, and the row key (_id, th).
-
-    Rows are linked at ``similarity`` of their sets of distinct ``words``-word
-    shingles (lower-cased, split at ASCII blanks). A null, empty or blank text
-    has no shingle and is linked with nothing. component_id is the smallest
-    non-null doc_id of the class (null if none); kept tells that it is the
-    row's own. Equal texts, repeated rows included, are one class. Other
-    columns are ignored; an empty table gives an empty result.
-    """
+def _classified(documents: DataFrame, similarity: float = SIMILARITY, words: int = WORDS, groups: int = GROUPS) -> DataFrame:
+    """``near_duplicates`` and ``survives``: the row stands for its class, that of the smallest (doc_id, th), null ids last."""
     if not 0 < similarity <= 1 or words < 1 or groups < 1 or 2 * groups * _TUPLE > 250:
         raise ValueError("similarity lies in (0, 1], words and groups are at least 1, groups at most 62")
     docs = with_row_key(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     sets = save(docs.mapInArrow(_sketch(words, groups), "doc_id long, _id long, th long, n_shingles long, node long, one array<long>, two array<long>"), "sets")
     nodes = save(
-        sets.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.min(F.struct("_id", "th")).alias("one_doc"), F.first("n_shingles").alias("n_shingles"), F.first("one").alias("one"), F.first("two").alias("two")), "nodes"
+        sets.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "_id", "th")).alias("one_doc"), F.first("n_shingles").alias("n_shingles"), F.first("one").alias("one"), F.first("two").alias("two")), "nodes"
     )
     keys = nodes.select("node", "two", F.posexplode("one").alias("i", "x")).select("node", "i", "x", F.posexplode("two").alias("j", "y")).select("node", F.xxhash64("i", "j", "x", "y").alias("key"))
     full = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     buckets = save(keys.join(full, "key"), "buckets")
     classes = save(_classes(buckets, nodes, _Verifier(docs, nodes, words, similarity, groups)), "classes")
-    least = nodes.select("node", "least").join(classes, "node", "left").select("node", "least", F.coalesce("comp", "node").alias("comp"))
+    least = nodes.select("node", "least", "one_doc").join(classes, "node", "left").select("node", "least", "one_doc", F.coalesce("comp", "node").alias("comp"))
     least = save(least, "least")
-    per = least.groupBy("comp").agg(F.min("least").alias("component_id"))
-    named = least.join(per, "comp").select("node", "component_id")
+    per = least.groupBy("comp").agg(F.min("least").alias("component_id"), F.min("one_doc").alias("survivor"))
+    named = least.join(per, "comp").select("node", "component_id", "survivor")
     rows = sets.select("doc_id", "_id", "th", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("node")).alias("node")).join(named, "node", "left")
     own = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return rows.select("doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"), "_id", "th")
+    survives = F.col("node").isNull() | ((F.col("survivor._id") == F.col("_id")) & (F.col("survivor.th") == F.col("th")))
+    return rows.select("doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"), "_id", "th", survives.alias("survives"))
+
+def near_duplicates(documents: DataFrame, **parameters) -> DataFrame:
+    """Per row of ``documents``: doc_id, n_shingles, component_id, kept, and the row key (_id, th).
+
+    Rows are linked at ``similarity`` of their sets of distinct ``words``-word
+    shingles (lower-cased, split at ASCII blanks). A null, empty or blank text
+    has no shingle and is linked with nothing. component_id is the smallest
+    non-null doc_id of the class (null if none); kept tells that it is the
+    row's own. Equal texts, repeated rows included, are one class. Other
+    columns are ignored; an empty table gives an empty result.
+    """
+    return _classified(documents, **parameters).drop("survives")
 
 
 def with_row_key(documents: DataFrame) -> DataFrame:
@@ -255,8 +260,8 @@ def with_row_key(documents: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(documents: DataFrame, **parameters) -> DataFrame:
-    """One row of each class: that of the smallest doc_id, of repeated rows one. Columns stay as they are."""
-    classes = near_duplicates(documents, **parameters).where(~F.col("kept")).select(F.col("_id").alias("__id"), F.col("th").alias("__th")).distinct()
+    """One row of each class: that of the smallest (doc_id, text hash), null ids last, of repeated rows one. Columns stay as they are."""
+    classes = _classified(documents, **parameters).where(~F.col("survives")).select(F.col("_id").alias("__id"), F.col("th").alias("__th")).distinct()
     names = {"_id": "__id", "th": "__th"}
     keyed = documents.withColumns({names[k]: v for k, v in (("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))), ("th", F.xxhash64("text")))})
     return keyed.join(classes, ["__id", "__th"], "left_anti").dropDuplicates(["__id", "__th"]).select(*documents.columns)
