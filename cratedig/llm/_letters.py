@@ -32,15 +32,16 @@ SCRIPTS = {
 @functools.cache
 def tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """By code point: whether it belongs to words (letters and marks), its lower case, its script (0: another)."""
-    chars = [chr(i) for i in range(sys.maxunicode + 1)]
-    letter = np.array([c.isalpha() for c in chars])
-    marks = np.array([i for i in range(0x300, 0x20000) if unicodedata.category(chr(i))[0] == "M"])
+    n = sys.maxunicode + 1
+    letter = np.fromiter((chr(i).isalpha() for i in range(n)), bool, n)
+    marks = np.fromiter((i for i in range(0x300, 0x20000) if unicodedata.category(chr(i))[0] == "M"), np.int64)
     letter[marks] = True
-    low = np.arange(len(chars), dtype=np.uint32)
-    for i in np.flatnonzero(letter):
-        if chars[i].isupper() and len(x := chars[i].lower()) == 1:
+    low = np.arange(n, dtype=np.uint32)
+    for i in np.flatnonzero(letter).tolist():
+        c = chr(i)
+        if c.isupper() and len(x := c.lower()) == 1:
             low[i] = ord(x)
-    script = np.zeros(len(chars), np.uint8)
+    script = np.zeros(n, np.uint8)
     for k, ranges in enumerate(SCRIPTS.values(), 1):
         for a, b in ranges:
             script[a : b + 1] = k

@@ -61,6 +61,12 @@ def row_chunks(offs: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         lo = min(hi, n)
 
 
+def text_chunks(col: pa.Array, limit: int) -> Iterator[tuple[int, list[str | None]]]:
+    """A string column's values in row ranges of at most ``limit`` bytes, a longer row alone, each with its first row."""
+    for lo, hi in row_chunks(column_bytes(col)[1], limit):
+        yield lo, col.slice(lo, hi - lo).to_pylist()
+
+
 _rng = np.random.default_rng(20240229)
 #: A random 64-bit value for each byte, and an odd base with its inverse modulo 2**64.
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64)

@@ -14,11 +14,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cratedig.llm._letters import SCRIPTS, Words, tables
-from cratedig.llm._util import NO_ID, doc_fold
+from cratedig.llm._util import NO_ID, doc_fold, text_chunks
 
 #: Documents of each language that training reads, as expected number: a draw by hash of the id.
 TRAINING_DOCUMENTS = 4000
@@ -29,7 +30,9 @@ SWITCH = 8.0
 #: Weight of the n-grams' log-likelihoods, which overlap.
 TEMPER = 0.3
 UNKNOWN = "und"
-_CHARS = 3 << 20
+#: Bytes of text and distinct words worked on at once; a longer text is worked on whole, at some 80 bytes of memory a character.
+_BYTES = 1 << 19
+_WORDS = 1 << 14
 
 
 @dataclass(frozen=True)
@@ -41,30 +44,19 @@ class Model:
     uses: np.ndarray
 
 
-def _chunks(texts: list) -> Iterator[tuple[int, int]]:
-    lo, size = 0, 0
-    for hi, t in enumerate(texts):
-        n = len(t or "")
-        if size and size + n > _CHARS:
-            yield lo, hi
-            lo, size = hi, 0
-        size += n
-    if texts:
-        yield lo, len(texts)
-
-
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     script = tables()[2]
     for batch in batches:
-        langs, texts = batch.column("lang").to_pylist(), batch.column("text").to_pylist()
-        for lang in sorted(set(langs)):
-            own = [t for x, t in zip(langs, texts, strict=True) if x == lang]
-            for lo, hi in _chunks(own):
-                words = Words(own[lo:hi])
+        column = batch.column("lang")
+        for lang in sorted(column.unique().to_pylist()):
+            for _, texts in text_chunks(batch.column("text").filter(pc.equal(column, lang)), _BYTES):
+                words = Words(texts)
                 first, inverse = words.distinct()
                 often = np.bincount(inverse, minlength=len(first))
-                of, bucket = words.grams(first, GRAMS, BITS)
-                sums = np.bincount(bucket, weights=often[of], minlength=1 << BITS)
+                sums = np.zeros(1 << BITS)
+                for lo in range(0, len(first), _WORDS):
+                    of, bucket = words.grams(first[lo : lo + _WORDS], GRAMS, BITS)
+                    sums += np.bincount(bucket, weights=often[lo + of], minlength=1 << BITS)
                 scripts = np.bincount(script[words.low[words.start]], minlength=len(SCRIPTS) + 1)
                 keys = np.concatenate([np.flatnonzero(sums), -1 - np.flatnonzero(scripts)])
                 n = np.concatenate([sums[sums > 0], scripts[scripts > 0]]).astype(np.int64)
@@ -98,10 +90,12 @@ def train(documents: DataFrame, most: int = TRAINING_DOCUMENTS) -> Model:
 def word_scores(words: Words, model: Model) -> np.ndarray:
     """Log-likelihood of every word in every language; far below for languages that do not use its script."""
     first, inverse = words.distinct()
-    of, bucket = words.grams(first, GRAMS, BITS)
-    order = np.argsort(of, kind="stable")
-    of, bucket = of[order], bucket[order]
-    sums = np.add.reduceat(model.gram[bucket], np.searchsorted(of, np.arange(len(first)))) * TEMPER
+    sums = np.zeros((len(first), len(model.languages)), np.float32)
+    for lo in range(0, len(first), _WORDS):
+        part = first[lo : lo + _WORDS]
+        of, bucket = words.grams(part, GRAMS, BITS)
+        order = np.argsort(of, kind="stable")
+        sums[lo : lo + len(part)] = np.add.reduceat(model.gram[bucket[order]], np.searchsorted(of[order], np.arange(len(part)))) * TEMPER
     uses = model.uses[tables()[2][words.low[words.start[first]]]]
     none = ~uses.any(axis=1)
     sums = np.where(uses, sums, sums.min(axis=1, keepdims=True) - 25.0)
@@ -173,10 +167,9 @@ def _predict(shared, penalty: float):
         names = [*model.languages, UNKNOWN]
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for lo, hi in _chunks(texts):
-                words = Words(texts[lo:hi])
-                rows = hi - lo
+            for lo, texts in text_chunks(batch.column("text"), _BYTES):
+                words = Words(texts)
+                rows = len(texts)
                 lang, score = np.full(rows, len(names) - 1), np.zeros(rows)
                 spans: list[list[dict]] = [[] for _ in range(rows)]
                 if len(words.hash) and model.languages:
