@@ -17,10 +17,11 @@ _own_dir: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a local one only where the cluster names none (tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
+    """The folder of ``spark.checkpoint.dir``; a folder of its own only in local mode (tests), where none is named."""
+    if named := spark.conf.get("spark.checkpoint.dir", None):
         return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
     return _own_dir.setdefault("dir", tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
 
 
@@ -32,8 +33,15 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until ``df`` has no column of it in any case."""
+    have, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in have:
+            name += "_"
+        have.add(name.lower())
+        out.append(name)
+    return out
 
 
 def doc_fold(doc_id: Column) -> Column:
@@ -68,10 +76,11 @@ def text_chunks(col: pa.Array, limit: int) -> Iterator[tuple[int, list[str | Non
 
 
 _rng = np.random.default_rng(20240229)
-#: A random 64-bit value for each byte, and an odd base with its inverse modulo 2**64.
-_BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64)
-_BASE = int(_rng.integers(1, 2**63)) | 1
-_INVERSE = pow(_BASE, -1, 2**64)
+#: Random 64-bit values for each byte, and odd bases with their inverses modulo 2**64, of two independent hashes.
+_BYTES = [_rng.integers(1, 2**63, 256, dtype=np.uint64) for _ in range(2)]
+_BASES = [int(_rng.integers(1, 2**63)) | 1 for _ in range(2)]
+_INVERSES = [pow(b, -1, 2**64) for b in _BASES]
+_BASE, _INVERSE = _BASES[0], _INVERSES[0]
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -95,16 +104,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def prefix_hash(buf: np.ndarray) -> np.ndarray:
+def prefix_hash(buf: np.ndarray, which: int = 0) -> np.ndarray:
     """Polynomial prefix sums modulo 2**64, from which ``span_hash`` takes any span's hash."""
     out = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum(_BYTE[buf] * _power(_BASE, len(buf)), out=out[1:])
+    np.cumsum(_BYTES[which][buf] * _power(_BASES[which], len(buf)), out=out[1:])
     return out
 
 
-def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray, which: int = 0) -> np.ndarray:
     """64-bit hashes of the bytes of [start, end), equal for equal bytes wherever they stand."""
-    raw = (prefix[end] - prefix[start]) * _power(_INVERSE, len(prefix))[start]
+    raw = (prefix[end] - prefix[start]) * _power(_INVERSES[which], len(prefix))[start]
     return mix(raw + (end - start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -141,16 +150,17 @@ def ragged(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return owner, np.arange(len(owner)) - first[owner]
 
 
-def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """(node, comp) of the graph ``edges(a, b)``; comp is the smallest node reachable.
 
     Alternating large-star and small-star steps (Kiveris et al., 2014): every
     step is a min per node and a join back, so no neighbourhood is gathered,
-    and the number of steps grows with the logarithm of the longest chain.
+    and the number of steps grows with the logarithm of the longest chain. Steps
+    go on until one changes nothing.
     """
     edges = save(edges.where("a <> b").select("a", "b").distinct(), "edges")
     before = None
-    for _ in range(rounds):
+    while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
         large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
