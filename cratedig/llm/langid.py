@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cratedig.llm._letters import SCRIPTS, Words, tables
-from cratedig.llm._util import NO_ID, doc_fold, text_chunks
+from cratedig.llm._util import NO_ID, doc_fold, ragged, text_chunks
 
 #: Documents of each language that training reads, as expected number: a draw by hash of the id.
 TRAINING_DOCUMENTS = 4000
@@ -33,6 +33,8 @@ UNKNOWN = "und"
 #: Bytes of text and distinct words worked on at once; a longer text is worked on whole, at some 80 bytes of memory a character.
 _BYTES = 1 << 19
 _WORDS = 1 << 14
+#: Words of a row that are labelled one after another.
+_BLOCK = 256
 
 
 @dataclass(frozen=True)
@@ -127,8 +129,73 @@ def _settled(scores: np.ndarray, first: np.ndarray, row: np.ndarray, best: np.nd
     return out & (head + tail <= penalty)
 
 
-def best_labels(scores: np.ndarray, counts: np.ndarray, penalty: float = SWITCH) -> np.ndarray:
-    """The most likely language of each word; ``counts`` words per row, none of them 0. Rows are stepped in lockstep."""
+def _alive(size: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """An order of falling size, and for each step how many of it are longer than that."""
+    order = np.argsort(-size, kind="stable")
+    return order, [int(np.searchsorted(-size[order], -t)) for t in range(int(size.max(initial=0)))]
+
+
+def _transfers(scores: np.ndarray, start: np.ndarray, size: np.ndarray, penalty: float) -> np.ndarray:
+    """For each block of words the best score by the language before it and that of its last word."""
+    order, alive = _alive(size)
+    at = start[order]
+    value = np.where(np.eye(scores.shape[1], dtype=bool), 0.0, -penalty) + scores[at].astype(np.float64)[:, None, :]
+    for t in range(1, len(alive)):
+        now = value[: alive[t]]
+        value[: alive[t]] = np.maximum(now, now.max(axis=2, keepdims=True) - penalty) + scores[at[: alive[t]] + t][:, None, :]
+    out = np.empty_like(value)
+    out[order] = value
+    return out
+
+
+def _ends(step: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The languages before and at the end of each block on the best path of its row (-1: none before the first)."""
+    first = np.cumsum(blocks) - blocks
+    order, alive = _alive(blocks)
+    value = step[first[order]].max(axis=1)
+    back = np.full(step.shape[::2], -1)
+    for k in range(1, len(alive)):
+        at = first[order[: alive[k]]] + k
+        ways = value[: alive[k], :, None] + step[at]
+        back[at], value[: alive[k]] = ways.argmax(axis=1), ways.max(axis=1)
+    leave = np.full(len(step), -1)
+    leave[first[order] + blocks[order] - 1] = value.argmax(axis=1)
+    for k in range(len(alive) - 1, 0, -1):
+        at = first[order[: alive[k]]] + k
+        leave[at - 1] = back[at, leave[at]]
+    enter = np.concatenate([[-1], leave[:-1]])
+    enter[first] = -1
+    return enter, leave
+
+
+def _walk(scores: np.ndarray, start: np.ndarray, size: np.ndarray, enter: np.ndarray, leave: np.ndarray, penalty: float, labels: np.ndarray) -> None:
+    """Writes the best path of each block between its ends to ``labels``; blocks are stepped in lockstep."""
+    order, alive = _alive(size)
+    at, own = start[order], np.arange(scores.shape[1])
+    free = (enter[order] < 0)[:, None] | (own == enter[order][:, None])
+    value = scores[at].astype(np.float64) - np.where(free, 0.0, penalty)
+    back = np.zeros((len(alive), len(at), len(own)), np.int8 if len(own) < 128 else np.int16)
+    for t in range(1, len(alive)):
+        n = alive[t]
+        top = value[:n].argmax(axis=1)
+        switch = value[np.arange(n), top] - penalty
+        stay = value[:n] >= switch[:, None]
+        back[t, :n] = np.where(stay, own, top[:, None])
+        value[:n] = np.where(stay, value[:n], switch[:, None]) + scores[at[:n] + t]
+    state = np.where(leave[order] < 0, value.argmax(axis=1), leave[order])
+    for t in range(len(alive) - 1, -1, -1):
+        n = alive[t]
+        labels[at[:n] + t] = state[:n]
+        state[:n] = back[t, np.arange(n), state[:n]]
+
+
+def best_labels(scores: np.ndarray, counts: np.ndarray, penalty: float = SWITCH, block: int = _BLOCK) -> np.ndarray:
+    """The most likely language of each word; ``counts`` words per row, none of them 0.
+
+    Rows are cut into blocks, all of which are stepped at once, first for the best
+    score between any two languages at a block's ends, then, with the ends known,
+    for the path. So a very long row takes as few steps as many short ones.
+    """
     if not len(counts):
         return np.zeros(0, np.int16)
     first = np.cumsum(counts) - counts
@@ -136,28 +203,19 @@ def best_labels(scores: np.ndarray, counts: np.ndarray, penalty: float = SWITCH)
     best = np.add.reduceat(scores.astype(np.float64), first).argmax(axis=1)
     labels = best[row].astype(np.int16)
     rest = np.flatnonzero(~_settled(scores, first, row, best, penalty))
-    rest = rest[np.argsort(-counts[rest], kind="stable")]
     if not len(rest):
         return labels
-    size, start = counts[rest], first[rest]
-    value = scores[start].astype(np.float64)
-    back = np.zeros(scores.shape, np.int16)
-    own = np.arange(scores.shape[1])
-    alive = [int(np.searchsorted(-size, -t)) for t in range(int(size[0]))]  # rows of more than t words
-    for t in range(1, int(size[0])):
-        n = alive[t]
-        top = value[:n].argmax(axis=1)
-        switch = value[np.arange(n), top] - penalty
-        stay = value[:n] >= switch[:, None]
-        at = start[:n] + t
-        back[at] = np.where(stay, own, top[:, None])
-        value[:n] = np.where(stay, value[:n], switch[:, None]) + scores[at]
-    state = value.argmax(axis=1)
-    for t in range(int(size[0]) - 1, -1, -1):
-        n = alive[t]
-        at = start[:n] + t
-        labels[at] = state[:n]
-        state[:n] = back[at, state[:n]]
+    blocks = -(-counts[rest] // block)
+    of, step = ragged(blocks)
+    start = first[rest][of] + step * block
+    size = np.minimum(block, (first + counts)[rest][of] - start)
+    enter = leave = np.full(len(of), -1)
+    if (blocks > 1).any():
+        many = blocks[of] > 1
+        ends = _ends(_transfers(scores, start[many], size[many], penalty), blocks[blocks > 1])
+        enter, leave = np.full((2, len(of)), -1)
+        enter[many], leave[many] = ends
+    _walk(scores, start, size, enter, leave, penalty, labels)
     return labels
 
 

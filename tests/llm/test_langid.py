@@ -25,8 +25,8 @@ def test_viterbi_is_optimal():
     rng = np.random.default_rng(0)
     counts = rng.integers(1, 8, 60)
     scores = rng.normal(size=(counts.sum(), 3)) * 3
-    for penalty in (0.5, 2.0, 6.0):
-        labels = best_labels(scores, counts, penalty)
+    for penalty, block in itertools.product((0.5, 2.0, 6.0), (1, 2, 3, 256)):
+        labels = best_labels(scores, counts, penalty, block)
         first = np.cumsum(counts) - counts
         for a, n in zip(first, counts, strict=True):
             own, path = scores[a : a + n], labels[a : a + n]
@@ -34,6 +34,13 @@ def test_viterbi_is_optimal():
             assert np.isclose(total, brute(own, penalty))
 
 
+def test_long_rows_are_labelled_as_if_walked_whole():
+    rng = np.random.default_rng(7)
+    counts = np.array([5000, 3, 700, 256, 257, 1, 2048])
+    scores = np.repeat(rng.normal(size=(counts.sum() // 40 + 1, 4)) * 2, 40, axis=0)[: counts.sum()] + rng.normal(size=(counts.sum(), 4))
+    assert (best_labels(scores, counts, 6.0) == best_labels(scores, counts, 6.0, block=10_000)).all()
+
+
 def frame(spark):
     rnd = random.Random(5)
     text = lambda k, n: " ".join(rnd.choice(WORDS[k]) for _ in range(n))
