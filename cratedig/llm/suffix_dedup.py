@@ -8,10 +8,10 @@ Which one that is depends on the window's bytes alone, so equal windows have
 their anchors at the same offset and are compared through those.
 
 1. Each document yields its anchors with the run of window starts that own
-   it (a *block*), as hashes only. Counting them settles most of the corpus:
-   an anchor seen once has no repeat, a block seen twice repeats whole.
-2. What is left are distinct blocks that share an anchor string. Their
-   suffixes are dealt out by sampled splitters over their leading bytes
+   it (a *block*), as hashes only. An anchor seen once has no repeat.
+2. Of the other anchors, each distinct block and a copy of it, if it has any,
+   go on; further copies follow what becomes of these two, as their 128 bits
+   of hash are the same. Suffixes are dealt out by sampled splitters over their leading bytes
    (``repartitionByRange``); a bucket sorts them by multikey quicksort, sorts
    the reversed left contexts likewise, and classes of both orders at each
    depth tell exactly which windows are equal.
@@ -32,13 +32,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cratedig.llm._util import column_bytes, prefix_hash, ragged, row_chunks, save, span_hash
+from cratedig.llm._util import NO_ID, column_bytes, prefix_hash, ragged, row_chunks, save, span_hash, unused
 
 LENGTH = 400
 GRAM = 100
 #: Distinct blocks per bucket; about 1 kB each in memory.
 BUCKET = 12_000
 _CHUNK = 1 << 20
+#: Bits of a place within a chunk, which has at most 2 * _CHUNK bytes.
+_PLACE_BITS = 22
 
 
 def window_anchors(prefix: np.ndarray, offs: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
@@ -47,9 +49,10 @@ def window_anchors(prefix: np.ndarray, offs: np.ndarray, length: int, gram: int)
     if n < length:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     at = np.arange(n - gram + 1)
-    bits = max(1, int(len(at)).bit_length())
-    low = np.uint64((1 << bits) - 1)
-    # the later of two equal hashes is the smaller key
+    if len(at) > 1 << _PLACE_BITS:
+        raise ValueError("too many bytes at once")
+    # the number of hash bits is the same everywhere, so that equal windows choose alike; the later of two equal hashes is the smaller key
+    low = np.uint64((1 << _PLACE_BITS) - 1)
     keys = (span_hash(prefix, at, at + gram) & ~low) | (low - at.astype(np.uint64))
     pad = -len(keys) % wide
     rows = np.concatenate([keys, np.full(pad, np.iinfo(np.uint64).max, np.uint64)]).reshape(-1, wide)
@@ -73,12 +76,12 @@ def _pieces(start: int, end: int, rows: int, length: int) -> list[tuple[int, int
 def _blocks(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc_id, text_hash = batch.column("doc_id"), batch.column("th")
+            doc_id, text_hash = batch.column("id"), batch.column("th")
             whole, offsets = column_bytes(batch.column("text"))
             for lo, hi in row_chunks(offsets, _CHUNK):
                 for start, end in _pieces(int(offsets[lo]), int(offsets[hi]), hi - lo, length):
                     offs = np.clip(offsets[lo : hi + 1], start, end) - start
-                    prefix = prefix_hash(whole[start:end])
+                    prefix, second = prefix_hash(whole[start:end]), prefix_hash(whole[start:end], 1)
                     starts, anchor = window_anchors(prefix, offs, length, gram)
                     if not len(starts):
                         continue
@@ -86,12 +89,12 @@ def _blocks(length: int, gram: int):
                     new = np.flatnonzero(np.concatenate([[True], (np.diff(anchor) != 0) | (np.diff(row) != 0)]))
                     first, last, at, row = starts[new], starts[np.append(new[1:], len(starts)) - 1], anchor[new], row[new]
                     key = span_hash(prefix, at, at + gram)
-                    block = span_hash(prefix, first, last + length) ^ (at - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                    block = span_hash(second, first, last + length, 1) ^ (at - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
                     base = offsets[lo + row] - start
                     take = pa.array(row + lo)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(key.view(np.int64)), pa.array(block.view(np.int64)), doc_id.take(take), text_hash.take(take), *(pa.array((x - base).astype(np.int32)) for x in (first, last, at))],
-                        names=["key", "block", "doc_id", "th", "lo", "hi", "at"],
+                        names=["key", "block", "id", "th", "lo", "hi", "at"],
                     )
 
     return run
@@ -144,7 +147,7 @@ def _common(flat: np.ndarray, size: np.ndarray, order: np.ndarray) -> np.ndarray
     return out
 
 
-def equal_windows(before: list[bytes], after: list[bytes], low: np.ndarray, copies: np.ndarray, split: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def equal_windows(before: list[bytes], after: list[bytes], low: np.ndarray, split: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(row, back) of windows that occur twice in this bucket, and of those open at its boundaries.
 
     In rows of ``split`` anchors, a class of equal windows that touches a
@@ -172,7 +175,7 @@ def equal_windows(before: list[bytes], after: list[bytes], low: np.ndarray, copi
         edge = (klass[order[0]], klass[order[-1]])
         both = klass[valid] * (len(after) + 1) + klass_left[valid]
         _, one, inverse = np.unique(both, return_index=True, return_inverse=True)
-        twice = np.bincount(inverse, weights=copies[valid])[inverse] >= 2
+        twice = np.bincount(inverse)[inverse] >= 2
         at_edge = split[valid] & ((klass[valid] == edge[0]) | (klass[valid] == edge[1]))
         is_one = np.zeros(len(valid), bool)
         is_one[one] = True
@@ -185,15 +188,15 @@ def equal_windows(before: list[bytes], after: list[bytes], low: np.ndarray, copi
 
 def _cut(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = {"id": pa.int64(), "th": pa.int64(), "at": pa.int32(), "lo": pa.int32(), "split": pa.bool_(), "suffix": pa.binary(), "left": pa.binary()}
         for batch in batches:
-            out: dict[str, list] = {k: [] for k in ("doc_id", "th", "at", "lo", "copies", "split", "suffix", "left")}
-            for doc_id, th, text, needs in zip(batch.column("doc_id"), batch.column("th"), batch.column("text"), batch.column("needs"), strict=True):
+            out: dict[str, list] = {k: [] for k in types}
+            for id, th, text, needs in zip(*(batch.column(c) for c in ("id", "th", "text", "needs")), strict=True):
                 raw = text.as_py().encode()
                 for x in needs.as_py():
                     at, lo, hi = x["at"], x["lo"], x["hi"]
-                    for k, v in (("doc_id", doc_id.as_py()), ("th", th.as_py()), ("at", at), ("lo", at - hi), ("copies", x["copies"]), ("split", x["split"]), ("suffix", raw[at : hi + length]), ("left", raw[lo:at])):
+                    for k, v in (("id", id.as_py()), ("th", th.as_py()), ("at", at), ("lo", at - hi), ("split", x["split"]), ("suffix", raw[at : hi + length]), ("left", raw[lo:at])):
                         out[k].append(v)
-            types = {"doc_id": pa.int64(), "th": pa.int64(), "at": pa.int32(), "lo": pa.int32(), "copies": pa.int64(), "split": pa.bool_(), "suffix": pa.binary(), "left": pa.binary()}
             yield pa.RecordBatch.from_arrays([pa.array(v, types[k]) for k, v in out.items()], names=list(out))
 
     return run
@@ -204,22 +207,23 @@ def _compare(length: int):
         table = pa.Table.from_batches(got) if (got := list(batches)) else None
         if table is None or not table.num_rows:
             return
-        before, after, doc_id = table["left"].to_pylist(), table["suffix"].to_pylist(), table["doc_id"].combine_chunks()
-        copies, at, th = (table[k].to_numpy() for k in ("copies", "at", "th"))
-        row, back, open_row, open_back = equal_windows(before, after, table["lo"].to_numpy(), copies, table["split"].to_numpy(), length)
-        lone = np.flatnonzero(copies[row] == 1)  # blocks that occur twice are removed whole already
-        row, start = row[lone], at[row[lone]] - back[lone]
+        before, after, id = table["left"].to_pylist(), table["suffix"].to_pylist(), table["id"].combine_chunks()
+        at, th = table["at"].to_numpy(), table["th"].to_numpy()
+        row, back, open_row, open_back = equal_windows(before, after, table["lo"].to_numpy(), table["split"].to_numpy(), length)
+        start = at[row] - back
         order = np.lexsort((start, row))
         row, start = row[order], start[order]
         new = np.flatnonzero(np.concatenate([[True], (np.diff(row) != 0) | (np.diff(start) != 1)])) if len(row) else row
         digest = [hashlib.blake2b(before[r][len(before[r]) - d :] + after[r][: length - d], digest_size=16).digest() for r, d in zip(open_row, open_back, strict=True)]
         settled = set(zip(row.tolist(), start.tolist(), strict=True))
         rows, edge = np.concatenate([row[new], open_row]), at[open_row] - open_back
-        lonely = [c == 1 and x not in settled for c, x in zip(copies[open_row], zip(open_row.tolist(), edge.tolist(), strict=True), strict=True)]
+        lonely = np.array([x not in settled for x in zip(open_row.tolist(), edge.tolist(), strict=True)], bool)
         first, last = np.concatenate([start[new], edge]), np.concatenate([start[np.append(new[1:], len(row)) - 1] if len(row) else start, edge])
+        # a window that has its equal here counts twice, so that it tells other buckets
+        weight = np.concatenate([np.ones(len(new), np.int64), np.where(lonely, 1, 2)]).astype(np.int64)
         yield pa.RecordBatch.from_arrays(
-            [doc_id.take(pa.array(rows)), pa.array(th[rows]), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32)), pa.array(np.concatenate([copies[row[new]], np.where(lonely, 1, 2)]).astype(np.int64)), pa.array([None] * len(new) + digest, pa.binary())],
-            names=["doc_id", "th", "first", "last", "copies", "digest"],
+            [id.take(pa.array(rows)), *(pa.array(x.astype(t)) for x, t in ((th[rows], np.int64), (at[rows], np.int32), (first, np.int32), (last, np.int32))), pa.array(weight), pa.array([None] * len(new) + digest, pa.binary())],
+            names=["id", "th", "at", "first", "last", "weight", "digest"],
         )
 
     return run
@@ -251,33 +255,38 @@ def _remove(length: int):
     return run
 
 
-def _repeats(documents: DataFrame, length: int, gram: int, bucket: int) -> tuple[DataFrame, DataFrame]:
-    """The documents with a text hash ``th``, and runs (first, last) of repeated window starts by (doc_id, th)."""
+def _keyed(documents: DataFrame) -> DataFrame:
+    """(doc_id, id, th, text): a row's key is its id, for which a number stands where it is null, and its text's hash."""
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return docs.select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.xxhash64("text").alias("th"), "text")
+
+
+def _repeats(docs: DataFrame, length: int, gram: int, bucket: int) -> DataFrame:
+    """Runs (first, last) of repeated window starts by (id, th) of ``_keyed`` documents."""
     if not 8 <= gram < length:
         raise ValueError("gram must be at least 8 and below length")
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).select("doc_id", F.xxhash64("text").alias("th"), "text")
-    slim = docs.where(F.octet_length("text") >= length)
-    blocks = save(slim.mapInArrow(_blocks(length, gram), "key long, block long, doc_id long, th long, lo int, hi int, at int"), "blocks")
-    # hashes alone tell blocks that repeat whole from anchors that need their bytes compared
-    distinct = save(blocks.groupBy("key", "block").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "th", "lo", "hi", "at")).alias("one")), "distinct")
-    whole = blocks.join(distinct.where("copies > 1").select("key", "block"), ["key", "block"]).select("doc_id", "th", F.col("lo").alias("first"), F.col("hi").alias("last"))
-    shared = distinct.groupBy("key").agg(F.count("*").alias("n"), F.min("copies").alias("fewest")).where("n > 1 and fewest = 1").select("key", (F.col("n") > bucket).alias("split"))
-    needs = distinct.join(shared, "key").select("copies", "split", "one.*").groupBy("doc_id", "th").agg(F.collect_list(F.struct("at", "lo", "hi", "copies", "split")).alias("needs"))
-    cut = _with(slim, needs).select("doc_id", "th", "text", "needs").mapInArrow(_cut(length), "doc_id long, th long, at int, lo int, copies long, split boolean, suffix binary, left binary")
-    cut = save(cut, "suffixes")
+    slim = docs.where(F.octet_length("text") >= length).select("id", "th", "text")
+    blocks = save(slim.mapInArrow(_blocks(length, gram), "key long, block long, id long, th long, lo int, hi int, at int"), "blocks")
+    place = F.struct("id", "th", "lo", "hi", "at")
+    distinct = save(blocks.groupBy("key", "block").agg(F.count("*").alias("copies"), F.min(place).alias("one"), F.max(place).alias("other")), "distinct")
+    # an anchor seen once has no repeat; of a block seen more often two are sorted, so that bytes tell whether they are equal
+    several = distinct.groupBy("key").agg(F.sum(F.least("copies", F.lit(2))).alias("n")).where("n > 1").select("key", (F.col("n") > bucket).alias("split"))
+    both = F.explode(F.when(F.col("copies") > 1, F.array("one", "other")).otherwise(F.array("one")))
+    needs = distinct.join(several, "key").select("split", both.alias("x")).groupBy("x.id", "x.th").agg(F.collect_list(F.struct("x.at", "x.lo", "x.hi", "split")).alias("needs"))
+    texts = slim.join(needs, ["id", "th"]).dropDuplicates(["id", "th"]).select("id", "th", "text", "needs")
+    cut = save(texts.mapInArrow(_cut(length), "id long, th long, at int, lo int, split boolean, suffix binary, left binary"), "suffixes")
     buckets = max(1, -(-cut.count() // bucket))
     deep = [F.when(F.col("split"), F.col(c)) for c in ("suffix", "left")]
-    found = cut.repartitionByRange(buckets, F.substring("suffix", 1, gram), *deep).mapInArrow(_compare(length), "doc_id long, th long, first int, last int, copies long, digest binary")
+    found = cut.repartitionByRange(buckets, F.substring("suffix", 1, gram), *deep).mapInArrow(_compare(length), "id long, th long, at int, first int, last int, weight long, digest binary")
     found = save(found, "windows")
-    across = found.where("digest is not null").groupBy("digest").agg(F.sum("copies").alias("n")).where("n > 1").select("digest")
-    edges = found.where("copies = 1").join(across, "digest", "left_semi")
-    runs = [x.select("doc_id", "th", "first", "last") for x in (whole, found.where("digest is null"), edges)]
-    return docs, runs[0].union(runs[1]).union(runs[2]).distinct().groupBy("doc_id", "th").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
-
-
-def _with(docs: DataFrame, more: DataFrame, how: str = "inner") -> DataFrame:
-    more = more.withColumnsRenamed({"doc_id": "_id", "th": "_th"})
-    return docs.join(more, docs["doc_id"].eqNullSafe(more["_id"]) & (docs["th"] == more["_th"]), how).drop("_id", "_th")
+    across = found.where("digest is not null").groupBy("digest").agg(F.sum("weight").alias("n")).where("n > 1").select("digest")
+    edges = found.where("weight = 1 and digest is not null").join(across, "digest", "left_semi")
+    runs = found.where("digest is null").select("id", "th", "at", "first", "last").union(edges.select("id", "th", "at", "first", "last")).distinct()
+    # where both of a block repeat whole, so do its other copies
+    sure = runs.groupBy("id", "th", "at").agg(F.sum(F.col("last") - F.col("first") + 1).alias("n"))
+    many = distinct.where("copies > 2").select("key", "block", "one.*").join(sure, ["id", "th", "at"]).where("n >= hi - lo + 1").select("key", "block")
+    copies = blocks.join(many, ["key", "block"]).select("id", "th", F.col("lo").alias("first"), F.col("hi").alias("last"))
+    return runs.select("id", "th", "first", "last").union(copies).distinct().groupBy("id", "th").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
 
 
 def repeated_spans(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, bucket: int = BUCKET) -> DataFrame:
@@ -288,8 +297,8 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, gram: int = GRAM,
     A null doc_id is a document like any other. Other columns are ignored.
     An empty table gives an empty result.
     """
-    docs, runs = _repeats(documents, length, gram, bucket)
-    return _with(docs, runs, "left").select("doc_id", "text", "runs").mapInArrow(
+    docs = _keyed(documents)
+    return docs.join(_repeats(docs, length, gram, bucket), ["id", "th"], "left").select("doc_id", "text", "runs").mapInArrow(
         _remove(length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>"
     )
 
@@ -304,6 +313,7 @@ def remaining_text(documents: DataFrame, length: int = LENGTH, gram: int = GRAM,
     def cut(texts: pd.Series, runs: pd.Series) -> pd.Series:
         return pd.Series([b"".join(_kept((t or "").encode(), r, length)[0]).decode("utf-8", "ignore") for t, r in zip(texts, runs, strict=True)])
 
-    runs = _repeats(documents, length, gram, bucket)[1].select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), F.col("runs").alias("__runs"))
-    same = documents["doc_id"].cast("long").eqNullSafe(runs["__id"]) & (F.xxhash64(F.coalesce(documents["text"], F.lit(""))) == runs["__th"])
-    return documents.join(runs, same, "left").withColumn("text", cut("text", "__runs")).select(*documents.columns)
+    id, th, spans = unused(documents, "__id", "__th", "__runs")
+    runs = _repeats(_keyed(documents), length, gram, bucket).select(F.col("id").alias(id), F.col("th").alias(th), F.col("runs").alias(spans))
+    keyed = documents.withColumns({id: F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), th: F.xxhash64(F.coalesce("text", F.lit("")))})
+    return keyed.join(runs, [id, th], "left").withColumn("text", cut("text", spans)).select(*documents.columns)
