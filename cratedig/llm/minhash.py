@@ -4,10 +4,11 @@ A table key of classic banding needs its own minhashes. Here two collections of
 ``groups`` short minhash tuples are computed, and each *pair* of a tuple from
 the first and one from the second forms the key of a table: groups ** 2 tables
 from 2 * groups tuples, so the hashes computed grow with the square root of
-those used. With 10 groups of 2 a pair at similarity 0.8 misses all 100 tables
-with probability 2 * 0.36 ** 10, under 0.0001.
+those used. With 12 groups of 3 a pair at similarity 0.8 misses all 144 tables
+with probability 2 * 0.488 ** 12, under 0.0004, one at 0.9 under 1e-6; a pair
+at 0.3 meets in some table with probability 0.08, one at 0.1 with 0.0002.
 
-Documents with equal shingle sets collapse into one node first. Of a bucket,
+Documents with equal shingle sets, by 128 bits of hash, are one node. Of a bucket,
 only the pairs with its lead are verified at first. Once these links have made
 classes, the buckets of one lead that still hold several classes compare the
 nodes outside the largest with all those of other classes, blocks with blocks.
@@ -22,15 +23,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cratedig.llm._util import LOWER, NO_ID, NOT_BLANK, column_bytes, connected_components, mix, prefix_hash, row_chunks, save, span_hash, word_spans
+from cratedig.llm._util import LOWER, NO_ID, NOT_BLANK, column_bytes, connected_components, mix, prefix_hash, row_chunks, save, span_hash, unused, word_spans
 
 SIMILARITY = 0.8
 WORDS = 2
-GROUPS = 10
-_TUPLE = 2
+GROUPS = 12
+_TUPLE = 3
 _CHUNK = 1 << 20
 _rng = np.random.default_rng(7)
 _ODD = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
@@ -70,19 +71,19 @@ def _sketch(words: int, groups: int):
                 size = np.bincount(row, minlength=hi - lo)
                 full = np.flatnonzero(size)
                 first = (np.cumsum(size) - size)[full]
-                node = np.zeros(hi - lo, np.uint64)
+                node, check = np.zeros(hi - lo, np.uint64), np.zeros(hi - lo, np.uint64)
                 tuples = np.zeros((hi - lo, 2 * groups), np.uint64)
                 if len(full):
                     node[full] = mix(np.add.reduceat(mix(hashed ^ _SALT[1]), first) + size[full].astype(np.uint64))
+                    check[full] = np.add.reduceat(mix(hashed ^ _SALT[2]), first)
                     for k in range(2 * groups):
-                        for half in range(_TUPLE):
-                            k2 = _TUPLE * k + half
-                            least = np.minimum.reduceat(((hashed ^ _SALT[2 + k2]) * _ODD[k2]) >> np.uint64(32), first)
-                            tuples[full, k] |= least << np.uint64(32 * half)
+                        for turn in range(_TUPLE * k, _TUPLE * (k + 1)):
+                            least = np.minimum.reduceat(((hashed ^ _SALT[3 + turn]) * _ODD[turn]) >> np.uint64(32), first)
+                            tuples[full, k] = mix(tuples[full, k] * np.uint64(3) + least)
                 lists = [pa.FixedSizeListArray.from_arrays(pa.array(tuples[:, s].copy().view(np.int64).ravel()), groups).cast(pa.list_(pa.int64())) for s in (slice(0, groups), slice(groups, None))]
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).slice(lo, hi - lo) for c in ("doc_id", "_id", "th")), pa.array(size.astype(np.int64)), pa.array(node.view(np.int64)), *lists],
-                    names=["doc_id", "_id", "th", "n_shingles", "node", "one", "two"],
+                    [*(batch.column(c).slice(lo, hi - lo) for c in ("doc_id", "_id", "th")), pa.array(size.astype(np.int64)), pa.array(node.view(np.int64)), pa.array(check.view(np.int64)), *lists],
+                    names=["doc_id", "_id", "th", "n_shingles", "set", "check", "one", "two"],
                 )
 
     return run
@@ -145,22 +146,11 @@ def _cross(words: int, percent: int):
     return run
 
 
-def _agreeing(a: Column, b: Column) -> Column:
-    """How many of the minhashes packed in two lists of tuples agree."""
-    low = F.lit(0xFFFFFFFF)
-    hit = lambda x: F.when(x, 1).otherwise(0)
-    pairs = F.zip_with(a, b, lambda x, y: hit(x.bitwiseAND(low) == y.bitwiseAND(low)) + hit(F.shiftrightunsigned(x, 32) == F.shiftrightunsigned(y, 32)))
-    return F.aggregate(pairs, F.lit(0), lambda s, x: s + x)
-
-
 class _Verifier:
     """Verifies pairs of nodes on the full shingle sets of their texts."""
 
-    def __init__(self, docs: DataFrame, nodes: DataFrame, words: int, similarity: float, groups: int):
+    def __init__(self, docs: DataFrame, nodes: DataFrame, words: int, similarity: float):
         self.docs, self.nodes, self.words, self.percent = docs, nodes, words, round(100 * similarity)
-        # six standard deviations below what a pair at the threshold shares
-        n = 2 * groups * _TUPLE
-        self.least = max(0, int(n * similarity - 6 * (n * similarity * (1 - similarity)) ** 0.5))
 
     def texts(self, nodes: DataFrame) -> DataFrame:
         where = nodes.distinct().join(self.nodes, "node").select("node", "one_doc.*")
@@ -168,10 +158,10 @@ class _Verifier:
 
     def stars(self, groups: DataFrame) -> DataFrame:
         """The links (a, b) among pairs of lead and node."""
-        side = lambda s: self.nodes.select(F.col("node").alias(s), F.col("n_shingles").alias(f"n_{s}"), F.col("one").alias(f"one_{s}"), F.col("two").alias(f"two_{s}"))
+        side = lambda s: self.nodes.select(F.col("node").alias(s), F.col("n_shingles").alias(f"n_{s}"))
         near = groups.select(F.col("lead").alias("a"), F.col("node").alias("b")).join(side("a"), "a").join(side("b"), "b")
-        near = near.where(100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b"))
-        near = save(near.where(_agreeing(F.col("one_a"), F.col("one_b")) + _agreeing(F.col("two_a"), F.col("two_b")) >= self.least).select("a", "b"), "pairs")
+        # sets of too different a size can't be that similar
+        near = save(near.where(100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b")).select("a", "b"), "pairs")
         texts = self.texts(near.select(F.col("a").alias("node")).union(near.select("b")))
         full = near.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
         return save(full.select("a", "b", "text_a", "text_b").mapInArrow(_confirm(self.words, self.percent), "a long, b long"), "links")
@@ -222,25 +212,26 @@ def _classes(buckets: DataFrame, nodes: DataFrame, verify: _Verifier) -> DataFra
 def _classified(documents: DataFrame, similarity: float = SIMILARITY, words: int = WORDS, groups: int = GROUPS) -> DataFrame:
     """``near_duplicates`` and ``survives``: the row stands for its class, that of the smallest (doc_id, th), null ids last."""
     if not 0 < similarity <= 1 or words < 1 or groups < 1 or 2 * groups * _TUPLE > 250:
-        raise ValueError("similarity lies in (0, 1], words and groups are at least 1, groups at most 62")
+        raise ValueError("similarity lies in (0, 1], words and groups are at least 1, groups at most 41")
     docs = with_row_key(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    sets = save(docs.mapInArrow(_sketch(words, groups), "doc_id long, _id long, th long, n_shingles long, node long, one array<long>, two array<long>"), "sets")
+    sets = save(docs.mapInArrow(_sketch(words, groups), "doc_id long, _id long, th long, n_shingles long, set long, check long, one array<long>, two array<long>"), "sets")
     nodes = save(
-        sets.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "_id", "th")).alias("one_doc"), F.first("n_shingles").alias("n_shingles"), F.first("one").alias("one"), F.first("two").alias("two")), "nodes"
+        sets.where("n_shingles > 0").groupBy("set", "check").agg(F.min("doc_id").alias("least"), F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "_id", "th")).alias("one_doc"), F.first("n_shingles").alias("n_shingles"), F.first("one").alias("one"), F.first("two").alias("two")).withColumn("node", F.monotonically_increasing_id()), "nodes"
     )
     keys = nodes.select("node", "two", F.posexplode("one").alias("i", "x")).select("node", "i", "x", F.posexplode("two").alias("j", "y")).select("node", F.xxhash64("i", "j", "x", "y").alias("key"))
     full = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     buckets = save(keys.join(full, "key"), "buckets")
-    classes = save(_classes(buckets, nodes, _Verifier(docs, nodes, words, similarity, groups)), "classes")
-    least = nodes.select("node", "least", "one_doc").join(classes, "node", "left").select("node", "least", "one_doc", F.coalesce("comp", "node").alias("comp"))
+    classes = save(_classes(buckets, nodes, _Verifier(docs, nodes, words, similarity)), "classes")
+    least = nodes.select("node", "set", "check", "least", "one_doc").join(classes, "node", "left").select("set", "check", "least", "one_doc", F.coalesce("comp", "node").alias("comp"))
     least = save(least, "least")
     per = least.groupBy("comp").agg(F.min("least").alias("component_id"), F.min("one_doc").alias("survivor"))
-    named = least.join(per, "comp").select("node", "component_id", "survivor")
-    rows = sets.select("doc_id", "_id", "th", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("node")).alias("node")).join(named, "node", "left")
-    own = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    survives = F.col("node").isNull() | ((F.col("survivor._id") == F.col("_id")) & (F.col("survivor.th") == F.col("th")))
+    named = least.join(per, "comp").select("set", "check", "component_id", "survivor")
+    rows = sets.select("doc_id", "_id", "th", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("set")).alias("set"), "check").join(named, ["set", "check"], "left")
+    own = F.when(F.col("set").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    survives = F.col("set").isNull() | ((F.col("survivor._id") == F.col("_id")) & (F.col("survivor.th") == F.col("th")))
     return rows.select("doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"), "_id", "th", survives.alias("survives"))
 
+
 def near_duplicates(documents: DataFrame, **parameters) -> DataFrame:
     """Per row of ``documents``: doc_id, n_shingles, component_id, kept, and the row key (_id, th).
 
@@ -261,7 +252,7 @@ def with_row_key(documents: DataFrame) -> DataFrame:
 
 def drop_near_duplicates(documents: DataFrame, **parameters) -> DataFrame:
     """One row of each class: that of the smallest (doc_id, text hash), null ids last, of repeated rows one. Columns stay as they are."""
-    classes = _classified(documents, **parameters).where(~F.col("survives")).select(F.col("_id").alias("__id"), F.col("th").alias("__th")).distinct()
-    names = {"_id": "__id", "th": "__th"}
-    keyed = documents.withColumns({names[k]: v for k, v in (("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))), ("th", F.xxhash64("text")))})
-    return keyed.join(classes, ["__id", "__th"], "left_anti").dropDuplicates(["__id", "__th"]).select(*documents.columns)
+    key = unused(documents, "__id", "__th")
+    gone = _classified(documents, **parameters).where(~F.col("survives")).select(F.col("_id").alias(key[0]), F.col("th").alias(key[1])).distinct()
+    keyed = documents.withColumns({key[0]: F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), key[1]: F.xxhash64("text")})
+    return keyed.join(gone, key, "left_anti").dropDuplicates(key).select(*documents.columns)
