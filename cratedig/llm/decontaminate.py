@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from cratedig.llm._util import ALNUM, LOWER, column_bytes, mix, prefix_hash, ragged, row_chunks, save, span_hash, word_spans
 
 WINDOW = 10
-#: Benchmark words whose windows are held in memory at once (about 100 bytes each).
-BLOCK_WORDS = 2_000_000
+#: Benchmark words whose windows are held in memory at once (about 60 bytes each with their texts, in each Python worker).
+BLOCK_WORDS = 1_000_000
 _CHUNK = 1 << 20
 _PIECE = 256
 _HITS = "hits array<struct<first:int,last:int>>, items array<string>"
@@ -47,22 +47,59 @@ def _block(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix(a * np.uint64(3) + b)
 
 
+class Items:
+    """The lower-cased bytes of all items, and their words' hashes and spans."""
+
+    def __init__(self, ids: list[str], texts: list[str]):
+        raw = [t.encode() for t in texts]
+        offs = np.concatenate([[0], np.cumsum([len(x) for x in raw], dtype=np.int64)]).astype(np.int64)
+        buf = np.frombuffer(b"".join(raw), np.uint8)
+        self.ids, self.low = ids, LOWER[buf].tobytes()
+        self.word, self.first, spans = hashed_words(buf, offs) if len(buf) else (np.zeros(0, np.uint64), offs, np.zeros((2, 0), np.int64))
+        self.spans = spans.astype(np.int64 if len(buf) > 1 << 31 else np.int32)
+
+    def text(self, at: int, size: int) -> bytes:
+        return b" ".join(self.low[a:b] for a, b in self.spans[:, at : at + size].T)
+
+
 class Patterns:
-    """Wu-Manber tables of all patterns of ``size`` words."""
+    """Wu-Manber tables of all windows of ``size`` words of the items numbered ``own``; about 50 bytes a word."""
 
-    def __init__(self, size: int, words: np.ndarray, items: list[list[str]], texts: list[bytes]):
-        self.size, self.words, self.items, self.texts = size, words, items, texts
+    def __init__(self, size: int, source: Items, own: np.ndarray):
+        self.size, self.source = size, source
         self.width = min(2, size)
-        bits = max(12, int(8 * len(words) * size).bit_length())
+        begin, counts = source.first[own], source.first[own + 1] - source.first[own]
+        which, step = ragged(counts - size + 1)
+        at = begin[which] + step
+        # equal windows are one pattern, with all the items that have it
+        sums = [np.zeros(len(at), np.uint64) for _ in range(2)]
+        for j in range(size):
+            sums = [mix(x * np.uint64(3) + source.word[at + j] + np.uint64(k)) for k, x in enumerate(sums)]
+        order = np.lexsort((which, *sums))
+        new = np.concatenate([[True], (np.diff(sums[0][order]) != 0) | (np.diff(sums[1][order]) != 0)])
+        self.at = at[order[new]]
+        fresh = new | np.concatenate([[True], np.diff(which[order]) != 0])
+        self.item = own[which[order[fresh]]].astype(np.int32)
+        self.of = np.concatenate([np.flatnonzero(new[fresh]), [int(fresh.sum())]])
+        # of the windows that hold a block, the first ends nearest before it
+        word, place = ragged(counts)
+        _, place = ragged(counts)
+        place = place[place >= self.width - 1]
+        word = np.repeat(np.arange(len(counts)), np.maximum(0, counts - self.width + 1))
+        last = begin[word] + place
+        bits = max(12, int(8 * len(last)).bit_length())
         self.mask = np.uint64((1 << bits) - 1)
-        self.shift = np.full(1 << bits, size - self.width + 1, np.uint8 if size < 250 else np.int32)
-        for end in range(self.width, size + 1):
-            at = (self.ending(words[:, end - 2] if self.width > 1 else None, words[:, end - 1]) & self.mask).astype(np.int64)
-            np.minimum.at(self.shift, at, size - end)
-        suffix = self.ending(words[:, size - 2] if self.width > 1 else None, words[:, size - 1])
+        self.shift = np.full(1 << bits, size - self.width + 1, np.uint8)
+        slot = (self.ending(source.word[last - 1] if self.width > 1 else None, source.word[last]) & self.mask).astype(np.int64)
+        np.minimum.at(self.shift, slot, np.maximum(0, size - 1 - place).astype(np.uint8))
+        end = self.at + size - 1
+        suffix = self.ending(source.word[end - 1] if self.width > 1 else None, source.word[end])
         self.order = np.argsort(suffix, kind="stable")
         self.suffix = suffix[self.order]
 
+    def items(self, pattern: int) -> list[str]:
+        return [self.source.ids[i] for i in self.item[self.of[pattern] : self.of[pattern + 1]]]
+
     def ending(self, before: np.ndarray | None, last: np.ndarray) -> np.ndarray:
         return mix(last) if before is None else _block(before, last)
 
@@ -84,7 +121,7 @@ class Patterns:
                 pattern, first = self.order[lo[bucket] + k], at[stop][bucket] - self.size + 1
                 same = np.ones(len(pattern), bool)
                 for j in range(self.size):
-                    same &= word[first + j] == self.words[pattern, j]
+                    same &= word[first + j] == self.source.word[self.at[pattern] + j]
                 starts.append(first[same])
                 which.append(pattern[same])
             at = at + np.maximum(jump, 1)
@@ -95,23 +132,10 @@ class Patterns:
 
 
 def build_patterns(item_ids: list[str], texts: list[str], window: int) -> list[Patterns]:
-    """The tables for each length; a pattern that several items have is kept once."""
-    found: dict[int, dict[bytes, list]] = defaultdict(dict)
-    raw = [(t or "").encode() for t in texts]
-    offs = np.concatenate([[0], np.cumsum([len(x) for x in raw], dtype=np.int64)]).astype(np.int64)
-    buf = np.frombuffer(b"".join(raw), np.uint8)
-    if not len(buf):
-        return []
-    word, first, spans = hashed_words(buf, offs)
-    low = LOWER[buf].tobytes()
-    for i, item in enumerate(item_ids):
-        a, b = int(first[i]), int(first[i + 1])
-        size = min(window, b - a)
-        for at in range(a, b - size + 1) if size else ():
-            text = b" ".join(low[s:e] for s, e in spans[:, at : at + size].T)
-            entry = found[size].setdefault(text, [word[at : at + size], {}])
-            entry[1][item] = None
-    return [Patterns(size, np.stack([e[0] for e in of.values()]), [list(e[1]) for e in of.values()], list(of)) for size, of in sorted(found.items())]
+    """The tables for each length of pattern."""
+    source = Items(item_ids, texts)
+    size = np.minimum(np.diff(source.first), window)
+    return [Patterns(n, source, np.flatnonzero(size == n)) for n in np.unique(size).tolist() if n]
 
 
 def _search(tables):
@@ -131,10 +155,10 @@ def _search(tables):
                     row = np.searchsorted(first, start, "right") - 1
                     for s, p, r in zip(start.tolist(), pattern.tolist(), row.tolist(), strict=True):
                         # hashes found it; the words themselves decide
-                        if b" ".join(low[a:b] for a, b in spans[:, s : s + table.size].T) == table.texts[p]:
+                        if b" ".join(low[a:b] for a, b in spans[:, s : s + table.size].T) == table.source.text(int(table.at[p]), table.size):
                             at = s - int(first[r])
                             runs[r].append((at, at + table.size))
-                            named[r].update(table.items[p])
+                            named[r].update(table.items(p))
                 counts.append(np.diff(first))
                 for r in range(hi - lo):
                     hits.append([{"first": a, "last": b} for a, b in _merge(runs.get(r, ()))])
