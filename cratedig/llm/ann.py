@@ -4,9 +4,10 @@ Equal vectors are one point of a graph, with the smallest ids that can appear
 in a result; a very common vector thus costs one point. Points are dealt to
 shards by hash, and each shard is indexed by one task: a hierarchy of layers,
 each a flat array of neighbour numbers, saved in the shared folder with its
-vectors. Searches take the queries in blocks, one task per shard and block,
-and merge the best of every shard. Within a task, points are inserted and
-queries searched in lockstep batches, so that numpy does the work.
+vectors. For a search a shard is read by one task, which the queries pass
+through in batches, and the best of every shard are merged. Within a task,
+points are inserted and queries searched in lockstep, so that numpy does the
+work.
 """
 
 from __future__ import annotations
@@ -28,8 +29,8 @@ SHARD = 8192
 LINKS = 24
 BUILD = 64
 SEARCH = 96
-QUERY_BLOCK = 2048
 _BATCH = 64
+_GRAPHS = "dim int, shard int, n int, entry int, vectors binary, layers array<binary>, level binary, ids binary, counts binary"
 
 
 class Graph:
@@ -158,43 +159,62 @@ class Graph:
         return self._layer(q, at, 0, width)[0]
 
 
-def _build(links: int, width: int, dim: int):
+def _build(links: int, width: int):
     def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("least")
-        vectors = np.stack(frame["vector"].to_numpy()).astype(np.float64).reshape(-1, dim)
+        vectors = np.stack(frame["vector"].to_numpy()).astype(np.float64).reshape(-1, key[0])
         unit = (vectors / np.linalg.norm(vectors, axis=1, keepdims=True)).astype(np.float32)
         g = Graph.build(unit, links, width)
         ids = frame["ids"].to_numpy()
-        row = {"shard": key[0], "n": len(unit), "entry": g.entry, "vectors": vectors.astype(np.float64).tobytes(), "layers": [x.tobytes() for x in g.layers], "level": g.level.astype(np.int32).tobytes()}
+        row = {"dim": key[0], "shard": key[1], "n": len(unit), "entry": g.entry, "vectors": vectors.tobytes(), "layers": [x.tobytes() for x in g.layers], "level": g.level.astype(np.int32).tobytes()}
         row |= {"ids": np.concatenate(ids).astype(np.int64).tobytes(), "counts": np.array([len(x) for x in ids], np.int32).tobytes()}
         return pd.DataFrame([row])
 
     return run
 
 
-def _ask(links: int, width: int, k: int, dim: int):
+class _Shard:
+    """A stored shard, to search in."""
+
+    def __init__(self, x: dict, links: int):
+        self.vectors = np.frombuffer(x["vectors"], np.float64).reshape(-1, x["dim"])
+        unit = (self.vectors / np.linalg.norm(self.vectors, axis=1, keepdims=True)).astype(np.float32)
+        layers = [np.frombuffer(v, np.int32).reshape(len(unit), -1) for v in x["layers"]]
+        self.graph = Graph(unit, links, layers, np.frombuffer(x["level"], np.int32), x["entry"])
+        self.ids, self.counts = np.frombuffer(x["ids"], np.int64), np.frombuffer(x["counts"], np.int32)
+        self.first = np.cumsum(self.counts) - self.counts
+
+    def nearest(self, query_ids: np.ndarray, queries: np.ndarray, width: int, k: int) -> list[tuple[int, int, float]]:
+        out: list[tuple] = []
+        for lo in range(0, len(queries), 256):
+            exact = queries[lo : lo + 256]
+            q = (exact / np.linalg.norm(exact, axis=1, keepdims=True)).astype(np.float32)
+            for r, points in enumerate(self.graph.search(q, max(width, 2 * k))):
+                points = points[points >= 0]
+                own = self.vectors[points]
+                score = (own * exact[r]).sum(axis=1) / (np.sqrt((own * own).sum(axis=1)) * np.sqrt((exact[r] * exact[r]).sum()))
+                hits = [(-s, i) for p, s in zip(points, score, strict=True) for i in self.ids[self.first[p] : self.first[p] + self.counts[p]] if i != query_ids[lo + r]]
+                out += [(int(query_ids[lo + r]), int(i), -s) for s, i in sorted(hits)[:k]]
+        return out
+
+
+def _ask(links: int, width: int, k: int):
+    """Reads shards and the queries after each; one shard is held at a time, and its queries pass by in batches."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, key = None, None
         for batch in batches:
-            for x in batch.to_pylist():
-                vectors = np.frombuffer(x["vectors"], np.float64).reshape(-1, dim)
-                unit = (vectors / np.linalg.norm(vectors, axis=1, keepdims=True)).astype(np.float32)
-                layers = [np.frombuffer(v, np.int32).reshape(len(unit), -1) for v in x["layers"]]
-                g = Graph(unit, links, layers, np.frombuffer(x["level"], np.int32), x["entry"])
-                ids, counts = np.frombuffer(x["ids"], np.int64), np.frombuffer(x["counts"], np.int32)
-                first = np.cumsum(counts) - counts
-                query_ids = np.array([q["vec_id"] for q in x["queries"]])
-                queries = np.array([q["vector"] for q in x["queries"]], np.float64).reshape(-1, dim)
-                out: list[tuple] = []
-                for lo in range(0, len(queries), 256):
-                    exact = queries[lo : lo + 256]
-                    q = (exact / np.linalg.norm(exact, axis=1, keepdims=True)).astype(np.float32)
-                    for r, points in enumerate(g.search(q, max(width, 2 * k))):
-                        points = points[points >= 0]
-                        own = vectors[points]
-                        score = (own * exact[r]).sum(axis=1) / (np.sqrt((own * own).sum(axis=1)) * np.sqrt((exact[r] * exact[r]).sum()))
-                        hits = [(-s, i) for p, s in zip(points, score, strict=True) for i in ids[first[p] : first[p] + counts[p]] if i != query_ids[lo + r]]
-                        out += [(int(query_ids[lo + r]), int(i), -s) for s, i in sorted(hits)[:k]]
-                yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in out], t) for j, t in enumerate((pa.int64(), pa.int64(), pa.float64()))], names=["query_id", "vec_id", "score"])
+            kind = batch.column("vec_id").is_valid().to_numpy(zero_copy_only=False)
+            dim, shard = (batch.column(c).to_numpy() for c in ("dim", "shard"))
+            edges = np.flatnonzero(np.concatenate([[True], ~(kind[1:] & kind[:-1] & (shard[1:] == shard[:-1]) & (dim[1:] == dim[:-1])), [True]])) if len(kind) else []
+            out: list[tuple] = []
+            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+                if not kind[lo]:
+                    held, key = _Shard(batch.slice(lo, 1).to_pylist()[0], links), (dim[lo], shard[lo])
+                elif key == (dim[lo], shard[lo]):
+                    vectors = batch.column("vector").slice(lo, hi - lo).flatten().to_numpy().reshape(-1, dim[lo])
+                    out += held.nearest(batch.column("vec_id").slice(lo, hi - lo).to_numpy(), vectors, width, k)
+            yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in out], t) for j, t in enumerate((pa.int64(), pa.int64(), pa.float64()))], names=["query_id", "vec_id", "score"])
 
     return run
 
@@ -207,37 +227,44 @@ def valid_vectors(table: DataFrame) -> DataFrame:
     )
 
 
-def build_index(vectors: DataFrame, k: int = K, shard: int = SHARD, links: int = LINKS, width: int = BUILD) -> tuple[DataFrame, int]:
-    """One row per shard of ``valid_vectors`` rows: flat neighbour arrays, vectors and ids; and the most common dimension, which they have."""
-    lengths = vectors.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    dim = lengths["d"] if lengths else 1
-    bits = vectors.where(F.size("vector") == dim).select("vec_id", "vector", F.xxhash64("vector").alias("h"))
+def build_index(vectors: DataFrame, k: int = K, shard: int = SHARD, links: int = LINKS, width: int = BUILD) -> DataFrame:
+    """One row per shard of ``valid_vectors`` rows: dim, shard, flat neighbour arrays, vectors and ids."""
+    keyed = vectors.select("vec_id", "vector", F.xxhash64("vector").alias("h"))
     # of equal vectors, a result of k can name the k smallest ids, and one more where the query is one of them
-    ranked = bits.withColumn("turn", F.row_number().over(Window.partitionBy("h", "vector").orderBy("vec_id"))).where(F.col("turn") <= k + 1)
-    points = save(ranked.groupBy("h", "vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"), F.min("vec_id").alias("least")), "points")
-    shards = max(1, -(-points.count() // shard))
-    dealt = points.select("vector", "ids", "least", F.pmod(F.hash("h"), F.lit(shards)).alias("shard"))
-    schema = "shard int, n int, entry int, vectors binary, layers array<binary>, level binary, ids binary, counts binary"
-    return save(dealt.groupBy("shard").applyInPandas(_build(links, width, dim), schema), "graphs"), dim
+    ranked = keyed.withColumn("turn", F.row_number().over(Window.partitionBy("h", "vector").orderBy("vec_id"))).where(F.col("turn") <= k + 1)
+    points = save(ranked.groupBy("h", "vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"), F.min("vec_id").alias("least")), "points").withColumn("dim", F.size("vector"))
+    shards = points.groupBy("dim").agg(F.ceil(F.count("*") / F.lit(shard)).cast("int").alias("shards"))
+    dealt = points.join(shards, "dim").select("dim", F.pmod(F.hash("h"), F.col("shards")).alias("shard"), "vector", "ids", "least")
+    return save(dealt.groupBy("dim", "shard").applyInPandas(_build(links, width), _GRAPHS), "graphs")
+
+
+def search_index(graphs: DataFrame, queries: DataFrame, k: int = K, links: int = LINKS, search: int = SEARCH) -> DataFrame:
+    """(query_id, rank, vec_id, score) of the k nearest that the shards of ``build_index`` hold for ``valid_vectors`` rows.
+
+    Every query goes to every shard of its length, behind the shard's own row: a
+    task reads the shard once, whatever the number of queries.
+    """
+    shards = graphs.select("dim", "shard")
+    asked = queries.distinct().withColumn("dim", F.size("vector")).join(shards.groupBy("dim").agg(F.collect_list("shard").alias("to")), "dim")
+    asked = asked.select("dim", F.explode("to").alias("shard"), "vec_id", "vector")
+    # about one shard a task, so that a batch holds few of them
+    rows = graphs.unionByName(asked, allowMissingColumns=True).repartition(max(1, graphs.count()), "dim", "shard")
+    # a shard's row has no vec_id, so it comes first
+    hits = rows.sortWithinPartitions("dim", "shard", F.asc_nulls_first("vec_id")).mapInArrow(_ask(links, search, k), "query_id long, vec_id long, score double")
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def nearest(table: DataFrame, queries: DataFrame, k: int = K, shard: int = SHARD, links: int = LINKS, width: int = BUILD, search: int = SEARCH) -> DataFrame:
     """(query_id, rank, vec_id, score) of each query's k nearest rows of ``table`` but itself; both have vec_id and embedding.
 
-    Vectors that are null or zero, or hold a null or non-finite component, take
-    no part, as query or candidate; nor do null ids, or vectors of another length
-    than most have. Rows that repeat a vec_id with other vectors are candidates each.
-    Score is the cosine of the stored components in double precision; ties go
-    to the smaller vec_id. Other columns are ignored; empty tables give no rows.
+    Vectors that are null, empty or zero, or hold a null or non-finite component,
+    take no part, as query or candidate; nor do null ids. Vectors are indexed by
+    length, as there is no cosine of two lengths. Rows that repeat a vec_id with
+    other vectors are candidates each. Score is the cosine of the stored
+    components in double precision; ties go to the smaller vec_id. Other columns
+    are ignored; empty tables give no rows.
     """
     if k < 1 or shard < 1 or links < 2:
         raise ValueError("k and shard are at least 1, links at least 2")
-    graphs, dim = build_index(valid_vectors(table), k, shard, links, width)
-    asked = save(valid_vectors(queries).where(F.size("vector") == dim).distinct(), "queries")
-    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    grouped = asked.groupBy(F.pmod(F.hash("vec_id"), F.lit(blocks)).alias("block")).agg(F.collect_list(F.struct("vec_id", "vector")).alias("queries"))
-    # every shard meets every block of queries: a stated query set against all rows
-    tasks = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(grouped, "block").repartition("shard", "block")
-    hits = tasks.mapInArrow(_ask(links, search, k, dim), "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return search_index(build_index(valid_vectors(table), k, shard, links, width), valid_vectors(queries), k, links, search)
