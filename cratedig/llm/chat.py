@@ -13,6 +13,8 @@ the operator raises an error rather than return a conversation that does not.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +39,26 @@ def render(turns: Column, escaped: bool) -> Column:
     return F.array_join(F.transform(turns, lambda x: F.concat(F.lit(OPEN), put(x["role"]), F.lit(MIDDLE), put(x["text"]), F.lit(CLOSE))), "")
 
 
+def _bound(x: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(x)`` with ``x`` computed once: what a lambda takes from outside is evaluated anew for every element."""
+    return F.get(F.transform(F.array(x), f), F.lit(0))
+
+
+def _sums_before(numbers: Column, block: int = 256) -> Column:
+    """For each number the sum of those before it. Appending copies an array, so it is done by blocks of bounded length."""
+
+    def summed(items: Column, value: Callable[[Column], Column]) -> Column:
+        zero = F.struct(F.lit(0).alias("total"), F.array().cast("array<int>").alias("before"))
+        return F.aggregate(items, zero, lambda s, x: F.struct((s["total"] + value(x)).alias("total"), F.concat(s["before"], F.array(s["total"])).alias("before")))
+
+    def by_blocks(n: Column) -> Column:
+        last = F.greatest(F.lit(0), F.floor((F.size(n) - 1) / block)).cast("int")
+        parts = F.transform(F.sequence(F.lit(0), last), lambda i: summed(F.slice(n, i * block + 1, block), lambda x: x))
+        return _bound(parts, lambda p: F.flatten(F.zip_with(p, summed(p, lambda x: x["total"])["before"], lambda x, at: F.transform(x["before"], lambda y: y + at))))
+
+    return _bound(numbers, by_blocks)
+
+
 def parse(formatted: Column, escaped: bool) -> Column:
     """The array of (role, text, start, end) that the grammar reads; start and end are code points of the text as written.
 
@@ -56,16 +78,12 @@ def parse(formatted: Column, escaped: bool) -> Column:
         text = F.substring(x, F.when(ok, cut + len(MIDDLE)).otherwise(1), F.length(x))
         return F.struct(role.alias("role"), take(text).alias("text"), F.length(text).alias("width"), F.length(x).alias("length"))
 
-    read = F.transform(turns, turn)
-    none = F.array().cast("array<struct<role:string,text:string,start:int,end:int>>")
-    zero = F.struct(F.lit(0).alias("at"), none.alias("out"))
-
-    def add(s: Column, x: Column) -> Column:
-        end = s["at"] + x["length"]
-        span = F.struct(x["role"].alias("role"), x["text"].alias("text"), (end - x["width"]).alias("start"), end.alias("end"))
-        return F.struct((end + len(CLOSE)).alias("at"), F.concat(s["out"], F.array(span)).alias("out"))
+    def placed(x: Column, at: Column) -> Column:
+        end = at + x["length"]
+        return F.struct(x["role"].alias("role"), x["text"].alias("text"), (end - x["width"]).alias("start"), end.alias("end"))
 
-    return F.aggregate(read, zero, add, lambda s: s["out"])
+    places = lambda read: _sums_before(F.transform(read, lambda x: x["length"] + len(CLOSE)))
+    return _bound(F.transform(turns, turn), lambda read: F.zip_with(read, places(read), placed))
 
 
 def same_turns(a: Column, b: Column) -> Column:
