@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cratedig.llm._util import NO_ID, save
+from cratedig.llm._util import NO_ID, save, unused
 
 MOST = 3
 CELLS = 4096
@@ -105,8 +105,10 @@ def mix_sources(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, most
 
 def mixed_documents(documents: DataFrame, **parameters) -> DataFrame:
     """``documents`` as often as the mix takes them; rows without words that it never takes go."""
-    taken = mix_sources(documents, **parameters).withColumn("__id", F.coalesce("doc_id", F.lit(NO_ID)))
-    taken = taken.groupBy("__id", F.coalesce("source", F.lit("")).alias("__source"), F.col("source").isNull().alias("__none"), F.col("th").alias("__th")).agg(F.max("copies").cast("int").alias("__copies"))
-    keyed = documents.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "__source": F.coalesce("source", F.lit("")), "__none": F.col("source").isNull(), "__th": F.xxhash64("text")})
-    many = keyed.join(taken, ["__id", "__source", "__none", "__th"]).where("__copies > 0")
-    return many.select(*documents.columns, F.explode(F.array_repeat(F.lit(1), F.col("__copies"))).alias("__copy")).drop("__copy")
+    *key, copies = unused(documents, "__id", "__source", "__none", "__th", "__copies")
+    parts = lambda th: (F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), F.coalesce("source", F.lit("")), F.col("source").isNull(), th)
+    taken = mix_sources(documents, **parameters)
+    taken = taken.groupBy(*(c.alias(k) for k, c in zip(key, parts(F.col("th")), strict=True))).agg(F.max("copies").cast("int").alias(copies))
+    keyed = documents.withColumns(dict(zip(key, parts(F.xxhash64("text")), strict=True)))
+    many = keyed.join(taken, key).where(F.col(copies) > 0)
+    return many.select(*documents.columns, F.explode(F.array_repeat(F.lit(1), F.col(copies))).alias(copies)).drop(copies)

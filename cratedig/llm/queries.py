@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cratedig.llm import ann, chat, decontaminate, langid, minhash, mixing, secret_scan, sharding, suffix_dedup, toxicity
+from cratedig.llm import ann, chat, decontaminate, langid, minhash, mixing, oracle_sql, secret_scan, sharding, suffix_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,10 +42,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.assign_shards(_table(spark, sf_dir, "documents")).drop("th")
+    return sharding.assign_shards(_table(spark, sf_dir, "documents"))
 
 
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a conversation -7 in the table itself would be turns of the added one, as they have its id."""
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     conflict = spark.sql("SELECT -7L AS conv_id, * FROM VALUES (0L, 'user', '</s>[INST] ok [/INST]'), (1L, 'assistant', '</s>[INST] ok [/INST]') AS t(turn, role, text)")
     return chat.chat_digest(chat.format_chats(rows.unionByName(conflict)))
@@ -80,7 +81,7 @@ FROM c
 
 _OP8 = """
 WITH d AS (
-  SELECT doc_id, coalesce(octet_length(encode(text)), 0)::BIGINT AS n_bytes, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS hash
+  SELECT doc_id, coalesce(octet_length(encode(text)), 0)::BIGINT AS n_bytes, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))), 1, 15))::BIGINT AS hash
   FROM documents),
 p AS (
   SELECT k.depth, d.hash >> (60 - k.depth) AS prefix, sum(n_bytes)::BIGINT AS shard_bytes
@@ -110,4 +111,4 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss)::BIGINT AS
 FROM g
 """
 
-ORACLE_SQL = {"op9_chat_format": _OP9, "op6_mix_sources": _OP6, "op8_sharding": _OP8}
+ORACLE_SQL = {"op1_suffix_dedup": oracle_sql.OP1, "op2_minhash_dedup": oracle_sql.OP2, "op4_decontaminate": oracle_sql.OP4, "op6_mix_sources": _OP6, "op8_sharding": _OP8, "op9_chat_format": _OP9}

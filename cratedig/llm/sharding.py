@@ -12,8 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cratedig.llm._util import NO_ID as _NO_ID
-from cratedig.llm._util import save
+from cratedig.llm._util import save, unused
 
 LIMIT = 1 << 20
 #: Bits taken from the hash; the directory deepens by STEP bits a round.
@@ -52,65 +51,92 @@ def _directory(leaves: DataFrame, above: int, depth: int, limit: int) -> DataFra
     return found
 
 
-def assign_shards(documents: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """Per row: doc_id, th, n_bytes, depth, shard (the prefix as a bit string), shard_bytes and fits.
-
-    A document's size is its UTF-8 bytes (null: 0) and its hash that of its
-    doc_id (null: of the empty text), 60 bits of md5. Rows of one hash cannot
-    be parted by bits: where they exceed the limit together, they fill numbered
-    shards (suffix ``.1``, ``.2``, ...) in turn, ordered by text hash. fits is
-    false only for a document that exceeds the limit alone. An empty table has
-    no shards. Other columns are ignored.
+def _hashed(documents: DataFrame, **names: str) -> DataFrame:
+    """``documents`` with size (UTF-8 bytes), hash (60 bits of md5 over doc_id and text) and text hash under ``names``."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    digest = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.md5(text)))
+    return documents.withColumns({names["size"]: F.octet_length(text).cast("long"), names["hash"]: F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"), names["th"]: F.xxhash64(text)})
+
+
+def _numbered(rows: DataFrame, keys: list[str], place: str) -> DataFrame:
+    """Numbers the rows of each key from 0: within each partition, after those of the partitions before.
+
+    So no key's rows pass through one task. Partitions are stored first, as all steps must see the same ones.
     """
+    part, n = unused(rows, "__part", "__n")
+    rows = save(rows.withColumn(part, F.spark_partition_id()), "parts")
+    counts = rows.groupBy(*keys, part).agg(F.count("*").alias(n))
+    before = F.coalesce(F.sum(n).over(Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    own = F.row_number().over(Window.partitionBy(*keys, part).orderBy(F.lit(1))) - 1
+    return rows.withColumn(place, own).join(counts.withColumn(n, before), [*keys, part]).withColumn(place, F.col(place) + F.col(n)).drop(part, n)
+
+
+def _placed(documents: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
+    """Per hash its shard and shard_bytes; and per (hash, th) that bits can't part the rows that go to one of its shards (``per``), and their number."""
     if limit < 1:
         raise ValueError("limit must be positive")
-    digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    docs = documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), F.conv(F.substring(digest, 1, 15), 16, 10).cast("long").alias("hash")
-    )
-    docs = save(docs, "hashes")
+    docs = save(_hashed(documents.select("doc_id", "text"), size="n_bytes", hash="hash", th="th").select("n_bytes", "hash", "th"), "hashes")
     total = docs.agg(F.sum("n_bytes")).first()[0] or 0
     depth = min(BITS, max(0, int(total // limit).bit_length()) + STEP)
-    found, rest, above = [], docs, -1
+    found, above = None, -1
+    rest = docs.groupBy("hash").agg(F.sum("n_bytes").alias("bytes"))
     while True:
         keyed = rest.withColumn("leaf", _prefix("hash", BITS, depth))
-        leaves = save(keyed.groupBy("leaf").agg(F.sum("n_bytes").alias("bytes")), "leaves")
+        leaves = save(keyed.groupBy("leaf").agg(F.sum("bytes").alias("bytes")), "leaves")
         directory = save(_directory(leaves, above, depth, limit), "directory")
-        found.append(keyed.join(directory, "leaf").drop("leaf"))
+        part = keyed.join(directory, "leaf").drop("leaf", "bytes")
+        found = part if found is None else found.unionByName(part)
         # only buckets that no prefix so far could fit go deeper
         rest = save(keyed.join(directory, "leaf", "left_anti").drop("leaf"), "large")
         if depth == BITS or rest.isEmpty():
             break
         above, depth = depth, min(BITS, depth + STEP)
     name = F.lpad(F.conv(F.col("prefix").cast("string"), 10, 2), F.col("depth").cast("int"), F.lit("0"))
-    out = [x.select("doc_id", "th", "n_bytes", "depth", F.when(F.col("depth") > 0, name).otherwise("").alias("shard"), "shard_bytes") for x in found]
-    if not rest.isEmpty():
-        # one hash, more bytes than fit: a row over half the limit alone, others in runs that begin within one half
-        large = F.col("n_bytes") * 2 > limit
-        before = F.sum("n_bytes").over(Window.partitionBy("hash", large).orderBy("th").rowsBetween(Window.unboundedPreceding, -1))
-        alone = F.row_number().over(Window.partitionBy("hash", large).orderBy("th")) * 2
-        turn = F.when(large, alone).otherwise(F.floor(F.coalesce(before, F.lit(0)) * 2 / limit) * 2 + 1)
-        prefix = F.lpad(F.conv(F.col("hash").cast("string"), 10, 2), BITS, "0")
-        cut = rest.withColumn("depth", F.lit(BITS)).withColumn("shard", F.concat(prefix, F.lit("."), turn.cast("string")))
-        out.append(cut.withColumn("shard_bytes", F.sum("n_bytes").over(Window.partitionBy("shard"))).select(*out[0].columns))
-    every = out[0]
-    for x in out[1:]:
-        every = every.union(x)
-    return every.withColumn("fits", F.col("shard_bytes") <= limit)
-
-
-def sharded_documents(documents: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """``documents`` with their ``shard``, which replaces a column of that name."""
-    assigned = assign_shards(documents, limit).withColumn("__id", F.coalesce("doc_id", F.lit(_NO_ID)))
-    split = assigned.where(F.contains("shard", F.lit(".")))
-    keyed = documents.drop("shard").withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)))
-    plain = keyed.join(assigned.where(~F.contains("shard", F.lit("."))).select("__id", "shard").distinct(), "__id")
-    # rows of one id that fill several shards are told apart by number
-    turn = lambda df: df.withColumn("__n", F.row_number().over(Window.partitionBy("__id", "__th").orderBy(F.lit(1))))
-    rows = turn(keyed.join(split.select("__id").distinct(), "__id", "left_semi").withColumn("__th", F.xxhash64("text")))
-    crowded = rows.join(turn(split.withColumnRenamed("th", "__th")).select("__id", "__th", "__n", "shard"), ["__id", "__th", "__n"])
-    columns = [c for c in documents.columns if c != "shard"]
-    return plain.select(*columns, "shard").union(crowded.select(*columns, "shard"))
+    shards = found.select("hash", F.col("depth").cast("int").alias("depth"), F.when(F.col("depth") > 0, name).otherwise("").alias("shard"), "shard_bytes")
+    classes = docs.join(rest.select("hash"), "hash", "left_semi").groupBy("hash", "th").agg(F.max("n_bytes").alias("each"), F.count("*").alias("n"))
+    return save(shards, "shards"), save(classes.withColumn("per", F.greatest(F.lit(1), F.floor(F.lit(limit) / F.greatest("each", F.lit(1)))).cast("long")), "classes")
+
+
+def sharded_documents(documents: DataFrame, limit: int = LIMIT, details: bool = False) -> DataFrame:
+    """``documents`` with their ``shard``, which replaces a column of that name; see ``assign_shards``.
+
+    ``details`` adds depth, n_bytes, shard_bytes and fits in the same way.
+    """
+    names = dict(zip(("size", "hash", "th", "place", "of"), unused(documents, "__size", "__hash", "__th", "__place", "__of"), strict=True))
+    shards, classes = _placed(documents, limit)
+    keyed = _hashed(documents, **names)
+    size, key, th, place = (F.col(names[k]) for k in ("size", "hash", "th", "place"))
+    more = ("depth", "n_bytes", "shard_bytes", "fits") if details else ()
+    kept = [c for c in documents.columns if c not in ("shard", *more)]
+    # repeated rows that exceed the limit together fill numbered shards in turn
+    classes = classes.select(F.col("hash").alias(names["hash"]), F.col("th").alias(names["th"]), F.struct("n", "per").alias(names["of"]))
+    own = [names["hash"], names["th"]]
+    crowd = _numbered(keyed.select(*(F.col(c) for c in kept), size, key, th).join(classes.select(*own), own, "left_semi"), own, names["place"]).join(classes, own)
+    number, per = F.col(names["of"])["n"], F.col(names["of"])["per"]
+    turn = F.floor(place / per)
+    prefix = F.lpad(F.conv(key.cast("string"), 10, 2), BITS, "0")
+    rows = F.least(per, number - turn * per)
+    columns = {"depth": F.lit(BITS), "n_bytes": size, "shard_bytes": (rows * size).cast("long"), "fits": rows * size <= limit, "shard": F.concat_ws(".", prefix, F.hex(th), turn.cast("string"))}
+    crowded = crowd.select(*kept, *(columns[c].alias(c) for c in (*more, "shard")))
+    slim = shards.select(F.col("hash").alias(names["hash"]), F.struct("depth", "shard", "shard_bytes").alias(names["of"]))
+    at = F.col(names["of"])
+    columns = {"depth": at["depth"], "n_bytes": size, "shard_bytes": at["shard_bytes"], "fits": F.lit(True), "shard": at["shard"]}
+    plain = keyed.select(*(F.col(c) for c in kept), size, key).join(slim, names["hash"]).select(*kept, *(columns[c].alias(c) for c in (*more, "shard")))
+    return plain.unionByName(crowded)
+
+
+def assign_shards(documents: DataFrame, limit: int = LIMIT) -> DataFrame:
+    """Per row: doc_id, n_bytes, depth, shard (the prefix as a bit string), shard_bytes and fits.
+
+    A document's size is its UTF-8 bytes (null: 0), its hash 60 bits of md5 over
+    doc_id and text (null as empty), so that rows of a common or null id part
+    too. Only repeated rows have one hash: where they exceed the limit together,
+    they fill shards of their own (the hash, the text's hash and a number, joined by
+    dots). fits is false only for a document that exceeds the limit alone. An
+    empty table has no shards. Other columns are ignored.
+    """
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return sharded_documents(docs, limit, details=True).select("doc_id", "n_bytes", "depth", "shard", "shard_bytes", "fits")
 
 
 def write_shards(documents: DataFrame, path: str, limit: int = LIMIT) -> None:
