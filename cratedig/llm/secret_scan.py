@@ -19,8 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 KINDS = ("assign", "access", "hex", "novel")
-#: Marginal compressed bytes of a candidate by its characters, at least.
-NOVELTY = 0.7
+#: Marginal compressed bytes of a candidate by its characters, at least. Measured in tests/llm/test_secret_recall.py:
+#: at 0.85 nearly all keys of seven shapes pass and few paths and names do; lower adds names, higher loses short keys.
+NOVELTY = 0.85
 #: Characters of surroundings on each side, and before a candidate in which a sensitive word must stand.
 AROUND = 256
 CONTEXT = 48
@@ -29,7 +30,7 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 _LONG_HEX = re.compile(r"[0-9a-f]{24}")
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
 SENSITIVE = re.compile(r"key|secret|token|passw|credential|auth|bearer|private|signature", re.IGNORECASE | re.ASCII)
 _HINTS = ("key", "secret", "token", "passw", "credential", "auth", "bearer", "private", "signature")
 
@@ -60,7 +61,8 @@ class Novelty:
 
     def __call__(self, before: str, candidate: str, after: str) -> float:
         """Compressed bytes that the candidate adds to its surroundings, by its characters."""
-        around = (after + "\n" + before).encode()
+        # its own copies nearby don't make it known
+        around = (after + "\n" + before).replace(candidate, "").encode()
         added = len(self.press.compress(around + candidate.encode())) - len(self.press.compress(around))
         return added / len(candidate)
 
