@@ -1,8 +1,9 @@
 import random
 
 import numpy as np
+import pytest
 
-from cratedig.llm.toxicity import INSULTS, label_model, linear_classifier, train_and_score
+from cratedig.llm.toxicity import INSULTS, calibrated, label_model, linear_classifier, train_and_score
 
 DOCS, LABELS = "doc_id long, text string, toxic int", "doc_id long, toxic int, text string"
 
@@ -46,16 +47,50 @@ def test_no_labels_and_no_rows(spark):
     assert train_and_score(docs.limit(0), labels).count() == 0
 
 
-def test_label_model_weighs_copies_of_a_voter_once():
+def distinct(votes):
+    rows, inverse, n = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
+    return rows, inverse.ravel(), n.astype(float)
+
+
+def test_label_model_beats_the_majority_where_a_voter_is_copied():
     rng = np.random.default_rng(3)
-    truth = rng.random(4000) < 0.3
-    vote = lambda right: np.where(rng.random(4000) < right, np.where(truth, 1, -1), np.where(truth, -1, 1))
-    poor, good = vote(0.65), [vote(0.85) for _ in range(3)]
-    votes = np.stack([poor] * 5 + good, axis=1).astype(np.int8)
-    gold = np.where(np.arange(4000) < 1000, truth, -1)
-    post = label_model(votes, gold)
-    right = ((post > 0.5) == truth)[1000:].mean()
-    assert right > 0.9
+    truth = rng.random(20_000) < 0.3
+    vote = lambda right: np.where(rng.random(20_000) < right, np.where(truth, 1, -1), np.where(truth, -1, 1))
+    poor, good = vote(0.65), [vote(0.85) for _ in range(4)]
+    noisy = [np.where(rng.random(20_000) < 0.1, 0, poor) for _ in range(4)]
+    votes = np.stack([poor, *noisy, *good], axis=1).astype(np.int8)
+    rows, inverse, n = distinct(votes)
+    model = label_model(rows, n)
+    right = ((model.posterior(rows)[inverse] > 0.5) == truth).mean()
+    majority = ((votes.sum(axis=1) > 0) == truth).mean()
+    assert right > 0.93 > majority + 0.1
+    # what it says of the voters is what they were made to be
+    assert model.toxic == pytest.approx(0.3, abs=0.05)
+    assert model.accuracy[5:, 1, 2] == pytest.approx(0.85, abs=0.05)
+    assert model.accuracy[0, 1, 2] == pytest.approx(0.65, abs=0.08)
+    # the copies hang on each other, the good voters on nothing
+    assert (model.parent[:5] >= 0).sum() == 4
+    assert not any(model.parent[5:] >= 0)
+
+
+def test_joint_is_the_plain_product():
+    rng = np.random.default_rng(8)
+    votes = rng.integers(-1, 2, (40, 3)).astype(np.int8)
+    rows, _, n = distinct(votes)
+    m = label_model(rows, n, rounds=5, least=0.0)
+    for v, got in zip(rows, m.posterior(rows), strict=True):
+        p = [1 - m.toxic, m.toxic]
+        for y in (0, 1):
+            for j in range(3):
+                p[y] *= m.accuracy[j, y, v[j] + 1] if m.parent[j] < 0 else m.given[j, y, v[m.parent[j]] + 1, v[j] + 1]
+        assert got == pytest.approx(p[1] / sum(p))
+
+
+def test_calibration_meets_the_labels():
+    post = np.array([0.01, 0.2, 0.9, 0.999])
+    out = calibrated(post, np.array([1.0, 5, 60, 90]), np.array([99.0, 95, 40, 10]))
+    assert (np.diff(out) > 0).all()
+    assert out @ np.array([100, 100, 100, 100]) == pytest.approx(156, abs=5)
 
 
 def test_linear_classifier():
