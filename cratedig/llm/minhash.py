@@ -32,6 +32,7 @@ SIMILARITY = 0.8
 WORDS = 2
 GROUPS = 12
 _TUPLE = 3
+_SALTS = 64
 _CHUNK = 1 << 20
 _rng = np.random.default_rng(7)
 _ODD = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
@@ -198,7 +199,10 @@ def _classes(buckets: DataFrame, nodes: DataFrame, verify: _Verifier) -> DataFra
     live = groups.join(comps, "node", "left").select("lead", "node", F.coalesce("comp", "node").alias("comp"))
     sizes = live.groupBy("lead", "comp").agg(F.count("*").alias("c"))
     mixed = sizes.groupBy("lead").agg(F.max(F.struct("c", "comp"))["comp"].alias("top"), F.count("*").alias("k")).where("k > 1").select("lead", "top")
-    live = save(live.join(mixed, "lead").join(nodes.select("node", "n_shingles"), "node"), "live")
+    # a lead of very many nodes is dealt to several tasks
+    salted = mixed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    live = live.withColumn("salt", F.pmod(F.hash("node"), F.lit(_SALTS))).join(salted, ["lead", "salt"]).drop("salt")
+    live = save(live.join(nodes.select("node", "n_shingles"), "node"), "live")
     links = verify.blocks(live)
     # classes are nodes of their own graph now
     of = lambda s: comps.select(F.col("node").alias(s), F.col("comp").alias(f"c{s}"))

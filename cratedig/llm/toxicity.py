@@ -205,7 +205,7 @@ def label_model(votes: np.ndarray, weight: np.ndarray, rounds: int = 200, least:
             for p in (1 - post, post):
                 tables.append(((flat * (weight * p)[:, None]).T @ flat).reshape(voters, 3, voters, 3).transpose(0, 2, 1, 3))
             pairs = np.stack(tables)  # class, voter, voter, vote, vote
-            if k in (1, 3, 6, 10, 20):
+            if k in (1, 3, 6, 10, 20, 40, 60, 80, 100):
                 parent = _forest(pairs, least)
             own = pairs[:, np.arange(voters), np.arange(voters)].diagonal(axis1=2, axis2=3).transpose(1, 0, 2) + 0.5
             given = np.full((voters, 2, 3, 3), 1 / 3)
@@ -219,7 +219,7 @@ def label_model(votes: np.ndarray, weight: np.ndarray, rounds: int = 200, least:
             joint = model.joint(votes)
             post = 1 / (1 + np.exp(np.clip(joint[:, 0] - joint[:, 1], -50, 50)))
             now = float(share @ np.logaddexp(joint[:, 0], joint[:, 1]))
-            if k > 25 and abs(now - before) < 1e-9:
+            if k > 100 and abs(now - before) < 1e-9:
                 break
             before = now
         rate = lambda p: (share * p) @ votes.sum(axis=1) / max(1e-9, share @ p)
