@@ -16,9 +16,17 @@ class RepeatedKey(ValueError):
 
 
 def array_first_wins(items: Column, key: Callable[[Column], Column]) -> Column:
-    """The items whose key no item before them has; no shuffle."""
-    keys = F.transform(items, lambda x: key(x))
-    return F.filter(items, lambda x, i: F.array_position(keys, key(x)) == i + 1)
+    """The items whose key no item before them has; no shuffle.
+
+    Keys are computed once, sorted with their places, and the first of each put
+    back in order. Each step is bound to a lambda's argument, as what a lambda
+    takes from outside is evaluated anew for every element.
+    """
+    bound = lambda x, f: F.get(F.transform(F.array(x), f), F.lit(0))
+    keyed = F.sort_array(F.transform(items, lambda x, i: F.struct(key(x).alias("key"), i.alias("at"), x.alias("item"))))
+    firsts = bound(keyed, lambda s: F.filter(s, lambda x, j: (j == 0) | ~x["key"].eqNullSafe(F.get(s, j - 1)["key"])))
+    placed = F.sort_array(F.transform(firsts, lambda x: F.struct(x["at"].alias("at"), x["item"].alias("item"))))
+    return F.transform(placed, lambda x: x["item"])
 
 
 def first_wins(rows: DataFrame, key: Sequence[str], order: Sequence[str | Column] = ORDER) -> DataFrame:

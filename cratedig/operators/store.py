@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -22,9 +23,12 @@ class MissingTable(LookupError):
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a local one only where the cluster names none (tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    return named or _own.setdefault("dir", tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+    """The folder of ``spark.checkpoint.dir``; a folder of its own only in local mode (tests), where none is named."""
+    if named := spark.conf.get("spark.checkpoint.dir", None):
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
+    return _own.setdefault("dir", tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
 
 
 def _fs(spark: SparkSession, path: str):
@@ -33,11 +37,37 @@ def _fs(spark: SparkSession, path: str):
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at, jvm.org.apache.hadoop.fs.Path
 
 
+def rename(fs, source, target) -> bool:
+    return fs.rename(source, target)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, at, _ = _fs(spark, path)
+    fs.delete(at, True)
+
+
+def fingerprint(spark: SparkSession, path: str) -> str:
+    """Of the files under ``path``: names, sizes and times of change."""
+    fs, at, _ = _fs(spark, path)
+    files, seen = fs.listFiles(at, True), []
+    while files.hasNext():
+        x = files.next()
+        seen.append(f"{x.getPath()} {x.getLen()} {x.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(seen)).encode()).hexdigest()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, at, _ = _fs(spark, path)
     return fs.exists(at)
 
 
+def save(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @dataclass(frozen=True)
 class Catalog:
     """Tables as Parquet under one folder."""
@@ -73,17 +103,31 @@ def catalog_check(catalog: Catalog, needed: tuple[str, ...] = NEEDED) -> Catalog
 
 
 def publish(spark: SparkSession, path: str, write: Callable[[str], None]) -> Catalog:
-    """Runs ``write`` on a staging folder and renames it to ``path``; what stood there goes last, and only on success."""
-    staging = f"{path}.staging-{uuid.uuid4().hex}"
+    """Runs ``write`` on a staging folder and renames it to ``path``.
+
+    What stood there is renamed aside first and deleted last. If anything fails
+    it stands there again, and the staging folder is gone.
+    """
+    turn = uuid.uuid4().hex
     fs, target, hadoop_path = _fs(spark, path)
+    staging, aside = hadoop_path(f"{path}.staging-{turn}"), hadoop_path(f"{path}.old-{turn}")
     try:
-        write(staging)
-        fs.delete(target, True)
+        write(f"{path}.staging-{turn}")
         fs.mkdirs(target.getParent())
-        if not fs.rename(hadoop_path(staging), target):
-            raise OSError(f"can't rename {staging} to {path}")
+        replaces = fs.exists(target)
+        if replaces and not rename(fs, target, aside):
+            raise OSError(f"can't rename {path} aside")
+        try:
+            if not rename(fs, staging, target):
+                raise OSError(f"can't rename {staging} to {path}")
+        except Exception:
+            if replaces and not fs.exists(target):
+                rename(fs, aside, target)
+            raise
+        if replaces:
+            fs.delete(aside, True)
     finally:
-        fs.delete(hadoop_path(staging), True)
+        fs.delete(staging, True)
     return Catalog(spark, path)
 
 

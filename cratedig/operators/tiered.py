@@ -97,8 +97,9 @@ def search_tracks(t: Mapping[str, DataFrame], query: str, limit: int = LIMIT, es
     like = lambda c: like_tier(F.col(c), query, escape)
     releases = t["releases"].select(F.col("mbid").alias("release_mbid"), F.col("title").alias("release_title"), F.col("date").alias("release_date"))
     artist = child_tier(t["release_artists"], "release_mbid", like("artist_name"), "_artist")
-    rows = t["tracks"].join(releases, "release_mbid").join(artist, "release_mbid", "left")
-    rows = tiered(rows, [equal_tier(F.col("mbid"), query), like("title"), F.col("_artist")], [])
+    # tracks that match by themselves or by their release's artists, and only then the releases of these
+    hits = tiered(t["tracks"].join(artist, "release_mbid", "left"), [equal_tier(F.col("mbid"), query), like("title"), F.col("_artist")], [])
+    rows = hits.join(releases, "release_mbid")
     order = [F.desc_nulls_last("release_date"), "title", "mbid"]
     top = _credited(tiered_topn(rows, order, limit), t["release_artists"], "release_mbid", "release_mbid")
     return top.orderBy("tier", *order).select("tier", "mbid", "title", "number", _empty("release_title"), "artists")

@@ -13,17 +13,17 @@ from cratedig.functions.text import like_ascii_ci, null_if_empty, query_tokens,
 from cratedig.operators import fulltext, search_docs, tiered
 from cratedig.operators.decode import clean_lines, decode, parse
 from cratedig.operators.flatten import FLATTEN, embedded_recordings, recordings
-from cratedig.operators.merge import array_first_wins, first_wins, key_violations
+from cratedig.operators.merge import RepeatedKey, array_first_wins, first_wins, key_violations, strict_key
 from cratedig.operators.meta import MEMBERS, merged, meta_rows, parse_timestamp, pivot_members
-from cratedig.operators.store import NEEDED, shared_dir, write_catalog
+from cratedig.operators.store import NEEDED, Catalog, fingerprint, publish, resolve, shared_dir, write_catalog
 from cratedig.plans import binding, build
 from cratedig.plans import catalog_sql as sql
 from cratedig.schemas import ENTITIES, TABLES
-from cratedig.sources.dump import select_entities
+from cratedig.sources.dump import entity_lines, latest_dump, read_dump, select_entities, write_archive
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
-_staged: dict[tuple[str, str, str], str] = {}
+_staged: dict[tuple[str, ...], str] = {}
 
 #: What the searches look for.
 FTS_QUERY = "Widget ord"
@@ -43,8 +43,8 @@ def query(oracle: str, name: str | None = None):
 
 
 def _once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], object]) -> str:
-    """The path under which ``write`` has put ``name``, once a session."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    """The path under which ``write`` has put ``name``, once a session as long as the files of ``sf_dir`` stay as they are."""
+    key = (spark.sparkContext.applicationId, sf_dir, name, fingerprint(spark, sf_dir))
     if key not in _staged:
         path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         write(path)
@@ -83,9 +83,8 @@ class Tables:
 
     def __getitem__(self, name: str) -> DataFrame:
         t = TABLES[name]
-        # the flat tables' keys make these ids unique; build_catalog checks strict tables
         rows = self.rows(name)
-        return (rows if t.strict else first_wins(rows, t.key)).select(*t.names)
+        return (strict_key(rows, t.key) if t.strict else first_wins(rows, t.key)).select(*t.names)
 
 
 class Stored(Tables):
@@ -140,27 +139,33 @@ def line_clean(spark, sf_dir):
     return clean_lines(lines)
 
 
-@query("SELECT c_custkey, c_name AS name FROM customer", name="unicode_trim")
+#: What SQL puts around a name and trims again: blanks of every kind.
+_BLANK = "[\\s\\p{Z}\\x0B\\x{85}]+"
+_DIRTY = "chr(12288) || chr(9) || ' ' || CASE WHEN c_custkey % 5 = 0 THEN chr(9) || ' ' || c_name || chr(160) || ' ' ELSE c_name END || chr(133) || ' '"
+
+
+@query(f"SELECT c_custkey, regexp_replace({_DIRTY}, '^{_BLANK}|{_BLANK}$', '', 'g') AS name FROM customer", name="unicode_trim")
 def unicode_trim_names(spark, sf_dir):
     key = F.col("c_custkey")
     dirty = F.concat(F.lit("　\t "), binding.padded(F.col("c_name"), key), F.lit("\u0085 "))
     return binding.table(spark, sf_dir, "customer").select(key, unicode_trim(dirty).alias("name"))
 
 
-@query("SELECT p_partkey, CASE WHEN p_partkey % 7 <> 0 THEN p_name END AS name FROM part", name="null_if_empty")
+@query("SELECT p_partkey, nullif(trim(CASE WHEN p_partkey % 7 = 0 THEN '  ' ELSE p_name END), '') AS name FROM part", name="null_if_empty")
 def null_if_empty_names(spark, sf_dir):
     blank = F.when(F.col("p_partkey") % 7 == 0, "  ").otherwise(F.col("p_name"))
     return binding.table(spark, sf_dir, "part").select("p_partkey", null_if_empty(unicode_trim(blank)).alias("name"))
 
 
 @query(f"""
-SELECT doc_id, coalesce({sql.tier("substr(text, 1, 60)", "the _n")}, 0)::INT AS tier, translate(substr(text, 1, 60), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') LIKE '%é%u%' AS accent
-FROM documents WHERE text IS NOT NULL
+SELECT doc_id, coalesce({sql.tier("text", "the _n")}, 0)::INT AS tier, coalesce(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') LIKE '%é%u%', FALSE) AS accent
+FROM documents
 """, name="like_ascii_ci")
-def like_ascii_ci_heads(spark, sf_dir):
-    head = F.substring("text", 1, 60)
-    docs = binding.table(spark, sf_dir, "documents").where("text is not null")
-    return docs.select("doc_id", F.coalesce(tiered.like_tier(head, "The _n"), F.lit(0)).alias("tier"), like_ascii_ci(head, "%é%U%").alias("accent"))
+def like_ascii_ci_texts(spark, sf_dir):
+    """Of whole texts; a null text is like nothing."""
+    text = F.col("text")
+    accent = F.coalesce(like_ascii_ci(text, "%é%U%"), F.lit(False))
+    return binding.table(spark, sf_dir, "documents").select("doc_id", F.coalesce(tiered.like_tier(text, "The _n"), F.lit(0)).alias("tier"), accent.alias("accent"))
 
 
 @query("SELECT 'release' AS entity, count(*) AS n_lines FROM orders UNION ALL SELECT 'artist', count(*) FROM customer")
@@ -272,6 +277,101 @@ def catalog_info(spark, sf_dir):
     return build.catalog_info(stored)
 
 
+# -- dumps and published catalogues ---------------------------------------------------------------------------------
+
+
+def _landed(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of dumps: an older one, of artists alone, and the one that LATEST names, of all entities."""
+
+    def write(root: str) -> None:
+        events = binding.table(spark, sf_dir, "events").count()
+        for name, entities in (("20240101-000000", ENTITIES[:1]), ("20240201-000000", ENTITIES)):
+            members = {"REPLICATION_SEQUENCE": f"{events}\n", "JSON_DUMPS_SCHEMA_NUMBER": "1\n", "TIMESTAMP": f"2024-0{2 if name > '20240110' else 1}-01 00:00:00+00\n"}
+            for entity in entities:
+                write_archive(binding.LINES[entity](spark, sf_dir), f"{root}/{name}/{entity}.tar.xz", members)
+        spark.range(1).select(F.lit("20240201-000000")).coalesce(1).write.text(f"{root}/LATEST")
+
+    return _once(spark, sf_dir, "dumps", write)
+
+
+def _from_dump(spark: SparkSession, sf_dir: str) -> Catalog:
+    """The catalogue that a build makes of the newest dump."""
+    path = _once(spark, sf_dir, "built", lambda path: build.build_from_dump(spark, _landed(spark, sf_dir), path))
+    return Catalog(spark, path)
+
+
+@query("SELECT 'rec-' || p_partkey AS mbid, p_name AS title, p_size::BIGINT * 1000 AS length FROM part")
+def archive_lines(spark, sf_dir):
+    """Documents read from a packed archive."""
+    dump = read_dump(spark, [f"{_landed(spark, sf_dir)}/20240201-000000/recording.tar.xz"])
+    docs, _ = decode(entity_lines(dump, "recording", 3), "recording")
+    return recordings(docs).select("mbid", "title", "length")
+
+
+@query("SELECT '20240201-000000' AS dump, 'artist' AS entity, count(*) AS n_lines FROM customer UNION ALL SELECT '20240201-000000', 'recording', count(*) FROM part")
+def dump_choice(spark, sf_dir):
+    """The archives of the dump that LATEST names, of the entities asked for."""
+    paths = latest_dump(spark, _landed(spark, sf_dir), select_entities("recording,artist"))
+    rows = read_dump(spark, paths).where(F.col("member").startswith("mbdump/"))
+    return rows.groupBy(F.lit(paths[0].rsplit("/", 2)[-2]).alias("dump"), "entity").agg(F.count("*").alias("n_lines"))
+
+
+@query(sql.TABLES + " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n FROM {t}" for t in TABLES))
+def dump_to_catalog(spark, sf_dir):
+    """From archives to the published tables, all of them counted."""
+    catalog, out = _from_dump(spark, sf_dir), None
+    for name in TABLES:
+        row = catalog[name].agg(F.lit(name).alias("table_name"), F.count("*").alias("n"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query(sql.TABLES + "SELECT * FROM artists")
+def publish_all_or_nothing(spark, sf_dir):
+    """A build that fails half-way, on a repeated key, leaves the catalogue that stood there."""
+    rows = Tables(spark, sf_dir).rows("artists")
+    path = f"{shared_dir(spark)}/catalog-{uuid.uuid4().hex}"
+    stored = write_catalog(resolve({"artists": rows}), path)
+
+    def write(staging: str) -> None:
+        rows.where("ended").select(*TABLES["artists"].names).write.parquet(f"{staging}/artists")
+        resolve({"artists": rows.unionByName(rows)})
+
+    try:
+        publish(spark, path, write)
+    except RepeatedKey:
+        return stored["artists"]
+    raise AssertionError("a repeated key was published")
+
+
+@query(sql.TABLES + "SELECT 'artists' AS table_name, count(*) AS n FROM artists UNION ALL SELECT 'release_groups', 0")
+def catalog_rebuild(spark, sf_dir):
+    """A rebuild replaces all that stood there: what the new catalogue lacks is gone."""
+    t, path = Tables(spark, sf_dir), f"{shared_dir(spark)}/catalog-{uuid.uuid4().hex}"
+    write_catalog({name: t[name] for name in ("artists", "release_groups")}, path)
+    stored = write_catalog({"artists": t["artists"]}, path)
+    gone = spark.range(1).select(F.lit("release_groups").alias("table_name"), F.lit(int(stored.has("release_groups"))).cast("long").alias("n"))
+    return stored["artists"].agg(F.lit("artists").alias("table_name"), F.count("*").alias("n")).unionByName(gone)
+
+
+@query(sql.TABLES + sql.index("docs_artists") + " SELECT count(*) AS n_docs, sum(len)::BIGINT AS n_tokens, (SELECT count(*) FROM postings) AS n_postings, (SELECT count(DISTINCT term) FROM postings) AS n_terms FROM doc_len")
+def index_rebuild(spark, sf_dir):
+    """An index written over another: nothing of the first is left."""
+    docs, path = search_docs.artist_docs(Stored(spark, sf_dir)), f"{shared_dir(spark)}/index-{uuid.uuid4().hex}"
+    fulltext.write_index(docs.withColumn("aux", F.lit("of the first index")), path)
+    fulltext.write_index(docs, path)
+    index, _ = fulltext.read_index(spark, path)
+    counts = index.postings.agg(F.count("*").alias("n_postings"), F.count_distinct("term").alias("n_terms"))
+    return index.stats.join(F.broadcast(counts))
+
+
+@query(sql.federated(ARTIST_QUERY, 10))
+def search_fallback(spark, sf_dir):
+    """A search of a catalogue without an index goes by tiers."""
+    t, path = Stored(spark, sf_dir), f"{shared_dir(spark)}/catalog-{uuid.uuid4().hex}"
+    return build.search(write_catalog({name: t[name] for name in TABLES}, path), ARTIST_QUERY)
+
+
 # -- metadata -------------------------------------------------------------------------------------------------------
 
 _STAMP = "strftime(ts, '%Y-%m-%d %H:%M:%S.') || lpad((date_part('microseconds', ts)::BIGINT % 1000000)::VARCHAR, 6, '0') || '+00'"
@@ -379,10 +479,10 @@ def fts_tokens(spark, sf_dir):
     return rows.groupBy("doc_id", "term").agg(F.count("*").alias("tf"))
 
 
-@query(f"SELECT doc_id, idx::INT AS idx, prefix FROM (SELECT doc_id, unnest(range(0, len({sql.tokens('h')}))) AS idx, unnest({sql.tokens('h')}) AS prefix FROM (SELECT doc_id, substr(text, 1, 60) AS h FROM documents))")
+@query(f"SELECT doc_id, idx::INT AS idx, prefix FROM (SELECT doc_id, unnest(range(0, len({sql.tokens('h')}))) AS idx, unnest({sql.tokens('h')}) AS prefix FROM (SELECT doc_id, text AS h FROM documents))")
 def fts_query_tokens(spark, sf_dir):
     rows = binding.table(spark, sf_dir, "documents")
-    return rows.select("doc_id", F.posexplode(query_tokens(F.substring("text", 1, 60))).alias("idx", "prefix"))
+    return rows.select("doc_id", F.posexplode(query_tokens(F.col("text"))).alias("idx", "prefix"))
 
 
 _TEXT = sql.TABLES + sql.index("docs_text")
@@ -395,7 +495,7 @@ def _text_index(spark: SparkSession, sf_dir: str) -> fulltext.Index:
 
 @query(_TEXT + " SELECT * FROM postings")
 def fts_postings(spark, sf_dir):
-    return _text_index(spark, sf_dir).postings
+    return _text_index(spark, sf_dir).postings.drop("len")
 
 
 @query(_TEXT + " SELECT entity_mbid, len, n_docs, n_tokens FROM doc_len, stats")
@@ -429,7 +529,7 @@ def fts_bm25(spark, sf_dir):
 def fts_topk(spark, sf_dir):
     index, docs = stored_index(spark, sf_dir, "text")
     scored = fulltext.bm25(index, _prefixes(spark))
-    hits = fulltext.top_hits(docs.join(scored, list(fulltext.DOC)), 10)
+    hits = fulltext.top_hits(fulltext.with_documents(scored, docs, fulltext.fetched(10)), 10)
     return hits.select("entity_mbid", "heading", "rank", F.round("score", 6).alias("score"))
 
 

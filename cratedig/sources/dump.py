@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import io
+import lzma
 import tarfile
 from collections.abc import Iterator
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -43,6 +47,54 @@ def latest_dump(spark: SparkSession, root: str, entities: list[str]) -> list[str
     return [f"{root}/{row['name']}/{e}{SUFFIX}" for e in entities]
 
 
+def file_system(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path or URI (local, hdfs, s3, gs, abfs) and the path in it."""
+    if path.startswith("file:"):
+        path = "/" + path.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(path)
+
+
+def write_archive(lines: DataFrame, path: str, members: dict[str, str]) -> None:
+    """An archive of the lines (line, line_no) of the entity that ``path`` is named after, and metadata members.
+
+    An archive is one stream, so one task writes it; it holds a line at a time.
+    """
+    entity = _entity(path)
+    total = lines.agg(F.coalesce(F.sum(F.octet_length("line") + 1), F.lit(0))).first()[0]
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        where, at = file_system(path)
+        with where.open_output_stream(at, compression=None) as out, lzma.LZMAFile(out, "w", preset=0) as packed, tarfile.open(fileobj=packed, mode="w|") as tar:
+            for name, text in members.items():
+                info = tarfile.TarInfo(name)
+                info.size = len(text.encode())
+                tar.addfile(info, io.BytesIO(text.encode()))
+            info = tarfile.TarInfo(f"mbdump/{entity}")
+            info.size = total
+            tar.addfile(info, _Lines(x.as_py() for batch in batches for x in batch.column("line")))
+        yield pa.RecordBatch.from_pydict({"path": [path]})
+
+    where, at = file_system(path)
+    where.create_dir(at.rsplit("/", 1)[0])
+    lines.select("line", "line_no").repartition(1).sortWithinPartitions("line_no").mapInArrow(write, "path string").collect()
+
+
+class _Lines:
+    """Lines as a file to read bytes from."""
+
+    def __init__(self, lines: Iterator[str]):
+        self.lines, self.rest = lines, b""
+
+    def read(self, size: int) -> bytes:
+        parts, have = [self.rest], len(self.rest)
+        while have < size and (line := next(self.lines, None)) is not None:
+            parts.append(line.encode() + b"\n")
+            have += len(parts[-1])
+        data = b"".join(parts)
+        self.rest = data[size:]
+        return data[:size]
+
+
 class _Archive(InputPartition):
     def __init__(self, path: str):
         self.path = path
@@ -61,15 +113,16 @@ class _Reader(DataSourceReader):
 
     def read(self, partition: _Archive) -> Iterator[tuple]:
         entity, found = _entity(partition.path), False
-        with tarfile.open(partition.path.removeprefix("file:"), "r|xz") as tar:
+        where, path = file_system(partition.path)
+        with where.open_input_stream(path, compression=None) as stream, tarfile.open(fileobj=stream, mode="r|xz") as tar:
             for info in tar:
                 name = "/".join(x for x in info.name.split("/") if x not in ("", "."))
                 if name == f"mbdump/{entity}":
                     found = True
                     for n, line in enumerate(tar.extractfile(info)):
-                        yield entity, name, n, line.decode().removesuffix("\n")
+                        yield entity, name, n, line.decode(errors="replace").removesuffix("\n")
                 elif name in MEMBERS:
-                    yield entity, name, 0, tar.extractfile(info).read(META_BYTES).decode()
+                    yield entity, name, 0, tar.extractfile(info).read(META_BYTES).decode(errors="replace")
         if not found:
             raise ValueError(f"{partition.path} has no member mbdump/{entity}")
 
@@ -91,7 +144,8 @@ class DumpSource(DataSource):
 def read_dump(spark: SparkSession, paths: list[str], partitions: int | None = None) -> DataFrame:
     """Rows (entity, member, line_no, line) of archives, dealt out anew as an archive can't be split.
 
-    One task streams each archive, so the folder must be one that executors see.
+    One task streams each archive, from any file system that pyarrow opens by
+    its URI. Bytes that are no UTF-8 become replacement characters.
     """
     spark.dataSource.register(DumpSource)
     rows = spark.read.format("dumparchive").option("paths", "\n".join(paths)).load()

@@ -1,10 +1,13 @@
 import json
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from cratedig.operators.decode import MalformedDocuments, decode
 from cratedig.operators.flatten import FLATTEN, flatten_all
-from cratedig.operators.merge import RepeatedKey, first_wins, strict_key
+from cratedig.operators import store
+from cratedig.operators.merge import RepeatedKey, array_first_wins, first_wins, strict_key
 from cratedig.operators.store import Catalog, MissingTable, catalog_check, resolve, write_catalog
 from cratedig.schemas import TABLES
 
@@ -111,3 +114,33 @@ def test_all_tables_or_none(spark, tmp_path):
     for f in TABLES["artists"].names[3:]:
         many = many.selectExpr("*", f"CAST(NULL AS {'boolean' if f == 'ended' else 'string'}) AS {f}")
     assert write_catalog({"artists": many}, str(tmp_path / "many"))["artists"].count() == 3000
+
+
+def test_first_of_an_array_wins_in_linear_time(spark):
+    rows = [(["b", "a ", "b", None, "a", "c", None],), ([],), (None,)]
+    df = spark.createDataFrame(rows, "x array<string>").select(array_first_wins(F.col("x"), lambda v: F.trim(v)).alias("x"))
+    assert [r.x for r in df.collect()] == [["b", "a ", None, "c"], [], None]
+    many = spark.range(20, numPartitions=1).select(F.transform(F.sequence(F.lit(1), F.lit(5000)), lambda i: F.struct((i % 2500).alias("k"), i.alias("v"))).alias("x"))
+    out = many.select(F.size(array_first_wins(F.col("x"), lambda v: F.struct(F.trim(v["k"].cast("string"))))).alias("n"))
+    out.collect()
+    began = time.perf_counter()
+    assert {r.n for r in out.collect()} == {2500}
+    assert time.perf_counter() - began < 5
+
+
+def test_a_failed_rename_leaves_the_old_catalogue(spark, tmp_path, monkeypatch):
+    path, t = str(tmp_path / "catalog"), resolve(flatten_all(docs(spark)))
+    write_catalog(t, path)
+    plain = store.rename
+    for failing in (1, 2):  # the old one's rename, then the new one's
+        calls = []
+
+        def rename(fs, source, target, n=failing, calls=calls):
+            calls.append(1)
+            return len(calls) != n and plain(fs, source, target)
+
+        monkeypatch.setattr(store, "rename", rename)
+        with pytest.raises(OSError, match="rename"):
+            write_catalog({"artists": t["artists"].limit(0)}, path)
+        assert Catalog(spark, path)["artists"].count() == 1
+        assert [x.name for x in tmp_path.iterdir()] == ["catalog"]

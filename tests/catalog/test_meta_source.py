@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cratedig.functions.text import fold, like_ascii_ci, tokens, unicode_trim
 from cratedig.operators.meta import MetadataMismatch, merge_meta, parse_timestamp, read_meta, write_meta
 from cratedig.plans.build import build_from_dump, catalog_info, search
-from cratedig.sources.dump import UnknownEntity, latest_dump, read_dump, select_entities
+from cratedig.sources.dump import UnknownEntity, latest_dump, read_dump, select_entities, write_archive
 from tests.catalog.test_decode_flatten import ARTIST, GROUP, RECORDING, RELEASE
 
 META = "place int, replication_sequence string, schema_sequence string, json_schema_number string, dump_timestamp string"
@@ -76,6 +76,24 @@ def test_archives_to_search(spark, tmp_path):
         latest_dump(spark, str(root), ["artist"])
 
 
+def test_written_archives_are_read_back(spark, tmp_path):
+    lines = ["{\"id\": 1}", "é", "", "x" * 100_000]
+    df = spark.createDataFrame(list(enumerate(lines)), "line_no long, line string")
+    path = f"file:{tmp_path}/sub/artist.tar.xz"
+    write_archive(df.repartition(3), path, {"TIMESTAMP": "2024-01-01 00:00:00+00\n"})
+    got = read_dump(spark, [path], 2).where("member like 'mbdump/%'").orderBy("line_no").collect()
+    assert [r.line for r in got] == lines
+
+
+def test_bytes_that_are_no_utf8(spark, tmp_path):
+    data = b'{"a": "\xff"}\n'
+    with tarfile.open(tmp_path / "artist.tar.xz", "w:xz") as tar:
+        info = tarfile.TarInfo("mbdump/artist")
+        info.size = len(data)
+        tar.addfile(info, io.BytesIO(data))
+    assert read_dump(spark, [f"{tmp_path}/artist.tar.xz"], 1).first().line == '{"a": "\ufffd"}'
+
+
 def test_text_functions(spark):
     one = lambda c: spark.range(1).select(c).first()[0]
     assert one(unicode_trim(F.lit("　  x y\u0085\t"))) == "x y"

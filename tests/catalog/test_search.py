@@ -3,9 +3,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from cratedig.operators import fulltext
 from cratedig.operators.fulltext import bm25, build_index, index_exists, prefix_hits, read_index, search_fast, sections, top_hits, write_index
 from cratedig.operators.search_docs import credit_strings
-from cratedig.operators.tiered import like_tier, search, search_artists, tiered_topn
+from cratedig.operators.tiered import like_tier, search, search_artists, search_tracks, tiered_topn
 from cratedig.schemas import SEARCH_DOCS, TABLES
 
 DOCS = [
@@ -127,3 +128,32 @@ def test_null_dates_come_last(spark):
     t = {name: spark.createDataFrame([], x.columns) for name, x in TABLES.items()}
     t["release_groups"] = spark.createDataFrame([("1", "x", None, "", None), ("2", "x", None, "", "1990"), ("3", "x", None, "", "1990-05")], TABLES["release_groups"].columns)
     assert [r.mbid for r in search_release_groups(t, "x").collect()] == ["3", "2", "1"]
+
+
+def test_search_reads_no_other_document_into_a_shuffle(spark, tmp_path):
+    path = str(tmp_path / "index")
+    write_index(docs(spark), path)
+    index, stored = read_index(spark, path)
+    plan = search_fast(index, stored, "nails")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    assert "SortMergeJoin" not in plan
+    # one exchange at most for the ranks of each type, besides the broadcast
+    assert plan.count("Exchange hashpartitioning(entity_type") <= 1
+    assert "Exchange hashpartitioning(entity_mbid" not in plan
+
+
+def test_very_many_ties_are_joined_by_a_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(fulltext, "BROADCAST_ROWS", 1)
+    assert {r.entity_mbid for r in search_fast(build_index(docs(spark)), docs(spark), "ni").collect()} == {"a1", "a2", "e1", "t1"}
+
+
+def test_track_search_joins_the_releases_of_hits_alone(spark):
+    empty = {k: spark.createDataFrame([], TABLES[k].columns) for k in ("releases", "release_artists", "tracks")}
+    # innermost the tracks meet their release's artists, then, filtered by tier, the releases, and last the credits
+    assert tiered_joins(search_tracks(empty, "x"))[:3] == ["LeftOuter", "Inner", "LeftOuter"]
+
+
+def tiered_joins(df):
+    """The kinds of joins on tracks, outermost first."""
+    lines = df._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    return [kind for line in lines for kind in ("LeftOuter", "Inner") if f"Join {kind}" in line and "release_mbid" in line and "artists" not in line]
