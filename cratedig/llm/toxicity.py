@@ -273,8 +273,8 @@ def _significant(docs: DataFrame, gold: DataFrame) -> DataFrame:
     ids = keyed.select("id", "th").join(gold, F.col("id") == F.col("_label")).groupBy("th", "id").agg(F.count("*").alias("rows"), F.max("toxic").alias("toxic"))
     once = save(ids.groupBy("th").agg(F.min(F.struct("id", "rows")).alias("one"), F.max("toxic").cast("double").alias("toxic")).select("th", "one.*", "toxic"), "labelled")
     toxic, known = once.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count("*")).first()
-    # rows that are repeated share the weight of one
-    texts = keyed.join(once, ["id", "th"]).select("text", "toxic", (1 / F.col("rows")).alias("weight"))
+    # labels grow with the documents, so they meet by a shuffle at every size; repeated rows share the weight of one
+    texts = keyed.join(once.hint("merge"), ["id", "th"]).select("text", "toxic", (1 / F.col("rows")).alias("weight"))
     sums = texts.mapInArrow(_count, "key long, bad double, n double").groupBy("key").agg(F.round(F.sum("bad")).alias("bad"), F.round(F.sum("n")).alias("n"))
     rate = (toxic + 0.5) / (known + 1)
     part = lambda seen, share: F.when(seen > 0, seen * F.log(seen / (F.col("n") * share))).otherwise(0.0)
