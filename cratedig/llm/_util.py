@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 #: Stands for a null doc_id in joins.
 NO_ID = -(2**63)
 _own_dir: dict[str, str] = {}
+_saved: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -30,9 +31,18 @@ def save(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _saved.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Deletes all that ``save`` has written in this process; results read from it must have been stored before."""
+    jvm = spark.sparkContext._jvm
+    while _saved:
+        path = jvm.org.apache.hadoop.fs.Path(_saved.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def unused(df: DataFrame, *names: str) -> list[str]:
     """The names, each lengthened until ``df`` has no column of it in any case."""
     have, out = {c.lower() for c in df.columns}, []

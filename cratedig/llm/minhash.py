@@ -32,7 +32,9 @@ SIMILARITY = 0.8
 WORDS = 2
 GROUPS = 12
 _TUPLE = 3
+#: Tasks that one lead's nodes are dealt to at most, and nodes whose keys one task makes.
 _SALTS = 64
+_NODES = 20_000
 _CHUNK = 1 << 20
 _rng = np.random.default_rng(7)
 _ODD = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
@@ -147,6 +149,10 @@ def _cross(words: int, percent: int):
     return run
 
 
+def _salted(leads: DataFrame) -> DataFrame:
+    return leads.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+
+
 class _Verifier:
     """Verifies pairs of nodes on the full shingle sets of their texts."""
 
@@ -168,7 +174,7 @@ class _Verifier:
         return save(full.select("a", "b", "text_a", "text_b").mapInArrow(_confirm(self.words, self.percent), "a long, b long"), "links")
 
     def blocks(self, live: DataFrame) -> DataFrame:
-        """The links between classes within each lead's group; ``live``: lead, node, comp, n_shingles, top.
+        """The links between classes within each lead's group; ``live``: lead, salt, node, comp, n_shingles, top.
 
         Nodes outside the largest class ``top`` are compared with all of other
         classes, blocks with blocks, so no pair is a row and no group is one task.
@@ -176,11 +182,12 @@ class _Verifier:
         count = lambda size, words: F.ceil(F.greatest(F.count("*") / size, F.sum("n_shingles") / words)).cast("int")
         outside = live.where("comp <> top")
         counts = live.groupBy("lead").agg(count(256, 1 << 16).alias("blocks")).join(outside.groupBy("lead").agg(count(64, 1 << 14).alias("parts")), "lead")
+        counts = _salted(counts)
         texts = self.texts(live.select("node"))
         item = F.collect_list(F.struct("node", "comp", "text"))
         deal = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
-        right = live.join(counts, "lead").join(texts, "node").groupBy("lead", deal("blocks").alias("block")).agg(item.alias("right"))
-        left = outside.join(counts, "lead").join(texts, "node").groupBy("lead", "blocks", deal("parts").alias("part")).agg(item.alias("left"))
+        right = live.join(counts, ["lead", "salt"]).join(texts, "node").groupBy("lead", deal("blocks").alias("block")).agg(item.alias("right"))
+        left = outside.join(counts, ["lead", "salt"]).join(texts, "node").groupBy("lead", "blocks", deal("parts").alias("part")).agg(item.alias("left"))
         left = left.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         pairs = left.join(right, ["lead", "block"]).select("left", "right")
         return save(pairs.mapInArrow(_cross(self.words, self.percent), "a long, b long"), "links")
@@ -200,8 +207,7 @@ def _classes(buckets: DataFrame, nodes: DataFrame, verify: _Verifier) -> DataFra
     sizes = live.groupBy("lead", "comp").agg(F.count("*").alias("c"))
     mixed = sizes.groupBy("lead").agg(F.max(F.struct("c", "comp"))["comp"].alias("top"), F.count("*").alias("k")).where("k > 1").select("lead", "top")
     # a lead of very many nodes is dealt to several tasks
-    salted = mixed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-    live = live.withColumn("salt", F.pmod(F.hash("node"), F.lit(_SALTS))).join(salted, ["lead", "salt"]).drop("salt")
+    live = live.withColumn("salt", F.pmod(F.hash("node"), F.lit(_SALTS))).join(_salted(mixed), ["lead", "salt"])
     live = save(live.join(nodes.select("node", "n_shingles"), "node"), "live")
     links = verify.blocks(live)
     # classes are nodes of their own graph now
@@ -222,7 +228,9 @@ def _classified(documents: DataFrame, similarity: float = SIMILARITY, words: int
     nodes = save(
         sets.where("n_shingles > 0").groupBy("set", "check").agg(F.min("doc_id").alias("least"), F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "_id", "th")).alias("one_doc"), F.first("n_shingles").alias("n_shingles"), F.first("one").alias("one"), F.first("two").alias("two")).withColumn("node", F.monotonically_increasing_id()), "nodes"
     )
-    keys = nodes.select("node", "two", F.posexplode("one").alias("i", "x")).select("node", "i", "x", F.posexplode("two").alias("j", "y")).select("node", F.xxhash64("i", "j", "x", "y").alias("key"))
+    # a node makes many keys, so tasks are measured by those
+    dealt = nodes.repartition(max(1, -(-nodes.count() // _NODES)), "node")
+    keys = dealt.select("node", "two", F.posexplode("one").alias("i", "x")).select("node", "i", "x", F.posexplode("two").alias("j", "y")).select("node", F.xxhash64("i", "j", "x", "y").alias("key"))
     full = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     buckets = save(keys.join(full, "key"), "buckets")
     classes = save(_classes(buckets, nodes, _Verifier(docs, nodes, words, similarity)), "classes")
