@@ -100,6 +100,14 @@ def stored_index(spark: SparkSession, sf_dir: str, corpus: str) -> tuple[fulltex
     return fulltext.read_index(spark, _once(spark, sf_dir, f"index-{corpus}", lambda path: fulltext.write_index(docs(), path)))
 
 
+def stage(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], object]]:
+    """By name, what stores decoded documents, tables and search indexes for the queries that read them."""
+    out: dict[str, Callable[[], object]] = {f"documents_{e}": lambda e=e: documents(spark, sf_dir, e) for e in ENTITIES}
+    out["tables"] = lambda: [Stored(spark, sf_dir)[t] for t in TABLES]
+    out |= {f"index_{c}": lambda c=c: stored_index(spark, sf_dir, c) for c in ("catalog", "text")}
+    return out
+
+
 def _table(name: str, of: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return Tables(spark, sf_dir)[of]
