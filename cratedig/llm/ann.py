@@ -235,6 +235,8 @@ def build_index(vectors: DataFrame, k: int = K, shard: int = SHARD, links: int =
     points = save(ranked.groupBy("h", "vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"), F.min("vec_id").alias("least")), "points").withColumn("dim", F.size("vector"))
     shards = points.groupBy("dim").agg(F.ceil(F.count("*") / F.lit(shard)).cast("int").alias("shards"))
     dealt = points.join(shards, "dim").select("dim", F.pmod(F.hash("h"), F.col("shards")).alias("shard"), "vector", "ids", "least")
+    # about one shard a task: small tables would be put together otherwise, but their graphs take long
+    dealt = dealt.repartition(int(shards.agg(F.sum("shards")).first()[0] or 1), "dim", "shard")
     return save(dealt.groupBy("dim", "shard").applyInPandas(_build(links, width), _GRAPHS), "graphs")
 
 
