@@ -37,10 +37,10 @@ from cratedig.llm._util import NO_ID, column_bytes, prefix_hash, ragged, row_chu
 LENGTH = 400
 GRAM = 100
 #: Distinct blocks per bucket; about 1 kB each in memory.
-BUCKET = 12_000
-_CHUNK = 1 << 20
+BUCKET = 6_000
+_CHUNK = 1 << 19
 #: Bits of a place within a chunk, which has at most 2 * _CHUNK bytes.
-_PLACE_BITS = 22
+_PLACE_BITS = 21
 
 
 def window_anchors(prefix: np.ndarray, offs: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
