@@ -6,7 +6,7 @@ import pytest
 
 import corpus_pipeline
 from tests.llm.test_decontaminate import brute as leaks
-from tests.llm.test_minhash import shingles
+from tests.llm.test_pipeline_near_duplicates import shingles
 
 SF = "/root/testdata/sf0.001"
 
