@@ -31,7 +31,7 @@ SWITCH = 8.0
 TEMPER = 0.3
 UNKNOWN = "und"
 #: Bytes of text and distinct words worked on at once; a longer text is worked on whole, at some 80 bytes of memory a character.
-_BYTES = 1 << 19
+_BYTES = 1 << 18
 _WORDS = 1 << 14
 #: Words of a row that are labelled one after another.
 _BLOCK = 256

@@ -35,7 +35,7 @@ _TUPLE = 3
 #: Tasks that one lead's nodes are dealt to at most, and nodes whose keys one task makes.
 _SALTS = 64
 _NODES = 20_000
-_CHUNK = 1 << 20
+_CHUNK = 1 << 19
 _rng = np.random.default_rng(7)
 _ODD = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _SALT = _rng.integers(1, 2**63, 256, dtype=np.uint64)
