@@ -37,7 +37,7 @@ from cratedig.llm._util import NO_ID, column_bytes, prefix_hash, ragged, row_chu
 LENGTH = 400
 GRAM = 100
 #: Distinct blocks per bucket; about 1 kB each in memory.
-BUCKET = 6_000
+BUCKET = 8_000
 _CHUNK = 1 << 19
 #: Bits of a place within a chunk, which has at most 2 * _CHUNK bytes.
 _PLACE_BITS = 21
@@ -268,7 +268,8 @@ def _repeats(docs: DataFrame, length: int, gram: int, bucket: int) -> DataFrame:
     slim = docs.where(F.octet_length("text") >= length).select("id", "th", "text")
     blocks = save(slim.mapInArrow(_blocks(length, gram), "key long, block long, id long, th long, lo int, hi int, at int"), "blocks")
     place = F.struct("id", "th", "lo", "hi", "at")
-    distinct = save(blocks.groupBy("key", "block").agg(F.count("*").alias("copies"), F.min(place).alias("one"), F.max(place).alias("other")), "distinct")
+    distinct = blocks.groupBy("key", "block").agg(F.count("*").alias("copies"), F.min(place).alias("one"), F.max(place).alias("other"))
+    distinct = save(distinct.withColumn("other", F.when(F.col("copies") > 1, F.col("other"))), "distinct")
     # an anchor seen once has no repeat; of a block seen more often two are sorted, so that bytes tell whether they are equal
     several = distinct.groupBy("key").agg(F.sum(F.least("copies", F.lit(2))).alias("n")).where("n > 1").select("key", (F.col("n") > bucket).alias("split"))
     both = F.explode(F.when(F.col("copies") > 1, F.array("one", "other")).otherwise(F.array("one")))
