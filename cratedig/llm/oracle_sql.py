@@ -48,3 +48,27 @@ items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS
 SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(said, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 """
+
+#: crc32 of the UTF-8 bytes of ``x``, with the table of ``_CRC_TABLE`` in scope as ``crc.t``.
+_CRC = "xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(0, octet_length(encode({x}))), lambda i: ('0x' || substr(hex({x}), (2 * i + 1)::BIGINT, 2))::BIGINT)), lambda a, b: xor(crc.t[(xor(a, b) & 255) + 1], a >> 8)), 4294967295::BIGINT)"
+_CRC_STEP = "list_reduce(list_concat([i::BIGINT], range(0, 8)), lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END)"
+_CRC_TABLE = f"crc AS (SELECT list({_CRC_STEP} ORDER BY i) AS t FROM range(0, 256) r(i))"
+
+OP11 = rf"""
+WITH {_CRC_TABLE},
+w AS (
+  SELECT row_number() OVER () AS r, 'd' AS side, doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+  UNION ALL SELECT -row_number() OVER (), 't', NULL, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+e AS (SELECT r, side, unnest(ws) AS word FROM w),
+b AS (SELECT word, {_CRC.format(x='word')} % 10000 AS bucket FROM (SELECT DISTINCT word FROM e), crc),
+c AS (SELECT bucket, count(*) FILTER (side = 'd') AS s, count(*) FILTER (side = 't') AS t FROM e JOIN b USING (word) GROUP BY bucket),
+g AS (SELECT bucket, floor(1000 * ln(((t + 1)::DOUBLE * ((sum(s) OVER ())::DOUBLE + 10000)) / ((s + 1)::DOUBLE * ((sum(t) OVER ())::DOUBLE + 10000))))::BIGINT AS gain FROM c),
+m AS (SELECT r, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS mean FROM e JOIN b USING (word) JOIN g USING (bucket) WHERE side = 'd' GROUP BY r),
+x AS (
+  SELECT doc_id, coalesce(len(ws), 0)::BIGINT AS n_features, coalesce(mean, 0) AS weight,
+    coalesce(mean, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT::DOUBLE + 0.5) / 4294967296.0)))::BIGINT AS score
+  FROM w LEFT JOIN m USING (r) WHERE side = 'd'),
+o AS (SELECT doc_id, n_features, weight, score, row_number() OVER (ORDER BY score DESC, doc_id, n_features) AS rank, count(*) OVER () AS n FROM x WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank FROM o
+UNION ALL SELECT doc_id, n_features, weight, score, NULL FROM x WHERE n_features < 20
+"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cratedig.llm import ann, chat, decontaminate, langid, minhash, mixing, oracle_sql, secret_scan, sharding, suffix_dedup, toxicity
+from cratedig.llm import ann, chat, decontaminate, importance, langid, minhash, mixing, oracle_sql, secret_scan, sharding, suffix_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,7 +56,13 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_report(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_minhash_dedup, op3_language_id, op4_decontaminate, op5_nearest, op6_mix_sources, op7_toxicity, op8_sharding, op9_chat_format, op10_secret_scan)}
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranked = importance.importance_ranks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return ranked.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+_OPERATORS = (op1_suffix_dedup, op2_minhash_dedup, op3_language_id, op4_decontaminate, op5_nearest, op6_mix_sources, op7_toxicity, op8_sharding, op9_chat_format, op10_secret_scan, op11_importance_resampling)
+QUERIES = {f.__name__: f for f in _OPERATORS}
 
 _OP6 = r"""
 WITH d AS (
@@ -111,4 +117,4 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss)::BIGINT AS
 FROM g
 """
 
-ORACLE_SQL = {"op1_suffix_dedup": oracle_sql.OP1, "op2_minhash_dedup": oracle_sql.OP2, "op4_decontaminate": oracle_sql.OP4, "op6_mix_sources": _OP6, "op8_sharding": _OP8, "op9_chat_format": _OP9}
+ORACLE_SQL = {"op1_suffix_dedup": oracle_sql.OP1, "op2_minhash_dedup": oracle_sql.OP2, "op4_decontaminate": oracle_sql.OP4, "op6_mix_sources": _OP6, "op8_sharding": _OP8, "op9_chat_format": _OP9, "op11_importance_resampling": oracle_sql.OP11}

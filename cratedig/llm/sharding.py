@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cratedig.llm._util import save, unused
+from cratedig.llm._util import numbered, save, unused
 
 LIMIT = 1 << 20
 #: Bits taken from the hash; the directory deepens by STEP bits a round.
@@ -58,19 +58,6 @@ def _hashed(documents: DataFrame, **names: str) -> DataFrame:
     return documents.withColumns({names["size"]: F.octet_length(text).cast("long"), names["hash"]: F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"), names["th"]: F.xxhash64(text)})
 
 
-def _numbered(rows: DataFrame, keys: list[str], place: str) -> DataFrame:
-    """Numbers the rows of each key from 0: within each partition, after those of the partitions before.
-
-    So no key's rows pass through one task. Partitions are stored first, as all steps must see the same ones.
-    """
-    part, n = unused(rows, "__part", "__n")
-    rows = save(rows.withColumn(part, F.spark_partition_id()), "parts")
-    counts = rows.groupBy(*keys, part).agg(F.count("*").alias(n))
-    before = F.coalesce(F.sum(n).over(Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    own = F.row_number().over(Window.partitionBy(*keys, part).orderBy(F.lit(1))) - 1
-    return rows.withColumn(place, own).join(counts.withColumn(n, before), [*keys, part]).withColumn(place, F.col(place) + F.col(n)).drop(part, n)
-
-
 def _placed(documents: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
     """Per hash its shard and shard_bytes; and per (hash, th) that bits can't part the rows that go to one of its shards (``per``), and their number."""
     if limit < 1:
@@ -111,7 +98,7 @@ def sharded_documents(documents: DataFrame, limit: int = LIMIT, details: bool =
     # repeated rows that exceed the limit together fill numbered shards in turn
     classes = classes.select(F.col("hash").alias(names["hash"]), F.col("th").alias(names["th"]), F.struct("n", "per").alias(names["of"]))
     own = [names["hash"], names["th"]]
-    crowd = _numbered(keyed.select(*(F.col(c) for c in kept), size, key, th).join(classes.select(*own), own, "left_semi"), own, names["place"]).join(classes, own)
+    crowd = numbered(keyed.select(*(F.col(c) for c in kept), size, key, th).join(classes.select(*own), own, "left_semi"), own, names["place"]).join(classes, own)
     number, per = F.col(names["of"])["n"], F.col(names["of"])["per"]
     turn = F.floor(place / per)
     prefix = F.lpad(F.conv(key.cast("string"), 10, 2), BITS, "0")
