@@ -67,6 +67,18 @@ def numbered(rows: DataFrame, keys: list[str], place: str) -> DataFrame:
     return rows.withColumn(place, own).join(counts.withColumn(n, before), [*keys, part]).withColumn(place, F.col(place) + F.col(n)).drop(part, n)
 
 
+def in_order(rows: DataFrame, keys: list[Column], place: str) -> DataFrame:
+    """``rows`` stored in the order of ``keys``, nulls first, with a growing number ``place``.
+
+    Ranges end on a row's number too, so that equal keys, however many, part.
+    The number's upper bits, from 33 on, name the stored partition.
+    """
+    (tie,) = unused(rows, "_tie")
+    rows = rows.withColumn(tie, F.monotonically_increasing_id())
+    dealt = rows.repartitionByRange(*keys, tie).sortWithinPartitions(*keys, tie)
+    return save(dealt.drop(tie).withColumn(place, F.monotonically_increasing_id()), "in-order")
+
+
 def doc_fold(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 5; 0 is held out. A null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5

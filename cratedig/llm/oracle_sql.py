@@ -72,3 +72,28 @@ o AS (SELECT doc_id, n_features, weight, score, row_number() OVER (ORDER BY scor
 SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank FROM o
 UNION ALL SELECT doc_id, n_features, weight, score, NULL FROM x WHERE n_features < 20
 """
+
+OP13 = rf"""
+WITH {_CRC_TABLE},
+o AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(coalesce(role, '') || coalesce(text, ''))) - 1 AS i, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+k AS (SELECT conv_id AS c, count(*) AS n, conv_id - conv_id % 5 AS b FROM o GROUP BY conv_id),
+f AS (SELECT x.c, x.n, x.b, h, least(h, coalesce(y.n, 0)) AS m FROM (SELECT *, {_CRC.format(x="c::VARCHAR")} % 9 AS h FROM k, crc) x LEFT JOIN k y ON x.b = y.c),
+r AS (
+  SELECT c, i - h + m AS i, role, text FROM f JOIN o ON o.conv_id = c WHERE i >= h
+  UNION ALL SELECT c, i, role, text FROM f JOIN o ON o.conv_id = b WHERE i < m),
+p AS (
+  SELECT c, i + 1 AS d, octet_length(encode(text)) AS bytes, md5(string_agg(md5(length(role) || ':' || role || text), '') OVER (PARTITION BY c ORDER BY i)) AS x FROM r
+  UNION ALL SELECT c, 0, 0, '' FROM k),
+z AS (SELECT c, max(d) AS d FROM p GROUP BY c),
+v AS (
+  SELECT p.d, p.x, min(p.c) AS conv_id, count(*) AS n_convs, max(bytes) AS bytes, coalesce(string_agg(p.c::VARCHAR, ',' ORDER BY p.c) FILTER (z.d = p.d), '') AS ends
+  FROM p JOIN z ON z.c = p.c GROUP BY p.d, p.x),
+u AS (SELECT v.d, v.x, q.x AS parent FROM v JOIN p q ON q.c = v.conv_id AND q.d = v.d - 1),
+n AS (SELECT d - 1 AS d, parent AS x, count(*) AS n_children FROM u GROUP BY d, parent),
+w AS (SELECT v.*, coalesce(n_children, 0) AS n_children FROM v LEFT JOIN n ON n.d = v.d AND n.x = v.x),
+s AS (
+  SELECT a.d, a.x, sum((w.n_children = 0)::INT)::BIGINT AS n_leaves, sum((w.n_convs - 1) * w.bytes)::BIGINT AS saved_tokens
+  FROM w JOIN p a ON a.c = w.conv_id AND a.d <= w.d GROUP BY a.d, a.x)
+SELECT w.conv_id, w.d::BIGINT AS depth, e.conv_id AS parent_conv_id, w.n_convs, w.n_children, n_leaves, saved_tokens, sha256(w.ends) AS ends_sha256
+FROM w JOIN s ON s.d = w.d AND s.x = w.x LEFT JOIN u ON u.d = w.d AND u.x = w.x LEFT JOIN v e ON e.d = w.d - 1 AND e.x = u.parent
+"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cratedig.llm import ann, chat, decontaminate, importance, langid, minhash, mixing, oracle_sql, secret_scan, sharding, suffix_dedup, toxicity
+from cratedig.llm import ann, chat, decontaminate, importance, langid, minhash, mixing, oracle_sql, secret_scan, sharding, suffix_dedup, toxicity, trie
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,7 +61,11 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.select("doc_id", "n_features", "weight", "score", "rank")
 
 
-_OPERATORS = (op1_suffix_dedup, op2_minhash_dedup, op3_language_id, op4_decontaminate, op5_nearest, op6_mix_sources, op7_toxicity, op8_sharding, op9_chat_format, op10_secret_scan, op11_importance_resampling)
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.branched_trie(_table(spark, sf_dir, "conversations"))
+
+
+_OPERATORS = (op1_suffix_dedup, op2_minhash_dedup, op3_language_id, op4_decontaminate, op5_nearest, op6_mix_sources, op7_toxicity, op8_sharding, op9_chat_format, op10_secret_scan, op11_importance_resampling, op13_prefix_trie)
 QUERIES = {f.__name__: f for f in _OPERATORS}
 
 _OP6 = r"""
@@ -117,4 +121,4 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss)::BIGINT AS
 FROM g
 """
 
-ORACLE_SQL = {"op1_suffix_dedup": oracle_sql.OP1, "op2_minhash_dedup": oracle_sql.OP2, "op4_decontaminate": oracle_sql.OP4, "op6_mix_sources": _OP6, "op8_sharding": _OP8, "op9_chat_format": _OP9, "op11_importance_resampling": oracle_sql.OP11}
+ORACLE_SQL = {"op1_suffix_dedup": oracle_sql.OP1, "op2_minhash_dedup": oracle_sql.OP2, "op4_decontaminate": oracle_sql.OP4, "op6_mix_sources": _OP6, "op8_sharding": _OP8, "op9_chat_format": _OP9, "op11_importance_resampling": oracle_sql.OP11, "op13_prefix_trie": oracle_sql.OP13}
