@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
-from cratedig.llm import ann, chat, decontaminate, importance, langid, minhash, mixing, oracle_sql, secret_scan, sharding, suffix_dedup, toxicity, trie
+from cratedig.llm import ann, chat, decontaminate, importance, langid, minhash, mixing, oracle_sql, secret_scan, sharding, suffix_dedup, token_files, toxicity, trie
+from cratedig.llm._util import shared_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,11 +64,19 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = f"{shared_dir(spark)}/token-files-{uuid.uuid4().hex}"
+    token_files.write_token_files(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return token_files.read_token_files(spark, path)
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.branched_trie(_table(spark, sf_dir, "conversations"))
 
 
-_OPERATORS = (op1_suffix_dedup, op2_minhash_dedup, op3_language_id, op4_decontaminate, op5_nearest, op6_mix_sources, op7_toxicity, op8_sharding, op9_chat_format, op10_secret_scan, op11_importance_resampling, op13_prefix_trie)
+_OPERATORS = (op1_suffix_dedup, op2_minhash_dedup, op3_language_id, op4_decontaminate, op5_nearest, op6_mix_sources, op7_toxicity, op8_sharding, op9_chat_format, op10_secret_scan, op11_importance_resampling, op12_token_files, op13_prefix_trie)
 QUERIES = {f.__name__: f for f in _OPERATORS}
 
 _OP6 = r"""
