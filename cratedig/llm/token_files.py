@@ -20,6 +20,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 from tokenizers import Tokenizer
 
-from cratedig.llm._util import column_bytes, ragged, row_chunks, save
+from cratedig.llm._util import column_bytes, row_chunks, save
 from cratedig.llm.rans import BITS, BLOCK, Coder, quantised
 from cratedig.sources.dump import file_system
 
@@ -38,7 +39,7 @@ MAGIC = b"TOKENS01"
 #: Symbols of a group, but for a longer document; bytes of a file after which another begins; bytes that a task reads.
 GROUP, FILE, TASK = 32 * BLOCK, 1 << 27, 1 << 24
 #: Bytes of text that are tokenized together, and words whose ids are remembered in a worker.
-CHUNK, WORDS = 1 << 21, 1 << 19
+CHUNK, WORDS = 1 << 21, 1 << 20
 _PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
@@ -61,47 +62,63 @@ class _Words:
         self.clear()
 
     def clear(self) -> None:
+        # a word is a core and a tail, each a place among the pieces; piece 0 has no ids
         self.place: dict[str, int] = {"": 0}
-        self.cores: dict[str, np.ndarray] = {}
+        self.core, self.tail = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.piece: dict[str, int] = {"": 0}
         self.flat, self.size = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
-    def _encoded(self, words: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces, and how many each has."""
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        return np.array(list(chain.from_iterable(ids)), np.uint32), np.array([len(x) for x in ids], np.int64)
+
+    def _add(self, pieces: list[str], letters: bool) -> None:
+        flat, size = [self.flat], [self.size]
+        for lo in range(0, len(pieces), 512):
+            part = pieces[lo : lo + 512]
+            if letters:
+                ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.uint32)
+                n = np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
+            if not letters or len(n) != len(part) or n.sum() != len(ids):
+                ids, n = self._encoded(part)
+            flat.append(ids)
+            size.append(n)
+        self.piece.update(zip(pieces, range(len(self.piece), len(self.piece) + len(pieces)), strict=True))
+        self.flat, self.size = np.concatenate(flat), np.concatenate(size)
 
     def _learn(self, words: list[str]) -> None:
-        cut = [(w, c) for w in words if (c := w.rstrip(_PUNCTUATION)).isalpha()]
-        fresh = list({c: None for _, c in cut if c not in self.cores} | {t: None for w, c in cut if (t := w[len(c) :]) and t not in self.cores})
-        letters = [c for c in fresh if c.isalpha()]
-        for lo in range(0, len(letters), 512):
-            part = letters[lo : lo + 512]
-            ids = self._encoded([" ".join(part)])[0]
-            stops = np.flatnonzero(self.ends[ids]) + 1
-            found = np.split(ids, stops[:-1]) if len(stops) == len(part) else self._encoded(part)
-            self.cores.update(zip(part, found, strict=True))
-        marks = [t for t in fresh if not t.isalpha()]
-        self.cores.update(zip(marks, self._encoded(marks), strict=True))
-        known = {w: [self.cores[c], *([self.cores[w[len(c) :]]] if len(w) > len(c) else [])] for w, c in cut}
-        rest = [w for w in words if w not in known]
-        known |= {w: [x] for w, x in zip(rest, self._encoded(rest), strict=True)}
-        base = len(self.place)
-        self.place.update((w, base + i) for i, w in enumerate(words))
-        self.flat = np.concatenate([self.flat, *(x for w in words for x in known[w])])
-        self.size = np.concatenate([self.size, [sum(map(len, known[w])) for w in words]])
+        cores = [w.rstrip(_PUNCTUATION) for w in words]
+        plain = list(map(str.isalpha, cores))
+        cores = [c if ok else w for w, c, ok in zip(words, cores, plain, strict=True)]
+        tails = [w[len(c) :] for w, c in zip(words, cores, strict=True)]
+        fresh = dict.fromkeys(c for c, ok in zip(cores, plain, strict=True) if ok)
+        self._add([c for c in fresh if c not in self.piece], True)
+        others = dict.fromkeys(chain(tails, (c for c, ok in zip(cores, plain, strict=True) if not ok)))
+        self._add([c for c in others if c not in self.piece], False)
+        self.place.update(zip(words, range(len(self.place), len(self.place) + len(words)), strict=True))
+        places = lambda x: np.fromiter(map(self.piece.__getitem__, x), np.int64, len(x))
+        self.core, self.tail = np.concatenate([self.core, places(cores)]), np.concatenate([self.tail, places(tails)])
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.place) > WORDS:
             self.clear()
         lists = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        get = self.place.get
-        if unknown := {w: None for ws in lists for w in ws if w not in self.place}:
-            self._learn(list(unknown))
-        n = np.array([len(ws) for ws in lists])
-        at = np.fromiter((i for ws in lists for i in map(get, ws)), np.int64, int(n.sum()))
-        start, size = np.cumsum(self.size) - self.size, self.size[at]
-        word, k = ragged(size)
-        ids = self.flat[start[at][word] + k]
-        upto = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(n)])]
-        return [ids[a:b] for a, b in zip(upto[:-1], upto[1:], strict=True)]
+        n, words = [len(ws) for ws in lists], list(chain.from_iterable(lists))
+        at = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
+        unknown = np.flatnonzero(at < 0).tolist()
+        if unknown:
+            fresh = [words[i] for i in unknown]
+            self._learn(list(dict.fromkeys(fresh)))
+            at[unknown] = list(map(self.place.__getitem__, fresh))
+        start = np.cumsum(self.size) - self.size
+        pieces = np.stack([self.core[at], self.tail[at]], axis=1).ravel()
+        size = self.size[pieces]
+        total = np.concatenate([[0], np.cumsum(size)])
+        # each piece's ids stand in a row, so that their places grow by one within it
+        ids = self.flat[np.arange(total[-1]) + np.repeat(start[pieces] - total[:-1], size)]
+        upto = total[2 * np.concatenate([[0], np.cumsum(n)])]
+        return [ids[a:b] for a, b in zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True)]
 
 
 _held: dict[int, object] = {}
