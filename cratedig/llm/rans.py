@@ -57,21 +57,22 @@ class Coder:
         if not f[:n].all():
             raise ValueError("a symbol has no frequency")
         f, c = f.reshape(blocks, steps, LANES), c.reshape(blocks, steps, LANES)
-        x = np.full((blocks, LANES), _LOW)
-        words, at = np.empty((blocks, steps * LANES), np.uint32), np.full(blocks, steps * LANES)
+        x, width = np.full((blocks, LANES), _LOW), steps * LANES
+        words, at = np.empty(blocks * width, np.uint32), width * np.arange(1, blocks + 1)
+        count, shift = np.arange(blocks * LANES), np.uint64(63 - self.bits)
         for t in range(steps - 1, -1, -1):
             ft = f[:, t]
-            full = x >= ft << np.uint64(63 - self.bits)
-            many = full.sum(axis=1)
-            if many.any():
-                row, lane = np.nonzero(full)
-                turn = np.arange(len(row)) - (np.cumsum(many) - many)[row]
+            full = x >= ft << shift
+            flat, out = x.reshape(-1), np.flatnonzero(full)
+            if len(out):
+                many = np.count_nonzero(full, axis=1)
                 at -= many
-                words[row, at[row] + turn] = x[row, lane].astype(np.uint32)
-                x[row, lane] >>= _WORD
+                given = flat[out]
+                words[(at - np.cumsum(many) + many)[out // LANES] + count[: len(out)]] = given.astype(np.uint32)
+                flat[out] = given >> _WORD
             whole = x // ft
             x = (whole << bits) + (x - whole * ft) + c[:, t]
-        return [x[b].astype("<u8").tobytes() + words[b, at[b] :].astype("<u4").tobytes() for b in range(blocks)]
+        return [x[b].astype("<u8").tobytes() + words[at[b] : width * (b + 1)].astype("<u4").tobytes() for b in range(blocks)]
 
     def decode(self, blocks: list[bytes], sizes: list[int]) -> np.ndarray:
         """The symbols of blocks of the given sizes, end to end; an error if the states don't end as they began."""
@@ -83,8 +84,9 @@ class Coder:
         words = np.zeros((len(blocks), max(len(b) - head for b in blocks) // 4 + LANES), np.uint64)
         for i, b in enumerate(blocks):
             words[i, : (len(b) - head) // 4] = np.frombuffer(b, "<u4", offset=head)
-        at, out = np.zeros(len(blocks), np.int64), np.empty((len(blocks), steps, LANES), np.uint32)
-        lanes, least = np.arange(LANES), int(sizes.min()) // LANES
+        width = words.shape[1]
+        words, at, out = words.reshape(-1), width * np.arange(len(blocks)), np.empty((len(blocks), steps, LANES), np.uint32)
+        lanes, least, count = np.arange(LANES), int(sizes.min()) // LANES, np.arange(x.size)
         for t in range(steps):
             slot = x & mask
             symbol = self.symbol[slot]
@@ -93,13 +95,12 @@ class Coder:
             if t >= least:
                 y = np.where(t * LANES + lanes < sizes[:, None], y, x)
             low = y < _LOW
-            many = low.sum(axis=1)
-            if many.any():
-                row, lane = np.nonzero(low)
-                place = at[row] + np.arange(len(row)) - (np.cumsum(many) - many)[row]
-                if (place >= words.shape[1]).any():
-                    raise ValueError("a block is damaged")
-                y[row, lane] = y[row, lane] << _WORD | words[row, place]
+            flat, take = y.reshape(-1), np.flatnonzero(low)
+            if len(take):
+                many = np.count_nonzero(low, axis=1)
+                # a damaged block can ask for more words than there are
+                place = np.minimum((at - np.cumsum(many) + many)[take // LANES] + count[: len(take)], words.size - 1)
+                flat[take] = flat[take] << _WORD | words[place]
                 at += many
             x = y
         if (x != _LOW).any():
