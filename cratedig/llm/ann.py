@@ -229,7 +229,7 @@ def valid_vectors(table: DataFrame) -> DataFrame:
 
 def build_index(vectors: DataFrame, k: int = K, shard: int = SHARD, links: int = LINKS, width: int = BUILD) -> DataFrame:
     """One row per shard of ``valid_vectors`` rows: dim, shard, flat neighbour arrays, vectors and ids."""
-    keyed = vectors.select("vec_id", "vector", F.xxhash64("vector").alias("h"))
+    keyed = vectors.distinct().select("vec_id", "vector", F.xxhash64("vector").alias("h"))
     # of equal vectors, a result of k can name the k smallest ids, and one more where the query is one of them
     ranked = keyed.withColumn("turn", F.row_number().over(Window.partitionBy("h", "vector").orderBy("vec_id"))).where(F.col("turn") <= k + 1)
     points = save(ranked.groupBy("h", "vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"), F.min("vec_id").alias("least")), "points").withColumn("dim", F.size("vector"))
@@ -263,7 +263,7 @@ def nearest(table: DataFrame, queries: DataFrame, k: int = K, shard: int = SHARD
     Vectors that are null, empty or zero, or hold a null or non-finite component,
     take no part, as query or candidate; nor do null ids. Vectors are indexed by
     length, as there is no cosine of two lengths. Rows that repeat a vec_id with
-    other vectors are candidates each. Score is the cosine of the stored
+    other vectors are candidates each; rows that repeat the vector too are one. Score is the cosine of the stored
     components in double precision; ties go to the smaller vec_id. Other columns
     are ignored; empty tables give no rows.
     """

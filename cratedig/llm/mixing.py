@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cratedig.llm._util import NO_ID, save, unused
+from cratedig.llm._util import NO_ID, numbered, save, unused
 
 MOST = 3
 CELLS = 4096
@@ -58,6 +58,14 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most:
     return leveled.select("source", "source_size", F.least(F.col("cap"), F.coalesce(F.col("level") * F.col("weight"), F.col("cap"))).alias("target"))
 
 
+def _copies_numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``copy``: 0, 1, ... among rows of one id, source and text, 0 for all others. Hot copies are numbered in parallel."""
+    same = ["null_id", "id", "named", "name", "md5"]
+    many = save(docs.groupBy(*same).agg(F.count("*").alias("copies")).where("copies > 1").drop("copies"), "repeated")
+    once = docs.join(many, same, "left_anti").withColumn("copy", F.lit(0).cast("long"))
+    return once.unionByName(numbered(docs.join(many, same, "left_semi"), same, "copy").withColumn("copy", F.col("copy").cast("long")))
+
+
 def mix_sources(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST, seed: int = SEED, quality: Column | None = None) -> DataFrame:
     """Per row of ``documents``: doc_id, source, th, size, source_size, target, copies and taken.
 
@@ -65,20 +73,23 @@ def mix_sources(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, most
     copies is how often the mix takes the document (complete epochs, and once
     more if it is selected), taken the words that makes; never above ``most``
     times. A selected document may cross the budget if that ends nearer to it.
-    The key depends on doc_id, the text and ``seed`` alone, so reruns agree.
-    Ties and repeated rows go by doc_id; rows that agree in that too share
-    one step of the prefix sum and are taken alike. A null source is a source, the last. A source without words has target 0.
+    The key is drawn from ``seed``, doc_id, the text and, among rows that agree
+    in these and the source, a number, so reruns agree and each row has a step of
+    its own; ties go by doc_id. A null source is a source, the last. A source
+    without words has target 0.
     Other columns are ignored; an empty table gives an empty result.
     """
     if most < 1 or not weights or min(weights) <= 0:
         raise ValueError("most is at least 1 and weights are positive")
     worth = letter_share(F.col("text")) if quality is None else F.greatest(quality.cast("double"), F.lit(1e-6))
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("th"), F.md5(F.coalesce("text", F.lit(""))).alias("md5"), worth.alias("worth"))
+    docs = _copies_numbered(save(docs.withColumns({"named": F.col("source").isNotNull(), "name": F.coalesce("source", F.lit("")), "null_id": F.col("doc_id").isNull(), "id": F.coalesce("doc_id", F.lit(0))}), "sizes"))
+    digest = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "md5", F.col("copy").cast("string")))
     # 52 bits, so that u is exact and within (0, 1)
     u = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(2**52)
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("th"), (-F.log(u) / worth).alias("key"))
+    docs = docs.withColumn("key", -F.log(u) / F.col("worth")).drop("md5", "worth", "null_id", "id")
     cell = F.least(F.floor((1 - F.exp(-F.col("key"))) * CELLS).cast("int"), F.lit(CELLS - 1))
-    docs = save(docs.withColumns({"named": F.col("source").isNotNull(), "name": F.coalesce("source", F.lit("")), "cell": cell}), "sizes")
+    docs = save(docs.withColumn("cell", cell), "keys")
     source = ["named", "name"]
     cells = save(docs.groupBy(*source, "cell").agg(F.sum("size").alias("cell_size")), "cells")
     sizes = cells.groupBy(*source).agg(F.sum("cell_size").alias("source_size")).select(F.when(F.col("named"), F.col("name")).alias("source"), "source_size")
@@ -93,22 +104,30 @@ def mix_sources(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, most
     state = state.withColumn("below", F.col("before") + F.col("cell_size") <= F.col("rest"))
     state = save(state.select(*source, "cell", "before", "source_size", "target", "epochs", "rest", "edge", "below"), "state")
     rows = docs.join(state, [*source, "cell"])
-    tie = ["key", "doc_id", "th"]
-    ordered = Window.partitionBy(*source).orderBy(*tie).rangeBetween(Window.unboundedPreceding, 0)
-    at_edge = rows.where("edge").withColumns({"upto": F.col("before") + F.sum("size").over(ordered), "step": F.sum("size").over(Window.partitionBy(*source, *tie))})
-    start, end, rest = F.col("upto") - F.col("step"), F.col("upto"), F.col("rest")
+    ordered = Window.partitionBy(*source).orderBy("key", "doc_id", "th", "copy").rowsBetween(Window.unboundedPreceding, 0)
+    at_edge = rows.where("edge").withColumn("upto", F.col("before") + F.sum("size").over(ordered))
+    start, end, rest = F.col("upto") - F.col("size"), F.col("upto"), F.col("rest")
     chosen = (end <= rest) | ((start < rest) & (end - rest <= rest - start))
-    both = at_edge.withColumn("chosen", chosen).drop("upto", "step").unionByName(rows.where("not edge").withColumn("chosen", F.col("below") & (F.col("rest") > 0)))
+    both = at_edge.withColumn("chosen", chosen).drop("upto").unionByName(rows.where("not edge").withColumn("chosen", F.col("below") & (F.col("rest") > 0)))
     copies = F.col("epochs") + F.when(F.col("chosen"), 1).otherwise(0)
     return both.select("doc_id", F.when(F.col("named"), F.col("name")).alias("source"), "th", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
 def mixed_documents(documents: DataFrame, **parameters) -> DataFrame:
-    """``documents`` as often as the mix takes them; rows without words that it never takes go."""
-    *key, copies = unused(documents, "__id", "__source", "__none", "__th", "__copies")
+    """``documents`` as often as the mix takes them; rows without words that it never takes go.
+
+    Of rows that agree in doc_id, source and text, the first ones stand for the
+    copies that are taken once more.
+    """
+    *key, copies, rows, place = unused(documents, "__id", "__source", "__none", "__th", "__copies", "__rows", "__place")
     parts = lambda th: (F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), F.coalesce("source", F.lit("")), F.col("source").isNull(), th)
     taken = mix_sources(documents, **parameters)
-    taken = taken.groupBy(*(c.alias(k) for k, c in zip(key, parts(F.col("th")), strict=True))).agg(F.max("copies").cast("int").alias(copies))
-    keyed = documents.withColumns(dict(zip(key, parts(F.xxhash64("text")), strict=True)))
-    many = keyed.join(taken, key).where(F.col(copies) > 0)
-    return many.select(*documents.columns, F.explode(F.array_repeat(F.lit(1), F.col(copies))).alias(copies)).drop(copies)
+    taken = taken.groupBy(*(c.alias(k) for k, c in zip(key, parts(F.col("th")), strict=True))).agg(F.sum("copies").alias(copies), F.count("*").alias(rows))
+    taken = save(taken.where(F.col(copies) > 0), "taken")
+    keyed = documents.withColumns(dict(zip(key, parts(F.xxhash64("text")), strict=True))).join(taken, key)
+    alike = F.col(copies) % F.col(rows) == 0
+    each = F.floor(F.col(copies) / F.col(rows))
+    uneven = numbered(keyed.where(~alike), key, place)
+    uneven = uneven.withColumn(copies, each + F.when(F.col(place) < F.col(copies) % F.col(rows), 1).otherwise(0))
+    many = keyed.where(alike).withColumn(copies, each).select(*documents.columns, copies).unionByName(uneven.select(*documents.columns, copies))
+    return many.select(*documents.columns, F.explode(F.array_repeat(F.lit(1), F.col(copies).cast("int"))).alias(copies)).drop(copies)

@@ -82,7 +82,7 @@ QUERIES = {f.__name__: f for f in _OPERATORS}
 _OP6 = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-    -ln((('0x' || substr(md5('0:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0)
+    -ln((('0x' || substr(md5('0:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, '')) || ':' || (row_number() OVER (PARTITION BY doc_id, source, coalesce(text, '')) - 1)), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0)
       / greatest(0.05::DOUBLE, coalesce(1 - len(regexp_extract_all(text, '[^\p{L}\x09-\x0D\x20]'))::DOUBLE / greatest(length(text), 1), 1.0::DOUBLE)) AS key
   FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),

@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import pytest
 
@@ -53,3 +55,12 @@ def test_few_and_no_rows(spark):
     assert [(r["rank"], r.vec_id, round(r.score, 6)) for r in got] == [(1, 2, 0.707107), (2, 1, 0.0)]
     assert nearest(frame.limit(0), frame.limit(0)).count() == 0
     assert nearest(frame, frame.limit(0)).count() == 0
+
+
+def test_repeated_rows_do_not_hide_neighbours(spark):
+    vector, rnd = [1.0, 2.0, 3.0], random.Random(1)
+    rows = [(50, vector)] * 7 + [(51, vector), (52, vector)] + [(i, [rnd.random() for _ in range(3)]) for i in range(100, 140)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(r["vec_id"], round(r["score"], 12)) for r in nearest(table, table.where("vec_id = 50")).orderBy("rank").collect()]
+    assert got[:2] == [(51, 1.0), (52, 1.0)]
+    assert len(got) == len({i for i, _ in got}) == 5

@@ -2,6 +2,7 @@ import math
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from cratedig.llm.mixing import mix_sources, mixed_documents, source_targets
 from cratedig.llm.sharding import assign_shards, sharded_documents
@@ -80,3 +81,16 @@ def test_shards(spark, limit):
     assert out.columns == frame.columns
     assert Counter((r.doc_id, r.shard) for r in out.collect()) == Counter((r.doc_id, r.shard) for r in got)
     assert assign_shards(frame.limit(0), limit).count() == 0
+
+
+def test_repeated_rows_meet_the_target(spark):
+    """1 500 copies of one document among 2 000: each copy is a step of its own."""
+    rows = [(i, f"{i} " + "word " * 9, "a") for i in range(2000)] + [(7, "7 " + "word " * 9, "a")] * 1500 + [(3, "x " * 15_000, "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed = mix_sources(docs)
+    totals = {r["source"]: r for r in mixed.groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target")).collect()}
+    assert abs(totals["a"].taken - totals["a"].target) <= 10
+    got = mixed_documents(docs).where("source = 'a'")
+    assert got.count() * 10 == totals["a"].taken
+    most = got.groupBy("doc_id").count().agg(F.max(F.when(F.col("doc_id") != 7, F.col("count"))).alias("most")).first()
+    assert most["most"] <= 3
