@@ -11,7 +11,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
@@ -90,6 +92,7 @@ def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty, l
         return []
     out = []
     spots = [m.end() for m in SENSITIVE.finditer(text)]
+    starts, ends = [a for a, _, _ in base], list(accumulate((b for _, _, b in base), max))
     taken = 0
     for m in CANDIDATE.finditer(text):
         start, end = m.span()
@@ -100,7 +103,8 @@ def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty, l
         word = m[0]
         if not (any(c.isdigit() for c in word) and any(c.isalpha() for c in word)):
             continue
-        if any(a < end and start < b for a, _, b in base):
+        # of the base spans that begin before its end, does the one that ends last reach into it?
+        if (before := bisect_left(starts, end)) and ends[before - 1] > start:
             continue
         if novelty(text[max(0, start - AROUND) : start], word, text[end : end + AROUND]) >= least:
             out.append((start, 3, end))

@@ -1,10 +1,11 @@
 import hashlib
 import random
+import time
 from collections import defaultdict
 
 from pyspark.sql import functions as F
 
-from cratedig.llm.chat import chat_digest, escape, format_chats, unescape
+from cratedig.llm.chat import chat_digest, escape, format_blocks, format_chats, unescape
 
 SCHEMA = "conv_id long, turn long, role string, text string, formatted string"
 BITS = ["[INST]", "[/INST]", "</s>", "[\\INST]", "<\\\\/s>", "[", "<", "\\", " ", "\n", "INST]", "/s>", "a", "é", "😀", "[INST] user [/INST]"]
@@ -22,7 +23,7 @@ def conversations():
 def test_reads_back_what_it_wrote(spark):
     rows = conversations()
     frame = spark.createDataFrame(rows, SCHEMA)
-    got = {r.conv_id: r for r in chat_digest(format_chats(frame)).collect()}
+    got = {r.conv_id: r for r in chat_digest(format_blocks(frame)).collect()}
     formatted = {r.conv_id: r for r in format_chats(frame).collect()}
     source = defaultdict(list)
     for c, t, role, text, _ in rows:
@@ -52,5 +53,32 @@ def test_escape_is_reversible(spark):
 
 
 def test_no_python_in_the_plan(spark):
-    plan = chat_digest(format_chats(spark.createDataFrame(conversations(), SCHEMA)))._jdf.queryExecution().executedPlan().toString()
+    plan = chat_digest(format_blocks(spark.createDataFrame(conversations(), SCHEMA)))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_time_grows_with_the_turns(spark):
+    """Four times the turns of one conversation take at most four times as long, and a constant."""
+
+    def seconds(n):
+        frame = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.lit("assistant").alias("role"), F.concat(F.lit("</s> text "), "id").alias("text"))
+        began = time.perf_counter()
+        (r,) = chat_digest(format_blocks(frame)).collect()
+        took = time.perf_counter() - began
+        loss = "".join(f"</s> text {i}" for i in range(n))
+        assert (r.n_turns, r.loss_sha256) == (n, hashlib.sha256(loss.encode()).hexdigest())
+        return took
+
+    seconds(1000)
+    assert seconds(40_000) < 4 * seconds(10_000) + 5
+
+
+def test_places_of_several_blocks(spark):
+    rows = [(1, t, "assistant" if t % 2 else "user", f"é{t}" + "[INST]" * (t == 70), None) for t in range(100)]
+    (r,) = format_chats(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert [unescaped(r.formatted[x.start : x.end]) for x in r.turns] == [x[3] for x in rows]
+    assert [(x.start, x.end) for x in r.loss_mask] == [(x.start, x.end) for x in r.turns if x.role == "assistant"]
+
+
+def unescaped(text):
+    return text.replace("[\\INST]", "[INST]")
