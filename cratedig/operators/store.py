@@ -70,10 +70,11 @@ def save(df: DataFrame, name: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Catalog:
-    """Tables as Parquet under one folder."""
+    """Tables as Parquet under one folder; ``parsed`` has the counts of lines by entity where a build has just made it."""
 
     spark: SparkSession
     path: str
+    parsed: dict[str, dict[str, int]] | None = None
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(TABLES[name].columns).parquet(f"{self.path}/{name}") if name in TABLES else self.spark.read.parquet(f"{self.path}/{name}")

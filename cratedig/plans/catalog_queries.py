@@ -18,8 +18,9 @@ from cratedig.operators.meta import MEMBERS, merged, meta_rows, parse_timestamp,
 from cratedig.operators.store import NEEDED, Catalog, fingerprint, publish, resolve, shared_dir, write_catalog
 from cratedig.plans import binding, build
 from cratedig.plans import catalog_sql as sql
+from cratedig.plans.landing import write_archive
 from cratedig.schemas import ENTITIES, TABLES
-from cratedig.sources.dump import entity_lines, latest_dump, read_dump, select_entities, write_archive
+from cratedig.sources.dump import entity_lines, latest_dump, read_archives, read_dump, read_lines, select_entities
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -211,6 +212,28 @@ def required_fields(spark, sf_dir):
     return rows.groupBy(F.coalesce("problem", F.lit("none")).alias("problem")).agg(F.count("*").alias("n"))
 
 
+@query(f"SELECT 'artist' AS entity, count(*) AS lines, count({_PROBLEM}) AS quarantined FROM events")
+def parsed_counts(spark, sf_dir):
+    """Lines read and set aside, observed while the documents are stored."""
+    counts = build.stage_documents(_event_lines(spark, sf_dir), "artist", f"{shared_dir(spark)}/staged-{uuid.uuid4().hex}", strict=False)[2]
+    return spark.range(1).select(F.lit("artist").alias("entity"), *(F.lit(counts[k]).cast("long").alias(k) for k in ("lines", "quarantined")))
+
+
+_STRICT = "CASE WHEN event_id % 5 IN (1, 3) THEN 'malformed' WHEN event_id % 7 = 0 THEN 'trailing' WHEN event_id % 5 IN (0, 2) THEN 'type' END"
+
+
+@query(f"SELECT event_id, {_STRICT} AS problem FROM events WHERE {_STRICT} IS NOT NULL")
+def strict_types_quarantine(spark, sf_dir):
+    """Artist documents of events with values of another type than their field, at four places, or text behind them."""
+    key = F.col("event_id")
+    name = F.to_json(F.struct(F.col("event_type").alias("name"), F.col("event_type").alias("sort-name"), key.cast("string").alias("id")))
+    places = ["\"disambiguation\": 5", "\"life-span\": {\"ended\": \"yes\"}", "\"tags\": [{\"name\": \"x\", \"count\": 1}, {\"name\": 3}]", "\"aliases\": [{\"name\": null, \"primary\": 1}]", "\"unknown\": [1, \"a\", {\"id\": 5}]"]
+    more = F.element_at(F.array(*(F.lit(p) for p in places)), (key % 5 + 1).cast("int"))
+    line = F.concat(F.expr("substr(name, 1, length(name) - 1)"), F.lit(", "), more, F.lit("}"), F.when(key % 7 == 0, F.element_at(F.array(*(F.lit(x) for x in (" {}", "]", "}", ", 1", "], [1", "}, {"))), (key % 6 + 1).cast("int"))).otherwise(""))
+    rows = binding.table(spark, sf_dir, "events").withColumn("name", name).select(key, line.alias("line"))
+    return parse(clean_lines(rows), "artist", strict_types=True).where("problem is not null").select("event_id", "problem")
+
+
 @query("SELECT 'rec-' || p_partkey AS mbid, p_name AS title, p_size::BIGINT * 1000 AS length, '' AS disambiguation, FALSE AS video, NULL::VARCHAR AS first_release_date FROM part")
 def recording_rows(spark, sf_dir):
     return recordings(documents(spark, sf_dir, "recording")).select(*TABLES["recordings"].names)
@@ -324,6 +347,22 @@ def dump_choice(spark, sf_dir):
     return rows.groupBy(F.lit(paths[0].rsplit("/", 2)[-2]).alias("dump"), "entity").agg(F.count("*").alias("n_lines"))
 
 
+@query("SELECT 'recording' AS entity, 'REPLICATION_SEQUENCE' AS member, count(*)::VARCHAR AS content FROM events UNION ALL SELECT 'artist', 'REPLICATION_SEQUENCE', count(*)::VARCHAR FROM events")
+def archive_heads(spark, sf_dir):
+    """A metadata member of two of the four archives: no other is opened, and none is decompressed beyond its head."""
+    paths = latest_dump(spark, _landed(spark, sf_dir), list(ENTITIES))
+    rows = read_archives(spark, paths, ["artist", "recording"], ["REPLICATION_SEQUENCE"], heads=True)
+    return rows.select("entity", "member", F.trim(F.regexp_replace("line", "\n", "")).alias("content"))
+
+
+@query("SELECT 'rec-' || p_partkey AS mbid, p_name AS title, p_size::BIGINT * 1000 AS length FROM part")
+def unpacked_lines(spark, sf_dir):
+    """Documents read from unpacked lines, which can be split."""
+    path = _once(spark, sf_dir, "unpacked", lambda path: binding.LINES["recording"](spark, sf_dir).select("line").write.text(path))
+    docs, _ = decode(entity_lines(read_lines(spark, {"recording": path}), "recording", 3), "recording")
+    return recordings(docs).select("mbid", "title", "length")
+
+
 @query(sql.TABLES + " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n FROM {t}" for t in TABLES))
 def dump_to_catalog(spark, sf_dir):
     """From archives to the published tables, all of them counted."""

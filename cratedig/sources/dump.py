@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import io
 import lzma
 import tarfile
 from collections.abc import Iterator
 
-import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,81 +52,69 @@ def file_system(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path)
 
 
-def write_archive(lines: DataFrame, path: str, members: dict[str, str]) -> None:
-    """An archive of the lines (line, line_no) of the entity that ``path`` is named after, and metadata members.
-
-    An archive is one stream, so one task writes it; it holds a line at a time.
-    """
-    entity = _entity(path)
-    total = lines.agg(F.coalesce(F.sum(F.octet_length("line") + 1), F.lit(0))).first()[0]
-
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        where, at = file_system(path)
-        with where.open_output_stream(at, compression=None) as out, lzma.LZMAFile(out, "w", preset=0) as packed, tarfile.open(fileobj=packed, mode="w|") as tar:
-            for name, text in members.items():
-                info = tarfile.TarInfo(name)
-                info.size = len(text.encode())
-                tar.addfile(info, io.BytesIO(text.encode()))
-            info = tarfile.TarInfo(f"mbdump/{entity}")
-            info.size = total
-            tar.addfile(info, _Lines(x.as_py() for batch in batches for x in batch.column("line")))
-        yield pa.RecordBatch.from_pydict({"path": [path]})
-
-    where, at = file_system(path)
-    where.create_dir(at.rsplit("/", 1)[0])
-    lines.select("line", "line_no").repartition(1).sortWithinPartitions("line_no").mapInArrow(write, "path string").collect()
-
-
-class _Lines:
-    """Lines as a file to read bytes from."""
-
-    def __init__(self, lines: Iterator[str]):
-        self.lines, self.rest = lines, b""
-
-    def read(self, size: int) -> bytes:
-        parts, have = [self.rest], len(self.rest)
-        while have < size and (line := next(self.lines, None)) is not None:
-            parts.append(line.encode() + b"\n")
-            have += len(parts[-1])
-        data = b"".join(parts)
-        self.rest = data[size:]
-        return data[:size]
-
-
 class _Archive(InputPartition):
-    def __init__(self, path: str):
-        self.path = path
+    """An archive and the names of the members to read from it."""
 
+    def __init__(self, path: str, wanted: frozenset[str]):
+        self.path, self.wanted = path, wanted
 
-def _entity(path: str) -> str:
+
+def entity_of(path: str) -> str:
     return path.rsplit("/", 1)[-1].removesuffix(SUFFIX)
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, paths: list[str]):
-        self.paths = paths
+    """Reads chosen members; an archive with none of them isn't opened."""
+
+    def __init__(self, paths: list[str], entities: list[str] | None, members: list[str] | None, heads: bool):
+        self.paths, self.entities, self.members, self.heads = paths, entities, members, heads
 
     def partitions(self) -> list[InputPartition]:
-        return [_Archive(p) for p in self.paths]
+        out = []
+        for path in self.paths:
+            entity = entity_of(path)
+            known = (*MEMBERS, *(() if self.heads else (f"mbdump/{entity}",)))
+            wanted = frozenset(m for m in known if self.members is None or m in self.members)
+            if wanted and (self.entities is None or entity in self.entities):
+                out.append(_Archive(path, wanted))
+        return out or [_Archive("", frozenset())]
 
     def read(self, partition: _Archive) -> Iterator[tuple]:
-        entity, found = _entity(partition.path), False
+        if not partition.path:
+            return
+        entity, left = entity_of(partition.path), set(partition.wanted)
+        document = f"mbdump/{entity}"
         where, path = file_system(partition.path)
-        with where.open_input_stream(path, compression=None) as stream, tarfile.open(fileobj=stream, mode="r|xz") as tar:
-            for info in tar:
-                name = "/".join(x for x in info.name.split("/") if x not in ("", "."))
-                if name == f"mbdump/{entity}":
-                    found = True
-                    for n, line in enumerate(tar.extractfile(info)):
-                        yield entity, name, n, line.decode(errors="replace").removesuffix("\n")
-                elif name in MEMBERS:
-                    yield entity, name, 0, tar.extractfile(info).read(META_BYTES).decode(errors="replace")
-        if not found:
-            raise ValueError(f"{partition.path} has no member mbdump/{entity}")
+        try:
+            with where.open_input_stream(path, compression=None) as stream, tarfile.open(fileobj=stream, mode="r|xz") as tar:
+                for info in tar:
+                    name = "/".join(x for x in info.name.split("/") if x not in ("", "."))
+                    if self.heads and name.startswith("mbdump/"):
+                        break
+                    if name not in left:
+                        continue
+                    left.discard(name)
+                    if name == document:
+                        for n, line in enumerate(tar.extractfile(info)):
+                            yield entity, name, n, line.decode(errors="replace").removesuffix("\n")
+                    else:
+                        yield entity, name, 0, tar.extractfile(info).read(META_BYTES).decode(errors="replace")
+                    if not left:  # what follows need not be decompressed
+                        break
+        except (tarfile.TarError, lzma.LZMAError, EOFError) as e:
+            raise ValueError(f"{partition.path} can't be read: {e}") from e
+        if document in left:
+            raise ValueError(f"{partition.path} has no member {document}")
 
 
 class DumpSource(DataSource):
-    """``spark.read.format("dumparchive").option("paths", ...)``; paths are separated by line feeds."""
+    """``spark.read.format("dumparchive").option("paths", ...)``; lists are separated by line feeds.
+
+    Options ``entities`` and ``members`` choose what is opened and read; with
+    ``heads``, only members before the document member are. They are options, not
+    pushed filters: Spark 4.1 keeps the filters that it pushed last for all scans
+    of a frame, so that a union of two filtered reads would give wrong rows.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -138,18 +124,39 @@ class DumpSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
-        return _Reader([p for p in self.options["paths"].split("\n") if p])
+        listed = lambda k: self.options[k].split("\n") if k in self.options else None
+        return _Reader([p for p in listed("paths") if p], listed("entities"), listed("members"), self.options.get("heads") == "true")
 
 
-def read_dump(spark: SparkSession, paths: list[str], partitions: int | None = None) -> DataFrame:
-    """Rows (entity, member, line_no, line) of archives, dealt out anew as an archive can't be split.
+def read_archives(spark: SparkSession, paths: list[str], entities: list[str] | None = None, members: list[str] | None = None, heads: bool = False) -> DataFrame:
+    """Rows (entity, member, line_no, line) of archives, one task for each, of all or the named entities and members.
 
     One task streams each archive, from any file system that pyarrow opens by
-    its URI. Bytes that are no UTF-8 become replacement characters.
+    its URI, up to the last member that is asked for; other archives aren't opened.
+    ``heads``: no further than the documents. Bytes that are no UTF-8 become
+    replacement characters.
     """
     spark.dataSource.register(DumpSource)
-    rows = spark.read.format("dumparchive").option("paths", "\n".join(paths)).load()
-    return rows.repartition(partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    source = spark.read.format("dumparchive").option("paths", "\n".join(paths)).option("heads", str(heads).lower())
+    for name, some in (("entities", entities), ("members", members)):
+        if some is not None:
+            source = source.option(name, "\n".join(some))
+    return source.load()
+
+
+def read_dump(spark: SparkSession, paths: list[str], partitions: int | None = None) -> DataFrame:
+    """``read_archives`` dealt out anew, as an archive can't be split."""
+    return read_archives(spark, paths).repartition(partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def stage_dump(spark: SparkSession, paths: list[str], folder: str) -> DataFrame:
+    """``read_archives`` stored under ``folder``: every archive is opened once, in one job, and what is stored can be split.
+
+    A file holds rows of one archive, so filters on entity and member skip the files of others by their statistics.
+    """
+    rows = read_archives(spark, paths)
+    rows.write.parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder)
 
 
 def read_lines(spark: SparkSession, paths: dict[str, str]) -> DataFrame:

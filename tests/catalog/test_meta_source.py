@@ -1,5 +1,6 @@
 import io
 import json
+import random
 import tarfile
 
 import pytest
@@ -7,8 +8,10 @@ from pyspark.sql import functions as F
 
 from cratedig.functions.text import fold, like_ascii_ci, tokens, unicode_trim
 from cratedig.operators.meta import MetadataMismatch, merge_meta, parse_timestamp, read_meta, write_meta
+from cratedig.plans import build
 from cratedig.plans.build import build_from_dump, catalog_info, search
-from cratedig.sources.dump import UnknownEntity, latest_dump, read_dump, select_entities, write_archive
+from cratedig.plans.landing import write_archive
+from cratedig.sources.dump import UnknownEntity, entity_lines, latest_dump, metadata_members, read_archives, read_dump, select_entities
 from tests.catalog.test_decode_flatten import ARTIST, GROUP, RECORDING, RELEASE
 
 META = "place int, replication_sequence string, schema_sequence string, json_schema_number string, dump_timestamp string"
@@ -85,6 +88,54 @@ def test_written_archives_are_read_back(spark, tmp_path):
     assert [r.line for r in got] == lines
 
 
+def test_a_broken_archive_fails_only_who_reads_it(spark, tmp_path):
+    archive(tmp_path / "artist.tar.xz", "artist", [ARTIST, ARTIST], REPLICATION_SEQUENCE="7\n")
+    whole = (tmp_path / "artist.tar.xz").read_bytes()
+    (tmp_path / "release.tar.xz").write_bytes(whole[:100] + b"broken")
+    paths = [f"{tmp_path}/artist.tar.xz", f"{tmp_path}/release.tar.xz"]
+    artists = read_archives(spark, paths, ["artist"])
+    assert entity_lines(artists, "artist", 0).count() == 2
+    assert artists.where("member = 'TIMESTAMP'").unionByName(read_archives(spark, paths, ["artist", "label"], ["mbdump/artist"])).count() == 3
+    assert read_archives(spark, paths, ["label"]).count() == read_archives(spark, paths, members=["other"]).count() == 0
+    with pytest.raises(Exception, match="release"):
+        read_archives(spark, paths).count()
+
+
+def test_metadata_needs_no_more_than_the_head(spark, tmp_path):
+    rnd = random.Random(1)
+    lines = [{"id": "".join(rnd.choices("abcdef0123456789", k=200))} for _ in range(20_000)]
+    archive(tmp_path / "artist.tar.xz", "artist", lines, REPLICATION_SEQUENCE="7\n")
+    path = tmp_path / "artist.tar.xz"
+    path.write_bytes(path.read_bytes()[: path.stat().st_size * 2 // 3])  # the documents are cut off
+    heads = read_archives(spark, [str(path)], heads=True)
+    assert {r.member for r in metadata_members(heads).collect()} == {"TIMESTAMP", "REPLICATION_SEQUENCE"}
+    both = read_archives(spark, [str(path)], members=["TIMESTAMP", "REPLICATION_SEQUENCE"])
+    assert both.count() == 2  # all that is asked for has been found before
+    with pytest.raises(Exception):
+        read_archives(spark, [str(path)], members=["mbdump/artist"]).count()
+
+
+def test_a_build_opens_each_archive_once(spark, tmp_path, monkeypatch):
+    root = tmp_path / "dumps"
+    (root / "2024").mkdir(parents=True)
+    (root / "LATEST").write_text("2024\n")
+    for entity, docs in {"artist": [ARTIST], "release-group": [GROUP], "release": [RELEASE], "recording": [RECORDING]}.items():
+        archive(root / "2024" / f"{entity}.tar.xz", entity, docs, REPLICATION_SEQUENCE="7\n")
+    staged = build.stage_dump
+
+    def once(*args):
+        out = staged(*args)
+        for path in (root / "2024").iterdir():
+            path.unlink()
+        return out
+
+    monkeypatch.setattr(build, "stage_dump", once)
+    catalog = build_from_dump(spark, str(root), str(tmp_path / "catalog"), search_index=False)
+    assert catalog["tracks"].count() == 2
+    assert catalog.parsed == {e: {"lines": 1, "quarantined": 0} for e in ("artist", "release-group", "release", "recording")}
+    assert not list(tmp_path.glob("catalog.lines-*"))
+
+
 def test_bytes_that_are_no_utf8(spark, tmp_path):
     data = b'{"a": "\xff"}\n'
     with tarfile.open(tmp_path / "artist.tar.xz", "w:xz") as tar:
