@@ -16,6 +16,7 @@ from cratedig.schemas import TABLES
 #: Tables that a search needs.
 NEEDED = ("artists", "release_groups", "releases", "recordings", "tracks")
 _own: dict[str, str] = {}
+_saved: list[str] = []
 
 
 class MissingTable(LookupError):
@@ -65,9 +66,16 @@ def save(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _saved.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Deletes all that ``save`` has written in this process; results that read it must have been stored before."""
+    while _saved:
+        delete(spark, _saved.pop())
+
+
 @dataclass(frozen=True)
 class Catalog:
     """Tables as Parquet under one folder; ``parsed`` has the counts of lines by entity where a build has just made it."""

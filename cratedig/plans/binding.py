@@ -191,6 +191,7 @@ LINES = {"artist": artist_lines, "release-group": release_group_lines, "release"
 def text_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The text corpus as search documents."""
     docs = table(spark, sf_dir, "documents")
+    heading = F.regexp_extract("text", "^[^ \n]*(?:[ \n]+[^ \n]+){0,7}", 0)
     return docs.select(
-        F.lit("release").alias("entity_type"), _id("doc-", "doc_id").alias("entity_mbid"), F.substring("text", 1, 60).alias("heading"), F.col("source").alias("subtitle"), F.col("lang").alias("meta"), F.col("text").alias("aux")
+        F.lit("release").alias("entity_type"), _id("doc-", "doc_id").alias("entity_mbid"), heading.alias("heading"), F.col("source").alias("subtitle"), F.col("lang").alias("meta"), F.col("text").alias("aux")
     )

@@ -542,7 +542,7 @@ def _text_index(spark: SparkSession, sf_dir: str) -> fulltext.Index:
 
 @query(_TEXT + " SELECT * FROM postings")
 def fts_postings(spark, sf_dir):
-    return _text_index(spark, sf_dir).postings.drop("len")
+    return _text_index(spark, sf_dir).postings.drop("len", "known")
 
 
 @query(_TEXT + " SELECT entity_mbid, len, n_docs, n_tokens FROM doc_len, stats")
@@ -575,7 +575,7 @@ def fts_bm25(spark, sf_dir):
 @query(_TEXT + sql.bm25(_TEXT_PREFIXES) + sql.top("docs_text", 10) + " SELECT entity_mbid, heading, rank, round(score, 6) AS score FROM best")
 def fts_topk(spark, sf_dir):
     index, docs = stored_index(spark, sf_dir, "text")
-    scored = fulltext.bm25(index, _prefixes(spark))
+    scored = fulltext.top_scored(index, _prefixes(spark), fulltext.fetched(10))
     hits = fulltext.top_hits(fulltext.with_documents(scored, docs, fulltext.fetched(10)), 10)
     return hits.select("entity_mbid", "heading", "rank", F.round("score", 6).alias("score"))
 

@@ -106,7 +106,7 @@ docs_tracks AS (
 docs_all AS (
   SELECT * FROM docs_artists UNION ALL SELECT * FROM docs_release_groups UNION ALL SELECT * FROM docs_releases UNION ALL SELECT * FROM docs_recordings UNION ALL SELECT * FROM docs_tracks),
 docs_text AS (
-  SELECT 'release' AS entity_type, 'doc-' || doc_id AS entity_mbid, substr(text, 1, 60) AS heading, source AS subtitle, lang AS meta, text AS aux FROM documents)
+  SELECT 'release' AS entity_type, 'doc-' || doc_id AS entity_mbid, regexp_extract(text, '^[^ \n]*(?:[ \n]+[^ \n]+){{0,7}}') AS heading, source AS subtitle, lang AS meta, text AS aux FROM documents)
 """
 
 

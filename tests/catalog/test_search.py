@@ -1,10 +1,12 @@
+import os
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from cratedig.operators import fulltext
-from cratedig.operators.fulltext import bm25, build_index, index_exists, prefix_hits, read_index, search_fast, sections, top_hits, write_index
+from cratedig.operators.fulltext import bm25, bounds, build_index, index_exists, postings, prefix_hits, read_index, search_fast, sections, top_hits, top_scored, write_index
 from cratedig.operators.search_docs import credit_strings
 from cratedig.operators.tiered import like_tier, search, search_artists, search_tracks, tiered_topn
 from cratedig.schemas import SEARCH_DOCS, TABLES
@@ -157,3 +159,85 @@ def tiered_joins(df):
     """The kinds of joins on tracks, outermost first."""
     lines = df._jdf.queryExecution().optimizedPlan().toString().split("\n")
     return [kind for line in lines for kind in ("LeftOuter", "Inner") if f"Join {kind}" in line and "release_mbid" in line and "artists" not in line]
+
+
+def corpus(spark, n=4000):
+    """Documents of one to a few hundred tokens; every second one has ``common``."""
+    rnd = random.Random(3)
+    words = [f"w{i}" for i in range(300)] + ["ünit", "unite", "united", "units"]
+    rows = []
+    for i in range(n):
+        text = rnd.choices(words, k=rnd.randint(1, 10) ** 2) + ["common"] * (i % 2 * rnd.randint(1, 3))
+        rnd.shuffle(text)
+        rows.append((rnd.choice(["artist", "track"]), f"id{i}", " ".join(text[:3]), " ".join(rnd.choices(words, k=2)), "", " ".join(text[3:])))
+    return spark.createDataFrame(rows, SEARCH_DOCS)
+
+
+def test_postings_are_counted_in_the_row(spark):
+    rows = corpus(spark, 300)
+    got = postings(rows)
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    want, first = {}, {}
+    for r in rows.collect():
+        seen = sorted((w, c) for c in ("heading", "subtitle", "meta", "aux") for w in r[c].replace("ü", "u").split())
+        before = None
+        for w, c in sorted(set(seen), key=lambda x: (x[0], ["heading", "subtitle", "meta", "aux"].index(x[1]))):
+            want[r.entity_mbid, c, w] = seen.count((w, c))
+            if before != w:
+                first[r.entity_mbid, c, w] = len(os.path.commonprefix([before or "", w]))
+            before = w
+    got = got.collect()
+    assert {(r.entity_mbid, r.col, r.term): r.tf for r in got} == want
+    assert {(r.entity_mbid, r.col, r.term): r.known for r in got if r.known is not None} == first
+    assert len(got) == len(want)
+
+
+@pytest.fixture(scope="module")
+def large(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("large") / "index")
+    before = fulltext.BUCKET_DOCS
+    fulltext.BUCKET_DOCS = 200
+    # so few rows become one file otherwise
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "150")
+    write_index(corpus(spark), path)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    fulltext.BUCKET_DOCS = before
+    return read_index(spark, path)
+
+
+@pytest.mark.parametrize("prefixes", [["common"], ["unit"], ["common", "w1"], ["w", "uni", "com"], ["w7", "w7"], ["none"], ["common", "none"]])
+@pytest.mark.parametrize("k,weights", [(1, (2.0, 1.0, 1.0, 1.0)), (50, (2.0, 1.0, 1.0, 1.0)), (7, (1.0, 9.0, 0.0, 1.0))])
+def test_top_equals_scoring_all(spark, large, prefixes, k, weights):
+    index, _ = large
+    full = sorted((round(r.score, 9), r.entity_mbid) for r in bm25(index, prefixes, weights).collect())
+    top = sorted((round(r.score, 9), r.entity_mbid) for r in top_scored(index, prefixes, k, weights).collect())
+    want = [x for x in full if not full[k - 1 :] or x[0] <= full[k - 1][0]]
+    assert [x for x in top if x in set(want)] == want
+    assert set(top) <= set(full)
+
+
+def test_top_reads_few_buckets(large):
+    index, _ = large
+    reach, weighed = bounds(index, ["common"])
+    frequency = index.postings.where("term = 'common'").select("entity_mbid").distinct().count()
+    assert reach.agg(F.sum("n")).first()[0] == frequency == 2000
+    top = top_scored(index, ["common"], 10)
+    assert top.count() < frequency / 3
+    assert "GreaterThanOrEqual(bucket" in top._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_common_term_is_in_several_files(spark, large, tmp_path):
+    index, _ = large
+    files = index.postings.where("term = 'common'").select(F.input_file_name().alias("f")).groupBy("f").count().collect()
+    assert len(files) > 1
+    most = index.postings.where("term = 'common'").groupBy("bucket").count().agg(F.max("count")).first()[0]
+    assert most <= 200
+
+
+def test_documents_are_looked_up_by_key(spark, large):
+    index, docs = large
+    plan = search_fast(index, docs, "common w1")._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PushedFilters: \[[^\]]*(EqualTo|Or|In)\(.*entity_mbid", plan)
+    assert [r.rank for r in search_fast(index, docs, "?!").collect()] == []
