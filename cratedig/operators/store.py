@@ -1,4 +1,10 @@
-"""The stored catalogue: built aside, published as a whole."""
+"""The stored catalogue: built aside, published as a whole.
+
+A published folder holds immutable versions and pointers to them, small files
+that are numbered and never changed. The one with the greatest number counts,
+once it is whole. Publishing adds a version and then a pointer, so it needs no
+rename and no overwriting, which object stores don't do at once.
+"""
 
 from __future__ import annotations
 
@@ -13,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from cratedig.operators.merge import first_wins, strict_key
 from cratedig.schemas import TABLES
 
+#: Pointers that stay with their versions, for readers of the one before.
+KEEP, POINTER = 2, "CURRENT-"
 #: Tables that a search needs.
 NEEDED = ("artists", "release_groups", "releases", "recordings", "tracks")
 _own: dict[str, str] = {}
@@ -38,10 +46,6 @@ def _fs(spark: SparkSession, path: str):
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at, jvm.org.apache.hadoop.fs.Path
 
 
-def rename(fs, source, target) -> bool:
-    return fs.rename(source, target)
-
-
 def delete(spark: SparkSession, path: str) -> None:
     fs, at, _ = _fs(spark, path)
     fs.delete(at, True)
@@ -78,11 +82,20 @@ def release(spark: SparkSession) -> None:
 
 @dataclass(frozen=True)
 class Catalog:
-    """Tables as Parquet under one folder; ``parsed`` has the counts of lines by entity where a build has just made it."""
+    """Tables as Parquet under one folder, the version that ``root`` points to when it is opened; it stays with that one.
+
+    ``parsed`` has the counts of lines by entity where a build has just made it.
+    """
 
     spark: SparkSession
     path: str
     parsed: dict[str, dict[str, int]] | None = None
+    root: str | None = None
+
+    def __post_init__(self) -> None:
+        if self.root is None:
+            object.__setattr__(self, "root", self.path)
+            object.__setattr__(self, "path", current(self.spark, self.path) or self.path)
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(TABLES[name].columns).parquet(f"{self.path}/{name}") if name in TABLES else self.spark.read.parquet(f"{self.path}/{name}")
@@ -111,33 +124,59 @@ def catalog_check(catalog: Catalog, needed: tuple[str, ...] = NEEDED) -> Catalog
     return catalog
 
 
+def _pointers(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """(number, version) of the whole pointers of a folder, the newest first."""
+    fs, at, _ = _fs(spark, path)
+    if not fs.exists(at):
+        return []
+    jvm, out = spark.sparkContext._jvm, []
+    for status in fs.listStatus(at):
+        name = status.getPath().getName()
+        if name.startswith(POINTER):
+            stream = fs.open(status.getPath())
+            try:
+                said = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            finally:
+                stream.close()
+            if said.endswith("\n"):  # else it is being written
+                out.append((int(name.removeprefix(POINTER)), said.strip()))
+    return sorted(out, reverse=True)
+
+
+def current(spark: SparkSession, path: str) -> str | None:
+    """The folder of the version that counts."""
+    found = _pointers(spark, path)
+    return f"{path}/{found[0][1]}" if found else None
+
+
+def point(fs, at, version: str) -> None:
+    """Writes a new pointer; fails if it is there already."""
+    stream = fs.create(at, False)
+    stream.write(bytearray(f"{version}\n".encode()))
+    stream.close()
+
+
 def publish(spark: SparkSession, path: str, write: Callable[[str], None]) -> Catalog:
-    """Runs ``write`` on a staging folder and renames it to ``path``.
+    """Runs ``write`` on the folder of a new version and points to it.
 
-    What stood there is renamed aside first and deleted last. If anything fails
-    it stands there again, and the staging folder is gone.
+    If anything fails, what counted before still does, and the new version is
+    gone. Of two that publish at once one fails, at its pointer. Versions older
+    than the one before are deleted.
     """
-    turn = uuid.uuid4().hex
-    fs, target, hadoop_path = _fs(spark, path)
-    staging, aside = hadoop_path(f"{path}.staging-{turn}"), hadoop_path(f"{path}.old-{turn}")
+    version = f"v-{uuid.uuid4().hex}"
+    fs, root, hadoop_path = _fs(spark, path)
+    before = _pointers(spark, path)
     try:
-        write(f"{path}.staging-{turn}")
-        fs.mkdirs(target.getParent())
-        replaces = fs.exists(target)
-        if replaces and not rename(fs, target, aside):
-            raise OSError(f"can't rename {path} aside")
-        try:
-            if not rename(fs, staging, target):
-                raise OSError(f"can't rename {staging} to {path}")
-        except Exception:
-            if replaces and not fs.exists(target):
-                rename(fs, aside, target)
-            raise
-        if replaces:
-            fs.delete(aside, True)
-    finally:
-        fs.delete(staging, True)
-    return Catalog(spark, path)
+        write(f"{path}/{version}")
+        fs.mkdirs(root)
+        point(fs, hadoop_path(root, f"{POINTER}{before[0][0] + 1 if before else 1:012d}"), version)
+    except BaseException:
+        fs.delete(hadoop_path(root, version), True)
+        raise
+    for number, old in before[KEEP - 1 :]:
+        fs.delete(hadoop_path(root, f"{POINTER}{number:012d}"), False)
+        fs.delete(hadoop_path(root, old), True)
+    return Catalog(spark, f"{path}/{version}", root=path)
 
 
 #: What files are sorted by, for statistics to prune on.

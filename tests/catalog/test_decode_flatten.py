@@ -1,3 +1,4 @@
+import os
 import json
 import time
 
@@ -128,19 +129,45 @@ def test_first_of_an_array_wins_in_linear_time(spark):
     assert time.perf_counter() - began < 5
 
 
-def test_a_failed_rename_leaves_the_old_catalogue(spark, tmp_path, monkeypatch):
+def test_a_failed_publish_leaves_the_old_catalogue(spark, tmp_path, monkeypatch):
     path, t = str(tmp_path / "catalog"), resolve(flatten_all(docs(spark)))
     write_catalog(t, path)
-    plain = store.rename
-    for failing in (1, 2):  # the old one's rename, then the new one's
-        calls = []
-
-        def rename(fs, source, target, n=failing, calls=calls):
-            calls.append(1)
-            return len(calls) != n and plain(fs, source, target)
-
-        monkeypatch.setattr(store, "rename", rename)
-        with pytest.raises(OSError, match="rename"):
-            write_catalog({"artists": t["artists"].limit(0)}, path)
-        assert Catalog(spark, path)["artists"].count() == 1
-        assert [x.name for x in tmp_path.iterdir()] == ["catalog"]
+
+    def fails(*_):
+        raise OSError("no pointer today")
+
+    plain = store.point
+    monkeypatch.setattr(store, "point", fails)
+    with pytest.raises(OSError, match="pointer"):
+        write_catalog({"artists": t["artists"].limit(0)}, path)
+    monkeypatch.setattr(store, "point", plain)
+    assert Catalog(spark, path)["artists"].count() == 1
+    assert len([x for x in (tmp_path / "catalog").iterdir() if x.name.startswith("v-")]) == 1
+
+
+def test_readers_stay_with_their_version(spark, tmp_path):
+    path, t = str(tmp_path / "catalog"), resolve(flatten_all(docs(spark)))
+    first = write_catalog(t, path)
+    second = write_catalog({"artists": t["artists"].limit(0)}, path)
+    assert (first["artists"].count(), second["artists"].count(), Catalog(spark, path)["artists"].count()) == (1, 0, 0)
+    (tmp_path / "catalog" / "CURRENT-000000000003").write_text("v-half")  # not whole yet
+    assert Catalog(spark, path).path == second.path
+    (tmp_path / "catalog" / "CURRENT-000000000003").unlink()
+    third = write_catalog(t, path)
+    assert second["artists"].count() == 0
+    assert not os.path.exists(first.path)
+    assert sorted(x.name for x in (tmp_path / "catalog").iterdir() if not x.name.startswith((".", "v-"))) == ["CURRENT-000000000002", "CURRENT-000000000003"]
+    assert Catalog(spark, path).path == third.path
+
+
+def test_two_that_publish_at_once(spark, tmp_path):
+    path, t = str(tmp_path / "catalog"), resolve(flatten_all(docs(spark)))
+
+    def write(folder):
+        t["artists"].write.parquet(f"{folder}/artists")
+        write_catalog(t, path)  # another one is done meanwhile
+
+    with pytest.raises(Exception, match="exist"):
+        store.publish(spark, path, write)
+    assert Catalog(spark, path).has("tracks")
+
