@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cratedig.llm._letters import SCRIPTS, Words, tables
-from cratedig.llm._util import NO_ID, doc_fold, ragged, text_chunks
+from cratedig.llm._util import doc_fold, ragged, text_chunks
 
 #: Documents of each language that training reads, as expected number: a draw by hash of the id.
 TRAINING_DOCUMENTS = 4000
@@ -66,14 +66,16 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(documents: DataFrame, most: int = TRAINING_DOCUMENTS) -> Model:
-    """Counts n-grams over about ``most`` documents of each non-null language (all, if fewer).
+    """Counts n-grams over about ``most`` different texts of each non-null language (all, if fewer).
 
-    What reaches the driver is bounded by languages times 2**BITS counts.
+    A text counts once a language, however often it is repeated, so neither a hot
+    id nor a hot text fills the sample. What reaches the driver is bounded by
+    languages times 2**BITS counts.
     """
-    labelled = documents.where("lang is not null and text is not null").select(F.col("lang"), "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"))
-    share = labelled.groupBy("lang").agg((F.lit(float(most)) / F.count("*")).alias("share"))
-    draw = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
-    drawn = labelled.withColumn("draw", draw).join(F.broadcast(share), "lang").where("draw < share")
+    labelled = documents.where("lang is not null and text is not null").select(F.col("lang"), "text", F.xxhash64("text").alias("th"))
+    share = labelled.groupBy("lang").agg((F.lit(float(most)) / F.count_distinct("th")).alias("share"))
+    draw = F.pmod(F.xxhash64("th"), F.lit(1 << 30)) / float(1 << 30)
+    drawn = labelled.withColumn("draw", draw).join(F.broadcast(share), "lang").where("draw < share").groupBy("lang", "th").agg(F.first("text").alias("text"))
     sums = drawn.select("lang", "text").mapInArrow(_count, "lang string, feature long, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n"))
     table = sums.toArrow()
     languages = sorted(set(table["lang"].to_pylist()))

@@ -71,3 +71,17 @@ def test_languages_and_spans(spark):
     assert kept.count() == docs.count() - 3
     assert train_and_identify(docs.limit(0)).count() == 0
     assert {r.lang_pred for r in train_and_identify(docs.withColumn("lang", docs["lang"].substr(9, 1)).where("doc_id < 0")).collect()} == set()
+
+
+def test_repeated_rows_do_not_fill_the_sample(spark):
+    """A third of the rows under one id, another third of one text: the model is that of the different texts."""
+    docs, text = frame(spark)
+    hot = spark.createDataFrame([(9, text("aa", 12), "bb", 0.0)] + [(-1, text("ru", 9), "ru", 0.0) for _ in range(300)], SCHEMA)
+    repeated = hot.where("doc_id = 9").crossJoin(spark.range(300)).drop("id")
+    once, often = train(docs.union(hot)), train(docs.union(hot).union(repeated))
+    assert (once.gram == often.gram).all()
+    assert (once.uses == often.uses).all()
+    # of 300 texts under one id about as many are drawn as of others
+    small = train(hot.where("lang = 'ru'"), most=30)
+    assert not (small.gram == train(hot.where("lang = 'ru'")).gram).all()
+    assert small.gram.max() > small.gram.min()
