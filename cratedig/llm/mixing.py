@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cratedig.llm._util import NO_ID, numbered, save, unused
+from cratedig.llm._util import NO_ID, in_order, numbered, save, unused
 
 MOST = 3
 CELLS = 4096
@@ -37,25 +37,40 @@ def letter_share(text: Column) -> Column:
     return F.greatest(F.lit(LEAST_QUALITY), F.coalesce(1 - other / F.greatest(F.length(text), F.lit(1)), F.lit(1.0)))
 
 
+def _before(rows: DataFrame, order: list[Column], values: dict[str, Column]) -> DataFrame:
+    """``rows`` with the sums of ``values`` over all rows before each in ``order``.
+
+    Ranges of the order are summed apart; only their totals, one row a range, are summed in one task.
+    """
+    placed = in_order(rows, order, "_place").withColumn("_range", F.shiftrightunsigned("_place", 33))
+    total = {k: f"_{k}" for k in values}
+    ranges = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = placed.groupBy("_range").agg(*(F.sum(v).alias(total[k]) for k, v in values.items()))
+    starts = sums.select("_range", *(F.coalesce(F.sum(c).over(ranges), F.lit(0)).alias(c) for c in total.values()))
+    own = Window.partitionBy("_range").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    inside = placed.withColumns({k: F.coalesce(F.sum(v).over(own), F.lit(0)) for k, v in values.items()})
+    return inside.join(starts, "_range").withColumns({k: F.col(k) + F.col(c) for k, c in total.items()}).drop("_range", "_place", *total.values())
+
+
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST) -> DataFrame:
     """``sizes(source, source_size)``, one row per source, with the words to take of each.
 
     Sources by code point, null last, weigh ``weights`` in turn. A source is
     capped at ``most`` times its size if the water level lies above that; the
-    level follows from prefix sums in the order of that ratio. The rows are as
-    many as the sources.
+    level follows from prefix sums in the order of that ratio. Sources may be
+    many: they are numbered and summed in ranges, and the driver sees three numbers.
     """
-    by_name = Window.orderBy(F.col("source").isNull(), F.col("source"))
-    turn = (F.row_number().over(by_name) - 1) % len(weights)
-    weighed = sizes.withColumn("weight", F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (turn + 1).cast("int")))
+    by_name = [F.col("source").isNull(), F.col("source")]
+    turn = F.col("turn") % len(weights)
+    weighed = _before(sizes, by_name, {"turn": F.lit(1)})
+    weighed = weighed.withColumn("weight", F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (turn + 1).cast("int"))).drop("turn")
     weighed = weighed.withColumn("cap", (most * F.col("source_size")).cast("double")).withColumn("ratio", F.col("cap") / F.col("weight"))
-    by_ratio = Window.orderBy("ratio", F.col("source").isNull(), "source")
-    below = by_ratio.rowsBetween(Window.unboundedPreceding, -1)
-    every = by_ratio.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    level = (F.sum("source_size").over(every) - F.coalesce(F.sum("cap").over(below), F.lit(0.0))) / (F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(below), F.lit(0.0)))
+    ordered = _before(weighed, [F.col("ratio"), *by_name], {"caps": F.col("cap"), "weights": F.col("weight")})
+    size, weight = ordered.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0.0))).first()
+    level = (F.lit(size) - F.col("caps")) / (F.lit(weight) - F.col("weights"))
     # the first source that reaches its level sets it; from there on the levels fall
-    leveled = weighed.withColumn("level", level).withColumn("level", F.max(F.when(F.col("ratio") >= F.col("level"), F.col("level"))).over(every))
-    return leveled.select("source", "source_size", F.least(F.col("cap"), F.coalesce(F.col("level") * F.col("weight"), F.col("cap"))).alias("target"))
+    (highest,) = ordered.withColumn("level", level).agg(F.max(F.when(F.col("ratio") >= F.col("level"), F.col("level")))).first()
+    return ordered.select("source", "source_size", F.least(F.col("cap"), F.coalesce(F.lit(highest).cast("double") * F.col("weight"), F.col("cap"))).alias("target"))
 
 
 def _copies_numbered(docs: DataFrame) -> DataFrame:

@@ -36,6 +36,18 @@ def test_targets(spark, sizes):
     assert [r.target for r in got] == pytest.approx(want)
 
 
+def test_targets_of_many_sources_in_several_ranges(spark):
+    sizes = [(i * 7919) % 5003 % (1 + i % 50) for i in range(3000)]
+    frame = spark.createDataFrame([(f"s{i:04d}", n) for i, n in enumerate(sizes)], "source string, source_size long").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = source_targets(frame).orderBy("source").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert [r.target for r in got] == pytest.approx(level(sizes, [1 + i % 3 for i in range(len(sizes))], 3))
+    assert source_targets(frame.limit(0)).count() == 0
+
+
 def test_mix(spark):
     frame = docs(spark)
     got = mix_sources(frame).collect()
