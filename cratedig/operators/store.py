@@ -181,6 +181,16 @@ def publish(spark: SparkSession, path: str, write: Callable[[str], None]) -> Cat
 
 #: What files are sorted by, for statistics to prune on.
 LAYOUT = {"releases": "barcode", "recording_isrcs": "isrc"}
+#: Columns that are looked up by equality, for bloom filters on them.
+LOOKED_UP = {"artists": ["mbid"], "release_groups": ["mbid"], "releases": ["mbid", "barcode"], "recordings": ["mbid"], "tracks": ["mbid"], "recording_isrcs": ["isrc"]}
+
+
+def write_table(name: str, df: DataFrame, path: str) -> None:
+    """A table in its layout; its bloom filters are as large as the values of a row group need."""
+    out = (df.sortWithinPartitions(LAYOUT[name]) if name in LAYOUT else df).write
+    for c in LOOKED_UP.get(name, ()):
+        out = out.option(f"parquet.bloom.filter.enabled#{c}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
+    out.parquet(path)
 
 
 def write_catalog(tables: dict[str, DataFrame], path: str, meta: DataFrame | None = None) -> Catalog:
@@ -189,7 +199,7 @@ def write_catalog(tables: dict[str, DataFrame], path: str, meta: DataFrame | Non
 
     def write(staging: str) -> None:
         for name, df in tables.items():
-            (df.sortWithinPartitions(LAYOUT[name]) if name in LAYOUT else df).write.parquet(f"{staging}/{name}")
+            write_table(name, df, f"{staging}/{name}")
         if meta is not None:
             meta.write.parquet(f"{staging}/_meta")
 

@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cratedig.functions.text import like_ascii_ci, null_if_empty, query_tokens, tokens, unicode_trim
-from cratedig.operators import fulltext, search_docs, tiered
+from cratedig.operators import fulltext, lookup, search_docs, tiered
 from cratedig.operators.decode import clean_lines, decode, parse
 from cratedig.operators.flatten import FLATTEN, embedded_recordings, recordings
 from cratedig.operators.merge import RepeatedKey, array_first_wins, first_wins, key_violations, strict_key
 from cratedig.operators.meta import MEMBERS, merged, meta_rows, parse_timestamp, pivot_members
-from cratedig.operators.store import NEEDED, Catalog, fingerprint, publish, resolve, shared_dir, write_catalog
+from cratedig.operators.store import NEEDED, Catalog, fingerprint, publish, resolve, shared_dir, write_catalog, write_table
 from cratedig.plans import binding, build
 from cratedig.plans import catalog_sql as sql
 from cratedig.plans.landing import write_archive
@@ -33,6 +33,7 @@ TIER_QUERY = "customer#00000000"
 ARTIST_QUERY = "Customer#000000001"
 BARCODE = "000000000101"
 ISRC = "ISRC-11"
+ARTIST_ID = "artist-0"
 
 
 def query(oracle: str, name: str | None = None):
@@ -92,7 +93,8 @@ class Stored(Tables):
     """The tables as a published catalogue has them; searches read these."""
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self.spark.read.schema(TABLES[name].columns).parquet(_once(self.spark, self.sf_dir, f"table-{name}", super().__getitem__(name).write.parquet))
+        write = lambda path: write_table(name, Tables.__getitem__(self, name), path)
+        return self.spark.read.schema(TABLES[name].columns).parquet(_once(self.spark, self.sf_dir, f"table-{name}", write))
 
 
 def stored_index(spark: SparkSession, sf_dir: str, corpus: str) -> tuple[fulltext.Index, DataFrame]:
@@ -412,6 +414,15 @@ def index_rebuild(spark, sf_dir):
     return index.stats.join(F.broadcast(counts))
 
 
+for _key, _value in {"lookup_mbid": ARTIST_ID, "lookup_barcode": BARCODE, "lookup_isrc": ISRC}.items():
+
+    def _find(spark, sf_dir, value=_value):
+        return lookup.lookup(Stored(spark, sf_dir), value)
+
+    _find.__name__ = _key
+    query(sql.exact(_value))(_find)
+
+
 @query(sql.federated(ARTIST_QUERY, 10))
 def search_fallback(spark, sf_dir):
     """A search of a catalogue without an index goes by tiers."""
@@ -629,6 +640,15 @@ for _key, _s in {
     query(sql.TABLES + "SELECT * FROM " + sql.searches(_s.text, _s.limit)[_s.kind])(_run)
 
 
+for _key, _value in {"lookup_mbid": ARTIST_ID, "lookup_barcode": BARCODE, "lookup_isrc": ISRC}.items():
+
+    def _find(spark, sf_dir, value=_value):
+        return lookup.lookup(Stored(spark, sf_dir), value)
+
+    _find.__name__ = _key
+    query(sql.exact(_value))(_find)
+
+
 @query(sql.federated(ARTIST_QUERY, 10))
 def search_federated(spark, sf_dir):
     return tiered.search(Stored(spark, sf_dir), ARTIST_QUERY, 10)

@@ -194,5 +194,16 @@ def federated(query: str, limit: int) -> str:
     return TABLES + " UNION ALL ".join(rows)
 
 
+def exact(value: str) -> str:
+    """Entities whose id, barcode or ISRC is ``value``."""
+    part = lambda kind, table, title, matched: f"SELECT '{kind}' AS entity_type, {matched} AS matched, mbid, {title} AS title FROM {table}"
+    by_id = f"CASE WHEN mbid = '{value}' THEN 'mbid' END"
+    isrc = f"CASE WHEN mbid = '{value}' THEN 'mbid' WHEN mbid IN (SELECT recording_mbid FROM recording_isrcs WHERE isrc = '{value}') THEN 'isrc' END"
+    barcode = f"CASE WHEN mbid = '{value}' THEN 'mbid' WHEN barcode = '{value}' THEN 'barcode' END"
+    parts = [part("artist", "artists", "name", by_id), part("release_group", "release_groups", "title", by_id), part("release", "releases", "title", barcode)]
+    parts += [part("recording", "recordings", "title", isrc), part("track", "tracks", "title", by_id)]
+    return f"{TABLES}SELECT * FROM ({' UNION ALL '.join(parts)}) WHERE matched IS NOT NULL"
+
+
 def table(name: str, columns: str = "*") -> str:
     return f"{TABLES}SELECT {columns} FROM {name}"

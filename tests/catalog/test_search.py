@@ -241,3 +241,10 @@ def test_documents_are_looked_up_by_key(spark, large):
     plan = search_fast(index, docs, "common w1")._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PushedFilters: \[[^\]]*(EqualTo|Or|In)\(.*entity_mbid", plan)
     assert [r.rank for r in search_fast(index, docs, "?!").collect()] == []
+
+
+def test_as_many_keys_as_are_pushed(spark, large):
+    """A search for 50 fetches 400 documents, all of which are looked up by key."""
+    index, docs = large
+    scored = bm25(index, ["common"]).orderBy("score", "entity_mbid").limit(fulltext.PUSHED_KEYS)
+    assert fulltext.with_documents(scored, docs, fulltext.fetched(50)).count() == fulltext.PUSHED_KEYS
