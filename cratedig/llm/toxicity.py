@@ -46,11 +46,13 @@ idiota estúpido estúpida imbécil basura asqueroso asquerosa payaso patético
 idiote stupide imbécile crétin débile ordure pathétique minable abruti raclure
 dumm dummkopf trottel abschaum widerlich erbärmlich wertlos müll vollidiot ekelhaft versager
 """.split()
+#: Letters of a word beginning, and occurrences in a text that make a word or beginning an entry of its own.
 _BEGINNINGS = range(4, 7)
+_TIMES = (2, 3)
 
 
 def _entries(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """(row, key) of all distinct words and word beginnings of the rows."""
+    """(row, key) of all distinct words and word beginnings of the rows, and again of those that a row holds several times."""
     first, inverse = words.distinct()
     keys = [words.hash]
     rows = [words.row]
@@ -67,7 +69,10 @@ def _entries(words: Words) -> tuple[np.ndarray, np.ndarray]:
     key, row = key[order], row[order]
     new = np.ones(len(key), bool)
     new[1:] = (key[1:] != key[:-1]) | (row[1:] != row[:-1])
-    return row[new], key[new]
+    times = np.diff(np.append(np.flatnonzero(new), len(key)))
+    row, key = row[new], key[new]
+    often = [(row[times >= n], mix(key[times >= n] + np.uint64(n))) for n in _TIMES]
+    return np.concatenate([row, *(r for r, _ in often)]), np.concatenate([key, *(k for _, k in often)])
 
 
 _FIXED = np.sort(Words(INSULTS).hash)
