@@ -63,6 +63,8 @@ def test_prefix_filter_reaches_the_scan(spark, tmp_path):
     assert {r.entity_mbid for r in hits.collect()} == {"a1", "a2", "e1", "t1"}
     assert [r.section for r in sections(hits).collect()] == [1, 1, 3, 5]
     assert search_fast(index, stored, " - ").count() == 0
+    with pytest.raises(ValueError, match="blank"):
+        search_fast(index, stored, " \t")
 
 
 def test_fetch_limit_comes_before_the_cap(spark):
