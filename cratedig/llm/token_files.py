@@ -16,11 +16,14 @@ from __future__ import annotations
 
 import io
 import json
+import re
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain, repeat
+from itertools import accumulate, chain
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +43,12 @@ MAGIC = b"TOKENS01"
 GROUP, FILE, TASK = 32 * BLOCK, 1 << 27, 1 << 24
 #: Bytes of text that are tokenized together, and words whose ids are remembered in a worker.
 CHUNK, WORDS = 1 << 21, 1 << 20
+#: How a tokenizer takes texts apart, and the same for words of printable ASCII and letters up to U+017F made small.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PLAIN = re.compile("[!-~À-ÖØ-öø-įı-ſ]+").fullmatch
+_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^a-z0-9ß-öø-ſ]+").findall
+#: Bytes that are no printable Latin-1, and the characters that stand for them in a byte-level model.
+_BYTES = {b: 256 + i for i, b in enumerate((*range(0x21), *range(0x7F, 0xA1), 0xAD))}
 _PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
@@ -52,21 +61,22 @@ class _Words:
     Each distinct word is encoded once. A word of letters is one piece, which
     ends with the tokenizer's mark of word ends; many of them are encoded as one
     text and taken apart at these marks, if there are as many marks as words.
+    With a tokenizer that takes words apart by PIECES, ``split``, a word of
+    plain characters is taken apart here and its pieces go to the model itself.
     """
 
-    def __init__(self, tokenizer: Tokenizer, suffix: str):
-        self.tokenizer = tokenizer
+    def __init__(self, tokenizer: Tokenizer, suffix: str, kind: str, split: bool = False):
+        self.tokenizer, self.kind, self.split = tokenizer, kind, split
+        self.model = tokenizer.model
         self.ends = np.zeros(tokenizer.get_vocab_size(), bool)
         for token, i in tokenizer.get_vocab().items():
             self.ends[i] = token.endswith(suffix)
         self.clear()
 
     def clear(self) -> None:
-        # a word is a core and a tail, each a place among the pieces; piece 0 has no ids
-        self.place: dict[str, int] = {"": 0}
-        self.core, self.tail = np.zeros(1, np.int64), np.zeros(1, np.int64)
-        self.piece: dict[str, int] = {"": 0}
-        self.flat, self.size = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        # the ids as bytes, so that a text's are those of its words, joined; a word is a core and a tail, both pieces
+        self.word: dict[str, bytes] = {"": b""}
+        self.piece: dict[str, bytes] = {"": b""}
 
     def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all pieces, and how many each has."""
@@ -74,7 +84,6 @@ class _Words:
         return np.array(list(chain.from_iterable(ids)), np.uint32), np.array([len(x) for x in ids], np.int64)
 
     def _add(self, pieces: list[str], letters: bool) -> None:
-        flat, size = [self.flat], [self.size]
         for lo in range(0, len(pieces), 512):
             part = pieces[lo : lo + 512]
             if letters:
@@ -82,51 +91,70 @@ class _Words:
                 n = np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
             if not letters or len(n) != len(part) or n.sum() != len(ids):
                 ids, n = self._encoded(part)
-            flat.append(ids)
-            size.append(n)
-        self.piece.update(zip(pieces, range(len(self.piece), len(self.piece) + len(pieces)), strict=True))
-        self.flat, self.size = np.concatenate(flat), np.concatenate(size)
+            data, ends = ids.astype(self.kind).tobytes(), (np.cumsum(n) * np.dtype(self.kind).itemsize).tolist()
+            self.piece.update(zip(part, (data[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True))
 
     def _learn(self, words: list[str]) -> None:
+        if self.split:
+            known, tokenize, code = self.piece, self.model.tokenize, "H" if self.kind == "<u2" else "I"
+            for w in words:
+                if not _PLAIN(w) or "<|" in w:
+                    continue
+                low, ids = w.lower(), []
+                for p in (low,) if low.isalpha() else _PIECES(low):
+                    if (x := known.get(p)) is None:
+                        found = tokenize(p if p.isascii() else p.encode().decode("latin-1").translate(_BYTES))
+                        x = known[p] = struct.pack(f"<{len(found)}{code}", *(t.id for t in found))
+                    ids.append(x)
+                self.word[w] = ids[0] if len(ids) == 1 else b"".join(ids)
+            words = [w for w in words if w not in self.word]
         cores = [w.rstrip(_PUNCTUATION) for w in words]
-        plain = list(map(str.isalpha, cores))
+        # letters that stay letters: a mark that comes out of one, as of U+0130 in lower case, is a piece with what follows
+        plain = [c.isalpha() and (c.isascii() or normalize("NFC", c).lower().isalpha()) for c in cores]
         cores = [c if ok else w for w, c, ok in zip(words, cores, plain, strict=True)]
         tails = [w[len(c) :] for w, c in zip(words, cores, strict=True)]
         fresh = dict.fromkeys(c for c, ok in zip(cores, plain, strict=True) if ok)
         self._add([c for c in fresh if c not in self.piece], True)
         others = dict.fromkeys(chain(tails, (c for c, ok in zip(cores, plain, strict=True) if not ok)))
         self._add([c for c in others if c not in self.piece], False)
-        self.place.update(zip(words, range(len(self.place), len(self.place) + len(words)), strict=True))
-        places = lambda x: np.fromiter(map(self.piece.__getitem__, x), np.int64, len(x))
-        self.core, self.tail = np.concatenate([self.core, places(cores)]), np.concatenate([self.tail, places(tails)])
+        self.word.update((w, self.piece[c] + self.piece[t]) for w, c, t in zip(words, cores, tails, strict=True))
 
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.place) > WORDS:
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        if len(self.word) > WORDS:
             self.clear()
         lists = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        n, words = [len(ws) for ws in lists], list(chain.from_iterable(lists))
-        at = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
-        unknown = np.flatnonzero(at < 0).tolist()
-        if unknown:
-            fresh = [words[i] for i in unknown]
-            self._learn(list(dict.fromkeys(fresh)))
-            at[unknown] = list(map(self.place.__getitem__, fresh))
-        start = np.cumsum(self.size) - self.size
-        pieces = np.stack([self.core[at], self.tail[at]], axis=1).ravel()
-        size = self.size[pieces]
-        total = np.concatenate([[0], np.cumsum(size)])
-        # each piece's ids stand in a row, so that their places grow by one within it
-        ids = self.flat[np.arange(total[-1]) + np.repeat(start[pieces] - total[:-1], size)]
-        upto = total[2 * np.concatenate([[0], np.cumsum(n)])]
-        return [ids[a:b] for a, b in zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True)]
+        words = list(chain.from_iterable(lists))
+        ids = list(map(self.word.get, words))
+        if None in ids:
+            unknown = [i for i, x in enumerate(ids) if x is None]
+            self._learn(list(dict.fromkeys(words[i] for i in unknown)))
+            for i in unknown:
+                ids[i] = self.word[words[i]]
+        ends = list(accumulate(map(len, lists), initial=0))
+        return [b"".join(ids[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
+
+
+def _splits(js: dict) -> bool:
+    """Whether a tokenizer makes letters small and takes words apart by PIECES, and does no more to plain characters."""
+    normal = (js.get("normalizer") or {}).get("normalizers", [])
+    first, *bytes_ = (js.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    return (
+        [x["type"] for x in normal] == ["NFC", "Replace", "Lowercase"]
+        and (normal[1]["pattern"], normal[1]["content"]) == ({"Regex": r"\s+"}, " ")
+        and first.get("pattern") == {"Regex": PIECES}
+        and [(x["type"], x["add_prefix_space"], x["use_regex"]) for x in bytes_] == [("ByteLevel", False, False)]
+        and (js["model"]["type"], js["model"].get("dropout")) == ("BPE", None)
+        and js.get("post_processor") is None
+        and all(t["content"].startswith("<|") for t in js["added_tokens"])
+    )
 
 
 _held: dict[int, object] = {}
 
 
-def _encoder(spec: str):
-    """What turns texts into arrays of ids; one for each worker, as it remembers words."""
-    key = zlib.crc32(spec.encode())
+def _encoder(spec: str, kind: str):
+    """What turns texts into ids, as bytes of ``kind``; one for each worker, as it remembers words."""
+    key = zlib.crc32(f"{kind} {spec}".encode())
     if key not in _held:
         _held.clear()
         js, tokenizer = json.loads(spec), Tokenizer.from_str(spec)
@@ -136,21 +164,20 @@ def _encoder(spec: str):
         apart = suffix and first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert") and not any(c.isspace() for t in js["added_tokens"] for c in t["content"])
         probe = lambda t: tokenizer.encode(t, add_special_tokens=False).ids
         if apart and probe("Ab, c\n\td.") == probe("Ab,") + probe("c") + probe("d."):
-            _held[key] = _Words(tokenizer, suffix)
+            _held[key] = _Words(tokenizer, suffix, kind, _splits(js))
         else:
-            _held[key] = lambda texts: [np.array(e.ids, np.uint32) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            _held[key] = lambda texts: [np.array(e.ids, kind).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
     return _held[key]
 
 
 def _tokenize(spec, end: int, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, press = _encoder(spec.value), zstandard.ZstdCompressor(level=1)
-        tail = np.array([end], np.uint32)
+        encode, press = _encoder(spec.value, kind), zstandard.ZstdCompressor(level=1)
+        tail = np.array([end], kind).tobytes()
         for batch in batches:
             text = batch.column("text")
             for lo, hi in row_chunks(column_bytes(text)[1], CHUNK):
-                ids = [np.concatenate([x, tail]) for x in encode([t or "" for t in text.slice(lo, hi - lo).to_pylist()])]
-                packed = [press.compress(x.astype(kind).tobytes()) for x in ids]
+                packed = [press.compress(x + tail) for x in encode([t or "" for t in text.slice(lo, hi - lo).to_pylist()])]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), batch.column("th").slice(lo, hi - lo), pa.array(packed, pa.binary())], names=["doc_id", "th", "ids"])
 
     return run

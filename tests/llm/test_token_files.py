@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 
@@ -82,3 +83,17 @@ def test_frequencies_fill_the_range():
         assert f.sum() == 1 << 14
         assert ((f > 0) == (np.array(counts) > 0)).all()
     assert rans.quantised(np.zeros(4)).sum() == 0
+
+
+def test_words_taken_apart_here_have_the_tokenizers_ids():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer, spec = tokenizers.Tokenizer.from_file(path), open(path, encoding="utf-8").read()
+    assert token_files._splits(json.loads(spec))
+    rng, letters = random.Random(5), "abZ'stvemlrd09.,<|>_-~!ÀÖ×ß÷øÿĀİıŉſƀéµªº́\xa0\x0b\x1f\x7f’Σς漢\ufb1d\u0958"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 9))) for _ in range(5000)]
+    texts += ["I'LL don't 's''s <|endoftext|> x<|startoftext|>y", *map(chr, range(1, 0x250)), "", " \n\t "]
+    for kind in ("<u2", "<u4"):
+        encode = token_files._encoder(spec, kind)
+        for part in (texts, [" ".join(texts[i : i + 7]) for i in range(0, len(texts), 7)]):
+            want = [e.ids for e in tokenizer.encode_batch(part, add_special_tokens=False)]
+            assert [np.frombuffer(x, kind).tolist() for x in encode(part)] == want
