@@ -124,3 +124,12 @@ def test_ascii_tokens_and_blanks(spark):
     plain = F.regexp_replace("x", r"(?U)^\s+|\s+$", "")
     assert dirty.where(unicode_trim(F.col("x")) != plain).count() == 0
     assert len(BLANKS) == len(re.findall(r"\s", BLANKS)) == 25
+
+
+@needs_tables
+@pytest.mark.parametrize("entity", ["release", "release-group"])
+def test_documents_are_made_by_the_tasks_of_orders(spark, entity):
+    # with orders or customers broadcast, the one task that reads nations makes all documents
+    plan = binding.LINES[entity](spark, SF, frozenset())._jdf.queryExecution().sparkPlan().toString()
+    assert "ShuffledHashJoin" in plan and "BuildLeft" not in plan
+    assert plan.count("BroadcastHashJoin") == 2
