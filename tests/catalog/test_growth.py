@@ -5,11 +5,13 @@ import lzma
 import os
 import re
 import tarfile
+import threading
 
 import pytest
 from pyspark.sql import functions as F
 
 from cratedig.functions.text import BLANKS, tokens, unicode_trim
+from cratedig.operators import store
 from cratedig.operators.fulltext import write_index
 from cratedig.plans import binding, catalog_queries
 from cratedig.plans.landing import write_archive
@@ -133,3 +135,29 @@ def test_documents_are_made_by_the_tasks_of_orders(spark, entity):
     plan = binding.LINES[entity](spark, SF, frozenset())._jdf.queryExecution().sparkPlan().toString()
     assert "ShuffledHashJoin" in plan and "BuildLeft" not in plan
     assert plan.count("BroadcastHashJoin") == 2
+
+
+def test_tables_are_stored_at_the_same_time(spark, tmp_path):
+    # each waits for the other
+    barrier = threading.Barrier(2, timeout=60)
+
+    class Waits:
+        sparkSession = spark
+
+        def __init__(self, rows):
+            self.write = self
+            self.rows = rows
+
+        def parquet(self, path):
+            barrier.wait()
+            self.rows.write.parquet(path)
+
+    store.write_catalog({t: Waits(spark.range(3).toDF("n")) for t in ("artist_aliases", "artist_genres")}, f"{tmp_path}/catalog")
+
+
+def test_a_table_that_fails_leaves_nothing(spark, tmp_path):
+    bad = spark.range(3).select(F.raise_error(F.lit("no")).cast("string").alias("mbid"))
+    good = spark.range(3).select(F.col("id").cast("string").alias("artist_mbid"))
+    with pytest.raises(Exception, match="no"):
+        store.write_catalog({"artist_genres": good, "artists": bad, "artist_aliases": good}, f"{tmp_path}/catalog")
+    assert not [x for x in os.listdir(tmp_path / "catalog") if x.startswith(("v-", "CURRENT"))]
