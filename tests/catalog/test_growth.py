@@ -161,3 +161,11 @@ def test_a_table_that_fails_leaves_nothing(spark, tmp_path):
     with pytest.raises(Exception, match="no"):
         store.write_catalog({"artist_genres": good, "artists": bad, "artist_aliases": good}, f"{tmp_path}/catalog")
     assert not [x for x in os.listdir(tmp_path / "catalog") if x.startswith(("v-", "CURRENT"))]
+
+
+@needs_tables
+def test_lines_of_an_order_are_grouped_once(spark):
+    # a window, groups of sides and groups of these sorted them several times, and orders were joined twice
+    plan = binding.release_lines(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and plan.count("Aggregate") == 1
+    assert plan.count("Relation [o_orderkey") == 1
