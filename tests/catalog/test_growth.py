@@ -169,3 +169,15 @@ def test_lines_of_an_order_are_grouped_once(spark):
     plan = binding.release_lines(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan and plan.count("Aggregate") == 1
     assert plan.count("Relation [o_orderkey") == 1
+
+
+@needs_tables
+def test_counts_need_the_fields_of_keys_alone(spark, tmp_path):
+    for t in os.listdir(SF):
+        os.symlink(f"{SF}/{t}", tmp_path / t)
+    counts = catalog_queries.QUERIES["catalog_counts"](spark, str(tmp_path))
+    assert "Window" not in counts._jdf.queryExecution().optimizedPlan().toString()
+    first = catalog_queries.documents(spark, str(tmp_path), "release", frozenset(binding.KEYED["tracks"]["release"])).where("size(doc.media) > 0").select("doc.media.tracks").first()[0][0][0]
+    assert first["id"] and first["recording"]["id"] and first["length"] is None and first["recording"]["length"] is None
+    tables = catalog_queries.Tables(spark, SF, store.NEEDED)
+    assert {r.table_name: r.n for r in counts.collect()} == {t: tables[t].count() for t in store.NEEDED}
