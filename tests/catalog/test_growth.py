@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from cratedig.functions.text import BLANKS, tokens, unicode_trim
 from cratedig.operators import store
 from cratedig.operators.fulltext import write_index
+from cratedig.operators.merge import array_first_wins
 from cratedig.plans import binding, catalog_queries
 from cratedig.plans.landing import write_archive
 from cratedig.schemas import SEARCH_DOCS
@@ -181,3 +182,30 @@ def test_counts_need_the_fields_of_keys_alone(spark, tmp_path):
     assert first["id"] and first["recording"]["id"] and first["length"] is None and first["recording"]["length"] is None
     tables = catalog_queries.Tables(spark, SF, store.NEEDED)
     assert {r.table_name: r.n for r in counts.collect()} == {t: tables[t].count() for t in store.NEEDED}
+
+
+@needs_tables
+@pytest.mark.parametrize("name", ["release_labels", "recording_isrcs", "artist_genres"])
+def test_rows_that_can_not_differ_or_meet_are_not_ranked(spark, name):
+    # every row was shuffled and sorted whole, though no two documents have one id, or a row is its key
+    plan = catalog_queries.QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
+
+
+@needs_tables
+def test_rows_of_documents_with_one_id_are_ranked(spark, tmp_path):
+    for t in os.listdir(SF):
+        if t != "orders.parquet":
+            os.symlink(f"{SF}/{t}", tmp_path / t)
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    orders.unionByName(orders.where("o_orderkey % 3 = 0")).write.parquet(f"{tmp_path}/orders.parquet")
+    got, want = (catalog_queries.QUERIES["release_labels"](spark, d) for d in (str(tmp_path), SF))
+    assert "Window" in got._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_items_with_repeated_keys_few_and_many(spark):
+    lists = [[], ["a"], ["b", "a"], ["a", "a"], ["b", "a", "B", "c", "A"], [*map(str, range(40))], [*map(str, range(20)), *map(str, range(20))], None]
+    df = spark.createDataFrame([(x,) for x in lists], "x array<string>")
+    got = [r.x for r in df.select(array_first_wins(F.col("x"), lambda v: F.struct(F.lower(v))).alias("x")).collect()]
+    assert got == [None if x is None else list({v.lower(): v for v in reversed(x)}[k] for k in dict.fromkeys(v.lower() for v in x)) for x in lists]
