@@ -11,12 +11,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from cratedig.functions.text import BLANKS, tokens, unicode_trim
-from cratedig.operators import store
+from cratedig.operators import search_docs, store, tiered
 from cratedig.operators.fulltext import write_index
 from cratedig.operators.merge import array_first_wins
 from cratedig.plans import binding, catalog_queries
 from cratedig.plans.landing import write_archive
-from cratedig.schemas import SEARCH_DOCS
+from cratedig.schemas import SEARCH_DOCS, TABLES
 from cratedig.sources.dump import read_archives
 
 SF = "/root/testdata/sf0.001"
@@ -209,3 +209,46 @@ def test_items_with_repeated_keys_few_and_many(spark):
     df = spark.createDataFrame([(x,) for x in lists], "x array<string>")
     got = [r.x for r in df.select(array_first_wins(F.col("x"), lambda v: F.struct(F.lower(v))).alias("x")).collect()]
     assert got == [None if x is None else list({v.lower(): v for v in reversed(x)}[k] for k in dict.fromkeys(v.lower() for v in x)) for x in lists]
+
+
+def _with_own_names(spark, tmp_path, times):
+    """Suppliers ``times`` over with shifted keys and names of their own: aliases are customers times suppliers."""
+    for t in os.listdir(SF):
+        if t != "supplier.parquet":
+            os.symlink(f"{SF}/{t}", tmp_path / t)
+    suppliers = spark.read.parquet(f"{SF}/supplier.parquet")
+    n = suppliers.agg(F.max("s_suppkey")).first()[0] // 10 * 10 + 10
+    copies = suppliers.crossJoin(spark.range(times).withColumnRenamed("id", "i")).withColumn("s_suppkey", F.col("s_suppkey") + F.col("i") * n)
+    copies.withColumn("s_name", F.concat("s_name", F.lit("-"), "i")).drop("i").write.parquet(f"{tmp_path}/supplier.parquet")
+    return str(tmp_path)
+
+
+@needs_tables
+def test_shared_aliases_are_decoded_once(spark, tmp_path):
+    # each customer's document held all suppliers of its nation and slot, in JSON, Parquet and a row for each
+    sf = _with_own_names(spark, tmp_path, 40)
+    tables = catalog_queries.Stored(spark, sf, ("artists", "artist_aliases"))
+    found = tables.shared("artist_aliases")
+    customers, suppliers = (spark.read.parquet(f"{sf}/{t}.parquet").count() for t in ("customer", "supplier"))
+    assert found.rows.count() <= suppliers and found.members.count() == customers
+    assert catalog_queries.documents(spark, sf, "artist", frozenset(binding.WANTED["artist_aliases"]["artist"])).where("doc.aliases is not null").isEmpty()
+    # the rows are those of documents that hold their lists
+    whole = catalog_queries.FLATTEN["artist_aliases"]({"artist": catalog_queries.documents(spark, sf, "artist", frozenset(["aliases"]))}).select(*TABLES["artist_aliases"].names)
+    rows = catalog_queries.QUERIES["artist_aliases"](spark, sf)
+    assert rows.count() == whole.count() > customers
+    assert rows.exceptAll(whole).isEmpty()
+    plain = {"artists": tables["artists"], "artist_aliases": whole}
+    assert search_docs.artist_docs(tables).exceptAll(search_docs.artist_docs(plain)).isEmpty()
+    for query in ("supplier#00000000_-1", "Customer#000000001"):
+        assert tiered.search_artists(tables, query, 25).collect() == tiered.search_artists(plain, query, 25).collect()
+
+
+@needs_tables
+def test_aliases_of_documents_with_one_id_are_ranked(spark, tmp_path):
+    for t in os.listdir(SF):
+        if t != "customer.parquet":
+            os.symlink(f"{SF}/{t}", tmp_path / t)
+    customers = spark.read.parquet(f"{SF}/customer.parquet")
+    customers.unionByName(customers).write.parquet(f"{tmp_path}/customer.parquet")
+    got, want = (catalog_queries.QUERIES["artist_aliases"](spark, d) for d in (str(tmp_path), SF))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) != []
