@@ -15,6 +15,7 @@ from cratedig.operators import search_docs, store, tiered
 from cratedig.operators.fulltext import postings, write_index
 from cratedig.operators.merge import array_first_wins
 from cratedig.plans import binding, catalog_queries
+from cratedig.plans.build import stage_documents
 from cratedig.plans.landing import write_archive
 from cratedig.schemas import INDEXED, SEARCH_DOCS, TABLES
 from cratedig.sources.dump import read_archives
@@ -269,3 +270,27 @@ def test_postings_are_counted_in_batches(spark):
             want.append((kind, t, INDEXED[i], [*split].count((i, t)), len(split), len(os.path.commonprefix([before or "", t])) if t != before else None))
             before = t
     assert got == want
+
+
+@needs_tables
+def test_archives_that_are_counted_hold_no_lists(spark, tmp_path):
+    # lists of aliases are customers times suppliers, and neither heads nor counts of lines need them
+    for t in os.listdir(SF):
+        os.symlink(f"{SF}/{t}", tmp_path / t)
+    counted = {(r.entity, r.n_lines) for r in catalog_queries.QUERIES["dump_choice"](spark, str(tmp_path)).collect()}
+    assert counted == {(e, spark.read.parquet(f"{SF}/{t}.parquet").count()) for e, t in (("artist", "customer"), ("recording", "part"))}
+    root = catalog_queries._landed(spark, str(tmp_path), ["artist", "recording"], frozenset())
+    lines = read_archives(spark, [f"{root}/20240201-000000/artist.tar.xz"]).where("member = 'mbdump/artist'")
+    assert lines.where("line like '%aliases%' or line like '%genres%'").isEmpty()
+    assert sorted(map(tuple, catalog_queries.QUERIES["archive_heads"](spark, str(tmp_path)).select("entity").collect())) == [("artist",), ("recording",)]
+    # whole archives stay whole
+    whole = catalog_queries._landed(spark, str(tmp_path), ["recording"])
+    assert whole != root and not read_archives(spark, [f"{whole}/20240201-000000/recording.tar.xz"]).where("line like '%isrcs%'").isEmpty()
+
+
+def test_lines_of_sound_documents_are_not_stored_again(spark, tmp_path):
+    lines = spark.createDataFrame([('{"id": "a", "title": "A"}', 3, 0), ('{"id": "b"}', 3, 1), ('{"id', 3, 2)], "line string, source_rank int, line_no long")
+    docs, bad, counts = stage_documents(lines, "recording", f"{tmp_path}/staged", strict=False)
+    assert [r.doc.title for r in docs.collect()] == ["A"] and counts == {"lines": 3, "quarantined": 2}
+    assert {(r.problem, r.line) for r in bad.collect()} == {("missing title", '{"id": "b"}'), ("malformed", '{"id')}
+    assert spark.read.parquet(f"{tmp_path}/staged").where("problem is null and line is not null").isEmpty()
