@@ -7,6 +7,7 @@ import re
 import tarfile
 import threading
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -18,7 +19,7 @@ from cratedig.plans import binding, catalog_queries
 from cratedig.plans.build import stage_documents
 from cratedig.plans.landing import write_archive
 from cratedig.schemas import INDEXED, SEARCH_DOCS, TABLES
-from cratedig.sources.dump import read_archives
+from cratedig.sources.dump import read_archives, stage_dump
 
 SF = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables here")
@@ -294,3 +295,14 @@ def test_lines_of_sound_documents_are_not_stored_again(spark, tmp_path):
     assert [r.doc.title for r in docs.collect()] == ["A"] and counts == {"lines": 3, "quarantined": 2}
     assert {(r.problem, r.line) for r in bad.collect()} == {("missing title", '{"id": "b"}'), ("malformed", '{"id')}
     assert spark.read.parquet(f"{tmp_path}/staged").where("problem is null and line is not null").isEmpty()
+
+
+def test_stored_lines_of_an_archive_are_read_by_several_tasks(spark, tmp_path):
+    # one row group held all lines of an archive of some hundred MB, and one task decoded them all
+    path = f"{tmp_path}/artist.tar.xz"
+    long = F.concat(*(F.sha2(F.concat("id", F.lit(f"-{i}")), 512) for i in range(8)))
+    write_archive(spark.range(0, 50_000, 1, 4).select(long.alias("line"), F.col("id").alias("line_no")), path, {})
+    stored = stage_dump(spark, [path], f"{tmp_path}/lines")
+    (file,) = [x for x in os.listdir(tmp_path / "lines") if x.endswith(".parquet")]
+    assert pq.ParquetFile(tmp_path / "lines" / file).num_row_groups >= 3
+    assert stored.count() == 50_000
